@@ -1,10 +1,10 @@
 """BPE encoding and decoding by a table of distinct words.
 
 Texts are split into words (the pre-tokens of the tokenizer) block by block; a block's documents become lists of positions in the block's own
-word list. The distinct words of all blocks are encoded once each, the pieces of their ids come from a join of ids with the vocabulary, and
-both return to the blocks by a join on the word. Documents and words of a block then meet by the block's id, and ids are put
-at their positions. A block holds a bounded amount of text, so no task's memory grows with the input, no word list is broadcast,
-and what is shuffled is a byte or two a word.
+word list. A word's hash gives it one home partition, where the lists of all blocks meet and each distinct word is encoded once; its
+ids go back to the blocks, and documents and ids of a block are joined by the block's id and the position. The pieces of a decoded text
+come from a join of the block's ids with the vocabulary. A block holds a bounded amount of text, so no task's memory grows with the input, no
+word list is broadcast, and lists travel compressed: a byte or two for each word of a text.
 
 The tokenizer has a normalizer (NFC, white space, lower case), a splitting pattern and byte-level BPE with word ends. Texts whose characters
 all lie in a range where that normalizing is plain lower-casing are split by an equivalent pattern; all others go through the library's own
@@ -31,6 +31,9 @@ from .common import materialize, text_of
 
 #: Characters of text a block holds before it is closed.
 BLOCK = 12_000_000
+#: Parts of a block's word list, each with one home partition; and words that a task keeps encoded.
+PARTS = 64
+MOST_WORDS = 400_000
 #: Up to U+017F only U+0130 changes under NFC or, in lower case, leaves the range or becomes two characters.
 _ODD = re.compile("[\u0130\u0180-\U0010ffff]")
 _LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f"
@@ -61,6 +64,7 @@ class Splitter:
         slow = Tokenizer.from_str(json.dumps(made | {"added_tokens": [], "pre_tokenizer": splits[0], "truncation": None, "padding": None}))
         self.normalize, self.split_all = slow.normalizer.normalize_str, slow.pre_tokenizer.pre_tokenize_str
         self.vocabulary = made["model"]["vocab"] | self.special
+        self.pieces = pa.table({"id": pa.array(self.vocabulary.values(), pa.int32()), "piece": pa.array(self.vocabulary, pa.string())})
 
     def plain(self, text: str) -> list[str]:
         if _ODD.search(text):
@@ -91,37 +95,48 @@ def vocabulary(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.createDataFrame(rows, "id int, piece string")
 
 
+class _Words(dict):
+    """Positions of a block's words: number within the word's part, times PARTS, plus the part."""
+
+    def __init__(self):
+        self.parts: list[list[str]] = [[] for _ in range(PARTS)]
+
+    def __missing__(self, word: str) -> int:
+        part = zlib.crc32(word.encode()) % PARTS
+        self[word] = at = len(self.parts[part]) * PARTS + part
+        self.parts[part].append(word)
+        return at
+
+
 def _blocks(path: str, size: int, schema: pa.Schema):
-    """Rows (kept columns, block, row, spots, word): documents with their positions packed, and one row for each distinct word of a block."""
+    """Rows (kept columns, block, part, pack): documents with their positions (part null), and a block's words by part."""
 
     def run(batches):
         split = splitter(path).words
-        kept_names = schema.names[:-4]
+        kept_names = schema.names[:-3]
 
         def rows(parts, known):
             block = secrets.randbits(62)
             for kept, spots in parts:
                 n = kept.num_rows
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([block] * n), pa.nulls(n, pa.int64()), pa.array(spots, pa.binary()), pa.nulls(n, pa.string())], schema=schema)
-            words = list(known)
-            for i in range(0, len(words), 20_000):
-                some = words[i : i + 20_000]
-                n = len(some)
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(n, schema.field(k).type) for k in kept_names), pa.array([block] * n), pa.array(range(i, i + n), pa.int64()), pa.nulls(n, pa.binary()), pa.array(some)], schema=schema)
-
-        parts, known, held = [], {}, 0
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([block] * n), pa.nulls(n, pa.int32()), pa.array(spots, pa.binary())], schema=schema)
+            used = [i for i, w in enumerate(known.parts) if w]
+            n = len(used)
+            packs = [_squeeze("\n".join(known.parts[i]).encode()) for i in used]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(n, schema.field(k).type) for k in kept_names), pa.array([block] * n, pa.int64()), pa.array(used, pa.int32()), pa.array(packs, pa.binary())], schema=schema)
+
+        parts, known, held = [], _Words(), 0
         for batch in batches:
-            kept = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(schema)[:-4]))
+            kept = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(schema)[:-3]))
             texts = batch.column(batch.num_columns - 1)
             spots, first = [], 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
-                add = known.setdefault
-                spots.append(_pack([add(w, len(known)) for w in split(text)]))
+                spots.append(_pack([known[w] for w in split(text)]))
                 held += len(text) + 50
                 if held >= size:
                     yield from rows([*parts, (kept.slice(first, len(spots)), spots)], known)
-                    parts, known, held, spots, first = [], {}, 0, [], i + 1
+                    parts, known, held, spots, first = [], _Words(), 0, [], i + 1
             if spots:
                 parts.append((kept.slice(first, len(spots)), spots))
         if parts:
@@ -130,37 +145,54 @@ def _blocks(path: str, size: int, schema: pa.Schema):
     return run
 
 
+def _squeeze(raw: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.compress(raw, 6)
+
+
+def _swell(packed: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.decompress(packed)
+
+
 def _pack(numbers: list[int]) -> bytes:
-    """Frequent words come early in a block, so low bytes vary and high ones hardly do: they are laid in planes and compressed."""
+    """High bytes hardly vary: bytes are laid in planes and compressed."""
     a = np.array(numbers, "<u4")
-    return zlib.compress(a.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return _squeeze(a.view(np.uint8).reshape(-1, 4).T.tobytes()) if numbers else b""
 
 
 def _unpack(packed: bytes) -> list[int]:
-    a = np.frombuffer(zlib.decompress(packed), np.uint8)
-    return np.ascontiguousarray(a.reshape(4, -1).T).view("<u4").ravel().tolist()
+    if not packed:
+        return []
+    return np.ascontiguousarray(np.frombuffer(_swell(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel().tolist()
 
 
 def encoded_blocks(docs: DataFrame, keep: list, text_col: str = "text", path: str | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(documents by block, words by block), the latter with ids, their number, their decimal text and the pieces decoded from them."""
+    """(documents by block, ids of the block's words by block and part)."""
     path = path or tokenizer_path()
-    spark = docs.sparkSession
     source = docs.select(*keep, text_of(docs, text_col).alias("__sigweave_text"))
-    fields = source.schema.fields[:-1]
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields] + T.StructType.fromDDL("__block bigint, __row bigint, __spots binary, __word string").fields)
-    arrow = to_arrow_schema(schema)
-    all_rows = materialize(source.mapInArrow(_blocks(path, block, arrow), schema), "blocks")
-    words = all_rows.where(F.col("__word").isNotNull()).select("__block", "__row", "__word")
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields[:-1]] + T.StructType.fromDDL("__block bigint, __part int, __pack binary").fields)
+    all_rows = materialize(source.mapInArrow(_blocks(path, block, to_arrow_schema(schema)), schema), "blocks")
+    words = all_rows.where(F.col("__part").isNotNull()).select("__block", "__part", "__pack").repartition("__part")
 
     def encode(batches):
+        known: dict[str, list[int]] = {}
         for b in batches:
-            some = b.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(splitter(path).encode(some), pa.list_(pa.int32()))], names=["__word", "ids"])
+            out = []
+            for pack in b.column(2).to_pylist():
+                some = _swell(pack).decode().split("\n")
+                new = [w for w in some if w not in known]
+                if len(known) + len(new) > MOST_WORDS:  # bounds memory; what is met again is then encoded again
+                    known.clear()
+                    new = some
+                known.update(zip(new, splitter(path).encode(new), strict=True))
+                ids = [known[w] for w in some]
+                out.append(_pack([len(ids), *map(len, ids), *(i for x in ids for i in x)]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["__of", "__part", "__ids"])
 
-    table = materialize(words.select("__word").distinct().mapInArrow(encode, "__word string, ids array<int>"), "words")
-    pieces = decode(table, "__word", "ids", spark, path)
-    table = table.join(pieces, "__word", "left").select("__word", "ids", F.array_join("ids", " ").alias("ids_text"), F.coalesce("decoded", F.lit("")).alias("decoded"))
-    return all_rows.where(F.col("__word").isNull()).drop("__row", "__word"), words.join(table, "__word").select(F.col("__block").alias("__of"), "__row", "ids", "ids_text", "decoded")
+    return all_rows.where(F.col("__part").isNull()).drop("__part"), words.mapInArrow(encode, "__of bigint, __part int, __ids binary")
 
 
 def decode(rows: DataFrame, key: str, ids: str, spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -174,15 +206,32 @@ def decode(rows: DataFrame, key: str, ids: str, spark: SparkSession, path: str |
     return named.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["piece"]), " ").alias("decoded"))
 
 
-def _join_back(schema: pa.Schema, finish):
-    """For each block: the words' columns as lists by position, and finish(positions of a document, lists) for each document."""
+def _block_lists(right: pa.Table, path: str) -> tuple[list, list, list]:
+    """By position: the ids of a word, their decimal text, and their pieces, joined by id."""
+    ids: list[list[int]] = []
+    for part, pack in zip(right.column("__part").to_pylist(), right.column("__ids").to_pylist(), strict=True):
+        flat = _unpack(pack)
+        n = flat[0]
+        if len(ids) < n * PARTS:
+            ids += [()] * (n * PARTS - len(ids))
+        at = n + 1
+        for i, k in enumerate(flat[1 : n + 1]):
+            ids[i * PARTS + part] = flat[at : at + k]
+            at += k
+    used = pa.table({"id": pa.array(sorted({i for x in ids for i in x}), pa.int32())})
+    joined = used.join(splitter(path).pieces, "id")
+    piece = dict(zip(joined.column("id").to_pylist(), joined.column("piece").to_pylist(), strict=True))
+    return ids, [" ".join(map(str, x)) for x in ids], [" ".join([piece[i] for i in x]) for x in ids]
+
+
+def _join_back(path: str, schema: pa.Schema, finish):
+    """For each block: finish(positions of a document, the block's lists) for each document."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("__row")
-        lists = [right.column(c).to_pylist() for c in ("ids", "ids_text", "decoded")]
-        made = [finish(_unpack(p), lists) for p in left.column("__spots").to_pylist()]
-        new = list(zip(*made, strict=True)) or [[] for _ in list(schema)[left.num_columns - 2 :]]
-        kept = left.drop_columns(["__block", "__spots"])
+        lists = _block_lists(right, path)
+        made = [finish(_unpack(p), lists) for p in left.column("__pack").to_pylist()]
+        kept = left.drop_columns(["__block", "__pack"])
+        new = list(zip(*made, strict=True)) or [[] for _ in list(schema)[kept.num_columns :]]
         arrays = [pa.array(list(x), f.type) for x, f in zip(new, list(schema)[kept.num_columns :], strict=True)]
         return pa.Table.from_arrays([*(c.cast(f.type) for c, f in zip(kept.columns, schema, strict=False)), *arrays], schema=schema)
 
@@ -202,8 +251,8 @@ def _digests(at, lists):
 
 def _apply(docs: DataFrame, keep: list, made: str, finish, **options) -> DataFrame:
     left, right = encoded_blocks(docs, keep, **options)
-    schema = T.StructType(left.drop("__block", "__spots").schema.fields + T.StructType.fromDDL(made).fields)
-    return left.groupBy("__block").cogroup(right.groupBy("__of")).applyInArrow(_join_back(to_arrow_schema(schema), finish), schema)
+    schema = T.StructType(left.drop("__block", "__pack").schema.fields + T.StructType.fromDDL(made).fields)
+    return left.groupBy("__block").cogroup(right.groupBy("__of")).applyInArrow(_join_back(options.get("path") or tokenizer_path(), to_arrow_schema(schema), finish), schema)
 
 
 def encode(docs: DataFrame, keep: list, **options) -> DataFrame:
