@@ -30,7 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import materialize, text_of
 
 #: Characters of text a block holds before it is closed.
-BLOCK = 12_000_000
+BLOCK = 24_000_000
 #: Parts of a block's word list, each with one home partition; and words that a task keeps encoded.
 PARTS = 64
 MOST_WORDS = 400_000
@@ -148,7 +148,7 @@ def _blocks(path: str, size: int, schema: pa.Schema):
 def _squeeze(raw: bytes) -> bytes:
     import zstandard
 
-    return zstandard.compress(raw, 6)
+    return zstandard.compress(raw, 9)
 
 
 def _swell(packed: bytes) -> bytes:
