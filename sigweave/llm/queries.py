@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, secrets, sharding, simhash, toxicity, warc
+from . import bpe, html_extract, matroska, mixing, secrets, sharding, simhash, toxicity, warc
 from .common import read
 
 
@@ -17,6 +17,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(read(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+def op5_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matroska.digests(read(spark, sf_dir, "documents"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
