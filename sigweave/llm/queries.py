@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_extract, matroska, mixing, secrets, sharding, simhash, toxicity, warc
+from . import ann, bpe, html_extract, matroska, mixing, secrets, sharding, simhash, toxicity, warc
 from .common import read
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(read(spark, sf_dir, "documents"), ["doc_id"])
 
