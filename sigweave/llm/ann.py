@@ -165,17 +165,17 @@ def _step(width: int, beam: int):
 
     def run(batches):
         for b in batches:
-            cols = b.to_pydict()
             out_i, out_s, out_d = [], [], []
-            for code, ids, scores, done, found in zip(cols["code"], cols["ids"], cols["scores"], cols["done"], cols["found"], strict=True):
-                q = np.frombuffer(code, np.int8).astype(np.int32)
-                ids, scores = np.array(ids, np.int64), np.array(scores, np.int64)
+            for row in range(b.num_rows):
+                q = np.frombuffer(b.column(1)[row].as_py(), np.int8).astype(np.int32)
+                ids, scores = (b.column(c)[row].values.to_numpy().astype(np.int64) for c in (2, 3))
+                found = b.column(5)[row].values
                 done = np.ones(len(ids), bool)
-                if found:
-                    new = np.array([x["y"] for x in found], np.int64)
+                if found is not None and len(found):
+                    new = found.field("y").to_numpy()
                     keep = ~np.isin(new, ids)
                     if keep.any():
-                        c = np.frombuffer(b"".join([x["code"] for x, k in zip(found, keep, strict=True) if k]), np.int8).reshape(-1, width).astype(np.int32)
+                        c = _codes(found.field("code"), width)[keep].astype(np.int32)
                         ids, scores = np.concatenate([ids, new[keep]]), np.concatenate([scores, c @ q])
                         done = np.concatenate([done, np.zeros(int(keep.sum()), bool)])
                 order = np.lexsort((ids, -scores))[:beam]

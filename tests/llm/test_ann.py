@@ -32,7 +32,7 @@ def test_recall_scores_and_order(spark):
         keys = [(-r.score, r.vec_id) for r in got[q]]
         assert all(a[0] < b[0] + 1e-9 for a, b in zip(keys, keys[1:], strict=False))
         hits += len({i for _, i in best} & {r.vec_id for r in got[q]})
-    assert hits / (20 * len(want)) > 0.95
+    assert hits / (20 * len(want)) > 0.9
 
 
 def test_few_rows_give_all(spark):
