@@ -31,8 +31,7 @@ from .common import materialize, text_of
 
 #: Characters of text a block holds before it is closed.
 BLOCK = 24_000_000
-#: Parts of a block's word list, each with one home partition; and words that a task keeps encoded.
-PARTS = 64
+#: Words that a task keeps encoded.
 MOST_WORDS = 400_000
 #: Up to U+017F only U+0130 changes under NFC or, in lower case, leaves the range or becomes two characters.
 _ODD = re.compile("[\u0130\u0180-\U0010ffff]")
@@ -96,51 +95,60 @@ def vocabulary(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 
 class _Words(dict):
-    """Positions of a block's words: number within the word's part, times PARTS, plus the part."""
-
-    def __init__(self):
-        self.parts: list[list[str]] = [[] for _ in range(PARTS)]
+    """Words in the order in which they were met."""
 
     def __missing__(self, word: str) -> int:
-        part = zlib.crc32(word.encode()) % PARTS
-        self[word] = at = len(self.parts[part]) * PARTS + part
-        self.parts[part].append(word)
+        self[word] = at = len(self)
         return at
 
 
-def _blocks(path: str, size: int, schema: pa.Schema):
+def _laid_out(known: dict, spots: list[np.ndarray], parts: int) -> tuple[np.ndarray, list[list[str]]]:
+    """Each word's position (its place in its part, times parts, plus the part; frequent words first) and the words of each part."""
+    words = list(known)
+    part = np.fromiter((zlib.crc32(w.encode()) % parts for w in words), np.int64, len(words))
+    often = np.bincount(np.concatenate(spots), minlength=len(words)) if words else np.zeros(0, np.int64)
+    order = np.lexsort((-often, part))
+    sizes = np.bincount(part, minlength=parts)
+    place = np.empty(len(words), np.int64)
+    place[order] = np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    lists = [[words[i] for i in some] for some in np.split(order, np.cumsum(sizes)[:-1])]
+    return place * parts + part, lists
+
+
+def _blocks(path: str, size: int, parts: int, schema: pa.Schema):
     """Rows (kept columns, block, part, pack): documents with their positions (part null), and a block's words by part."""
 
     def run(batches):
         split = splitter(path).words
         kept_names = schema.names[:-3]
 
-        def rows(parts, known):
+        def rows(held, known):
             block = secrets.randbits(62)
-            for kept, spots in parts:
+            position, lists = _laid_out(known, [x for _, spots in held for x in spots], parts)
+            for kept, spots in held:
                 n = kept.num_rows
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([block] * n), pa.nulls(n, pa.int32()), pa.array(spots, pa.binary())], schema=schema)
-            used = [i for i, w in enumerate(known.parts) if w]
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.array([_pack(position[x]) for x in spots], pa.binary())], schema=schema)
+            used = [i for i, w in enumerate(lists) if w]
             n = len(used)
-            packs = [_squeeze("\n".join(known.parts[i]).encode()) for i in used]
+            packs = [_squeeze("\n".join(lists[i]).encode()) for i in used]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(n, schema.field(k).type) for k in kept_names), pa.array([block] * n, pa.int64()), pa.array(used, pa.int32()), pa.array(packs, pa.binary())], schema=schema)
 
-        parts, known, held = [], _Words(), 0
+        held, known, weight = [], _Words(), 0
         for batch in batches:
             kept = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(schema)[:-3]))
             texts = batch.column(batch.num_columns - 1)
             spots, first = [], 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
-                spots.append(_pack([known[w] for w in split(text)]))
-                held += len(text) + 50
-                if held >= size:
-                    yield from rows([*parts, (kept.slice(first, len(spots)), spots)], known)
-                    parts, known, held, spots, first = [], _Words(), 0, [], i + 1
+                spots.append(np.array([known[w] for w in split(text)], np.int64))
+                weight += len(text) + 50
+                if weight >= size:
+                    yield from rows([*held, (kept.slice(first, len(spots)), spots)], known)
+                    held, known, weight, spots, first = [], _Words(), 0, [], i + 1
             if spots:
-                parts.append((kept.slice(first, len(spots)), spots))
-        if parts:
-            yield from rows(parts, known)
+                held.append((kept.slice(first, len(spots)), spots))
+        if held:
+            yield from rows(held, known)
 
     return run
 
@@ -157,10 +165,10 @@ def _swell(packed: bytes) -> bytes:
     return zstandard.decompress(packed)
 
 
-def _pack(numbers: list[int]) -> bytes:
+def _pack(numbers) -> bytes:
     """High bytes hardly vary: bytes are laid in planes and compressed."""
-    a = np.array(numbers, "<u4")
-    return _squeeze(a.view(np.uint8).reshape(-1, 4).T.tobytes()) if numbers else b""
+    a = np.asarray(numbers).astype("<u4")
+    return _squeeze(a.view(np.uint8).reshape(-1, 4).T.tobytes()) if len(a) else b""
 
 
 def _unpack(packed: bytes) -> list[int]:
@@ -169,12 +177,18 @@ def _unpack(packed: bytes) -> list[int]:
     return np.ascontiguousarray(np.frombuffer(_swell(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel().tolist()
 
 
-def encoded_blocks(docs: DataFrame, keep: list, text_col: str = "text", path: str | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(documents by block, ids of the block's words by block and part)."""
+def word_parts(docs: DataFrame) -> int:
+    """Parts of a block's word list, each with one home partition: two for each partition of the input, 64 to 4096."""
+    return min(4096, max(64, 1 << (2 * docs.rdd.getNumPartitions() - 1).bit_length()))
+
+
+def encoded_blocks(docs: DataFrame, keep: list, text_col: str = "text", path: str | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame, int]:
+    """(documents by block, ids of the block's words by block and part, number of parts)."""
     path = path or tokenizer_path()
+    parts = word_parts(docs)
     source = docs.select(*keep, text_of(docs, text_col).alias("__sigweave_text"))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in source.schema.fields[:-1]] + T.StructType.fromDDL("__block bigint, __part int, __pack binary").fields)
-    all_rows = materialize(source.mapInArrow(_blocks(path, block, to_arrow_schema(schema)), schema), "blocks")
+    all_rows = materialize(source.mapInArrow(_blocks(path, block, parts, to_arrow_schema(schema)), schema), "blocks")
     words = all_rows.where(F.col("__part").isNotNull()).select("__block", "__part", "__pack").repartition("__part")
 
     def encode(batches):
@@ -192,7 +206,7 @@ def encoded_blocks(docs: DataFrame, keep: list, text_col: str = "text", path: st
                 out.append(_pack([len(ids), *map(len, ids), *(i for x in ids for i in x)]))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["__of", "__part", "__ids"])
 
-    return all_rows.where(F.col("__part").isNull()).drop("__part"), words.mapInArrow(encode, "__of bigint, __part int, __ids binary")
+    return all_rows.where(F.col("__part").isNull()).drop("__part"), words.mapInArrow(encode, "__of bigint, __part int, __ids binary"), parts
 
 
 def decode(rows: DataFrame, key: str, ids: str, spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -206,17 +220,17 @@ def decode(rows: DataFrame, key: str, ids: str, spark: SparkSession, path: str |
     return named.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["piece"]), " ").alias("decoded"))
 
 
-def _block_lists(right: pa.Table, path: str) -> tuple[list, list, list]:
+def _block_lists(right: pa.Table, path: str, parts: int) -> tuple[list, list, list]:
     """By position: the ids of a word, their decimal text, and their pieces, joined by id."""
     ids: list[list[int]] = []
     for part, pack in zip(right.column("__part").to_pylist(), right.column("__ids").to_pylist(), strict=True):
         flat = _unpack(pack)
         n = flat[0]
-        if len(ids) < n * PARTS:
-            ids += [()] * (n * PARTS - len(ids))
+        if len(ids) < n * parts:
+            ids += [()] * (n * parts - len(ids))
         at = n + 1
         for i, k in enumerate(flat[1 : n + 1]):
-            ids[i * PARTS + part] = flat[at : at + k]
+            ids[i * parts + part] = flat[at : at + k]
             at += k
     used = pa.table({"id": pa.array(sorted({i for x in ids for i in x}), pa.int32())})
     joined = used.join(splitter(path).pieces, "id")
@@ -224,11 +238,11 @@ def _block_lists(right: pa.Table, path: str) -> tuple[list, list, list]:
     return ids, [" ".join(map(str, x)) for x in ids], [" ".join([piece[i] for i in x]) for x in ids]
 
 
-def _join_back(path: str, schema: pa.Schema, finish):
+def _join_back(path: str, parts: int, schema: pa.Schema, finish):
     """For each block: finish(positions of a document, the block's lists) for each document."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = _block_lists(right, path)
+        lists = _block_lists(right, path, parts)
         made = [finish(_unpack(p), lists) for p in left.column("__pack").to_pylist()]
         kept = left.drop_columns(["__block", "__pack"])
         new = list(zip(*made, strict=True)) or [[] for _ in list(schema)[kept.num_columns :]]
@@ -250,9 +264,9 @@ def _digests(at, lists):
 
 
 def _apply(docs: DataFrame, keep: list, made: str, finish, **options) -> DataFrame:
-    left, right = encoded_blocks(docs, keep, **options)
+    left, right, parts = encoded_blocks(docs, keep, **options)
     schema = T.StructType(left.drop("__block", "__pack").schema.fields + T.StructType.fromDDL(made).fields)
-    return left.groupBy("__block").cogroup(right.groupBy("__of")).applyInArrow(_join_back(options.get("path") or tokenizer_path(), to_arrow_schema(schema), finish), schema)
+    return left.groupBy("__block").cogroup(right.groupBy("__of")).applyInArrow(_join_back(options.get("path") or tokenizer_path(), parts, to_arrow_schema(schema), finish), schema)
 
 
 def encode(docs: DataFrame, keep: list, **options) -> DataFrame:
