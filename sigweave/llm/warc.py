@@ -64,11 +64,12 @@ def _records(ids, urls, texts, digests, least, firsts):
     return [out]
 
 
-def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", compression: str = "gzip") -> None:
     """Write one record for each row of pages to archives below path, one for each task.
 
     Null html counts as empty. Rows that share the smallest id of their payload are all responses; a null id is greater than any other, so
-    that rows with null ids are responses only where no row has an id. Payloads shorter than `least` bytes are all responses.
+    that rows with null ids are responses only where no row has an id. Payloads shorter than `least` bytes are all responses. Archives are
+    gzip files by default, each one split when read; with compression="none" large archives are read in many splits.
     """
     html = text_of(pages, html_col)
     base = map_columns(pages, [F.col(id_col).alias("id"), text_of(pages, url_col).alias("url"), html.alias("html")], [html], {"digest": "string"}, _digested)
@@ -78,7 +79,7 @@ def write(pages: DataFrame, path: str, least: int = 0, id_col: str = "page_id",
     rows = base.join(shared, "digest", "left")  # payloads of one page alone have no partner here
     first = F.coalesce("first", "id")
     made = map_columns(rows, [], [F.col("id"), F.col("url"), F.col("html"), F.col("digest"), F.col("enough"), first], {"value": "string"}, _records)
-    made.write.option("lineSep", END.decode()).text(path)
+    made.write.option("lineSep", END.decode()).option("compression", compression).text(path)
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -189,42 +190,70 @@ def owners(spark: SparkSession, path: str) -> DataFrame:
     return found.where("record IS NOT NULL")
 
 
+def _fields(v: bytes) -> tuple:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of a record's bytes behind the version line."""
+    end = v.find(END)
+    head = dict(line.split(": ", 1) for line in v[:end].decode().split("\r\n"))
+    block = v[end + 4 : end + 4 + int(head["Content-Length"])]
+    kind = head["WARC-Type"]
+    payload = block[block.find(END) + 4 :] if kind == "response" else None
+    page = lambda x: None if x is None or ":null-" in x else int(x[1:-1].rpartition(":")[2])
+    length = int(head["WARC-Payload-Length"]) if payload is None else len(payload)
+    hashed = head["WARC-Payload-Digest"].removeprefix("sha1:") if payload is None else digest(payload)
+    return page(head["WARC-Record-ID"]), length, hashed, kind, page(head.get("WARC-Refers-To"))
+
+
 def _parsed(values):
-    out: list[list] = [[] for _ in range(5)]
-    for v in as_bytes(values):
-        end = v.find(END)
-        head = dict(line.split(": ", 1) for line in v[:end].decode().split("\r\n"))
-        block = v[end + 4 : end + 4 + int(head["Content-Length"])]
-        kind = head["WARC-Type"]
-        payload = block[block.find(END) + 4 :] if kind == "response" else None
-        page = lambda x: None if x is None or ":null-" in x else int(x[1:-1].rpartition(":")[2])
-        length = int(head["WARC-Payload-Length"]) if payload is None else len(payload)
-        hashed = head["WARC-Payload-Digest"].removeprefix("sha1:") if payload is None else digest(payload)
-        for o, x in zip(out, (page(head["WARC-Record-ID"]), length, hashed, kind, page(head.get("WARC-Refers-To"))), strict=True):
-            o.append(x)
-    return out
-
-
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, record, value): every record of the archives below path, value being its bytes behind the version line.
+    return [list(x) for x in zip(*map(_fields, as_bytes(values)), strict=True)]
+
+
+_MADE = {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"}
+
+
+def _parsed_pieces(batches):
+    """Pieces that hold all that their header announces, parsed where they are read; what is no record of ours is null."""
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    for _, _, places, values, b in _walk(batches):
+        rows = []
+        for v in values:
+            x = _extent(v)
+            try:
+                rows.append(_fields(v) if 0 < x <= len(v) else (None,) * 5)
+            except (KeyError, ValueError):
+                rows.append((None,) * 5)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(places, pa.int64()), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types, strict=True))], names=["file", "split", "at", *_MADE])
+
+
+def records(spark: SparkSession, path: str, of: DataFrame | None = None) -> DataFrame:
+    """(file, record, value): every record of the archives below path, or those of the pieces given (see owners), value being its bytes behind the version line.
 
     Records whose payload holds version lines are put together from their pieces, across splits too; a piece is never taken for a record.
     """
-    pieces = _chunks(spark, path).mapInArrow(_placed, "file string, split bigint, at bigint, value binary").join(owners(spark, path), ["file", "split", "at"])
-    ordered = F.sort_array(F.collect_list(F.struct("split", "at", "value")))
-    whole = pieces.groupBy("file", "record").agg(ordered.alias("parts"))
+    of = owners(spark, path) if of is None else of
+    pieces = _chunks(spark, path).mapInArrow(_placed, "file string, split bigint, at bigint, value binary").join(of, ["file", "split", "at"])
+    whole = pieces.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("split", "at", "value"))).alias("parts"))
     joined = F.when(F.size("parts") == 1, F.col("parts")[0]["value"]).otherwise(F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["value"])), MAGIC.encode().hex())))
     return whole.select("file", "record", joined.alias("value"))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record; of a response both are computed from the payload read, of a revisit they are those of its header."""
-    made = {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"}
-    return map_columns(records(spark, path), [], [F.col("value")], made, _parsed)
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every record; of a response both are computed from the payload read, of a revisit they are those of its header.
+
+    Records of one piece are parsed by the tasks that read them, and only these columns meet the chain's verdict; the bytes of records in
+    several pieces are brought together.
+    """
+    own = owners(spark, path)
+    own = materialize(own.join(own.groupBy("file", "record").agg(F.count("*").alias("pieces")), ["file", "record"]), "records")
+    parsed = _chunks(spark, path).mapInArrow(_parsed_pieces, "file string, split bigint, at bigint, " + ", ".join(f"{k} {t}" for k, t in _MADE.items()))
+    single = parsed.join(own.where("pieces = 1"), ["file", "split", "at"]).select(*_MADE)
+    several = own.where("pieces > 1").drop("pieces")
+    if several.isEmpty():
+        return single
+    return single.unionByName(map_columns(records(spark, path, several), [], [F.col("value")], _MADE, _parsed))
 
 
-def round_trip(pages: DataFrame) -> DataFrame:
+def round_trip(pages: DataFrame, **options) -> DataFrame:
     """Write pages to archives in the shared folder and read them back."""
     path = fresh_path(pages.sparkSession, "warc")
-    write(pages, path)
+    write(pages, path, **options)
     return read(pages.sparkSession, path)

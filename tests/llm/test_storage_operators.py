@@ -39,8 +39,8 @@ def test_placing_balances_all_three():
         assert load.max() / load.mean() < most
 
 
-@pytest.mark.parametrize("split", ["128m", "3000b"])
-def test_warc_round_trip(spark, split):
+@pytest.mark.parametrize("split, compression", [("128m", "gzip"), ("128m", "none"), ("3000b", "none")])
+def test_warc_round_trip(spark, split, compression):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     rows = [(i, f"http://x/{i}", f"<p>{i % 50}</p>" * (i % 7 * 30 + 1), 1) for i in range(300)]
     rows += [(1000 + i, "u v\r\n", fake * (i + 1) + "é" * 2000 + fake, 2) for i in range(20)] + [(2000, "", None, 0), (2001, None, "", 0), (5, "x", "dup", 0), (5, "x", "dup", 0), (None, "n", "lonely", 0), (None, "n", "<p>1</p>" * 31, 0), (3000, "m", "WARC/1.1\r\n", 0), (3001, "m", "\r\n\r\nWARC/1.1\r\n\r\n", 0)]
@@ -48,7 +48,7 @@ def test_warc_round_trip(spark, split):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        got = sorted(map(tuple, warc.round_trip(df).collect()), key=str)
+        got = sorted(map(tuple, warc.round_trip(df, compression=compression).collect()), key=str)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     least = {}
