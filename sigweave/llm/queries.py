@@ -90,5 +90,19 @@ SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(rest
 """
 
 
+OP10_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, min(page_id) OVER (PARTITION BY h) AS first,
+    list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), 'string_agg', '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": OP6_SQL}
+    return {"op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL}
