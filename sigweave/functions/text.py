@@ -126,6 +126,6 @@ def variants(df: DataFrame, term: str, keys: list[str], curation: bool = False)
 def probe_terms(c: Column) -> Column:
     """Ordered, distinct forms under which a term is looked up."""
     t = normalize_drug_v3(c)
-    salt = strip_salt(c)
-    forms = [t, clean_term(c, FORM_WORDS_CURATION), normalize_drug_v3(F.replace(t, F.lit(" AND "), F.lit(" / "))), normalize_drug_v3(F.replace(t, F.lit(" OR "), F.lit(" / "))), salt, clean_term(salt, FORM_WORDS_CURATION)]
+    cleaned = clean_term(c, FORM_WORDS_CURATION)
+    forms = [t, cleaned, normalize_drug_v3(F.replace(t, F.lit(" AND "), F.lit(" / "))), normalize_drug_v3(F.replace(t, F.lit(" OR "), F.lit(" / "))), strip_salt(c), strip_salt(cleaned)]
     return F.filter(F.array_distinct(F.array(*forms)), lambda x: x != "")

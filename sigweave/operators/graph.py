@@ -78,3 +78,26 @@ def core_graph(compounds: DataFrame, outcomes: DataFrame, hierarchy: DataFrame,
     tables["edge_parent"] = hierarchy.join(tables["node_outcome"], "outcome", "left_semi")
     tables["node_parent"] = tables["edge_parent"].select("parent").na.drop().distinct()
     return tables
+
+
+def repaired_nodes(edges: list[DataFrame], hierarchy: DataFrame) -> dict[str, DataFrame]:
+    """Outcome nodes with their smallest name from edges (pt_code, pt_name), the parents of these, and parent nodes; hierarchy has one parent for each child."""
+    node = nodes_of(edges, "pt_code", F.col("pt_name")).withColumnRenamed("name", "pt_name")
+    edge = hierarchy.select("pt_code", "soc_code_primary", "soc_name_primary").join(node, "pt_code", "left_semi")
+    parents = edge.select(F.col("soc_name_primary").alias("soc_name"), F.col("soc_code_primary").alias("soc_code")).distinct()
+    return {"node_pt": node, "edge_pt_soc_primary": edge, "node_soc": parents}
+
+
+def bilingual(df: DataFrame, key: str, name: str, english: DataFrame, other: DataFrame, out: str) -> DataFrame:
+    """df with <out>_en (else its own name) and <out>_zh (else empty) from (code, label) tables."""
+    df = labelled(df, key, english.withColumnRenamed("code", key), "label", F.coalesce(F.col(name), F.lit("")), f"{out}_en")
+    return labelled(df, key, other.withColumnRenamed("code", key), "label", F.lit(""), f"{out}_zh")
+
+
+def reference_reactions(node_pt: DataFrame, edge_soc: DataFrame, pt: tuple[DataFrame, DataFrame], soc: tuple[DataFrame, DataFrame], members: dict[str, DataFrame]) -> DataFrame:
+    """Each outcome with labels in two languages, its parent (null if it has none) and a 0/1 flag for each graph; order by pt_code."""
+    rows = node_pt.select("pt_code", "pt_name").join(edge_soc.select("pt_code", "soc_code_primary", "soc_name_primary"), "pt_code", "left").distinct()
+    rows = bilingual(rows, "pt_code", "pt_name", *pt, "pt_name").withColumn("__none", F.lit(""))
+    rows = bilingual(rows, "soc_code_primary", "__none", *soc, "soc_name")
+    rows = flags(rows, "pt_code", members)
+    return rows.select("pt_code", "pt_name_en", "pt_name_zh", "soc_code_primary", "soc_name_en", "soc_name_zh", *members)

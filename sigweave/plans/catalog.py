@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import dedup, graph, match, report
+from ..operators import dedup, graph, match, reactions, report, structures
 from ..sources import ragged
 
 _QUERIES: dict = {}
@@ -391,3 +391,152 @@ def parse_counters(spark, d):
 def batch_ids(spark, d):
     o = _read(spark, d, "orders").select(F.struct((-F.col("o_totalprice")).alias("p"), "o_orderkey").alias("k"))
     return graph.surrogate(o, "k", "n").select(F.col("k.o_orderkey").alias("o_orderkey"), F.floor((F.col("n") - 1) / 500).alias("batch_id"))
+
+
+def _reaction_map(spark, d):
+    """Terms are part types; every third word list is a preferred name, others lower-level names, hints or nothing."""
+    part = _read(spark, d, "part").select(F.upper("p_type").alias("t")).distinct().withColumn("n", F.length("t") % 4)
+    code = F.concat(F.lit("C"), F.length("t").cast("string"), F.substring("t", 1, 2))
+    preferred = part.where("n = 0").select(F.col("t").alias("name"), code.alias("code"))
+    lower = part.where("n = 1").select(F.col("t").alias("name"), F.lit("C0").alias("code"))
+    hints = part.where("n = 2").select(F.col("t").alias("term"), F.when(F.length("t") % 3 == 0, "C1").otherwise("C0").alias("code"))
+    preferred = preferred.unionByName(spark.createDataFrame([("BASE", "C0")], "name string, code string"))
+    return reactions.standardize(part.select(F.col("t").alias("pt_norm")), preferred, lower, hints)
+
+
+_REACTION_MAP = """WITH t AS (SELECT DISTINCT upper(p_type) AS t, length(p_type) % 4 AS n, length(p_type) AS l FROM part), m AS (
+  SELECT t AS pt_norm, CASE WHEN n = 2 THEN CASE WHEN l % 3 = 0 THEN 'C1' ELSE 'C0' END ELSE '' END AS hint,
+    CASE WHEN n = 0 THEN 'C' || l || t[1:2] WHEN n = 1 OR n = 2 AND l % 3 <> 0 THEN 'C0' ELSE '' END AS code,
+    CASE WHEN n = 0 THEN (SELECT min(x.t) FROM t x WHERE x.n = 0 AND x.l = y.l AND x.t[1:2] = y.t[1:2]) WHEN n = 1 OR n = 2 AND l % 3 <> 0 THEN 'BASE' ELSE '' END AS name,
+    CASE WHEN n = 0 THEN 'PT_EXACT' WHEN n = 1 THEN 'LLT_TO_PT' WHEN n = 2 AND l % 3 <> 0 THEN 'MANUAL_CODE_HINT' WHEN n = 2 THEN 'MANUAL_HINT_CODE_UNRESOLVED' ELSE 'UNRESOLVED_WITH_MEDDRA' END AS map_source FROM t y)"""
+
+
+@query(f"{_REACTION_MAP} SELECT * FROM m")
+def reaction_standardize(spark, d):
+    return _reaction_map(spark, d)
+
+
+def _reaction_facts(spark, d):
+    part = _read(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.upper("p_type").alias("pt_norm"))
+    lines = _read(spark, d, "lineitem").select(F.col("l_orderkey").alias("primaryid"), F.col("l_orderkey").alias("caseid"), "l_partkey")
+    return lines.join(part, "l_partkey").select("primaryid", "caseid", "pt_norm")
+
+
+_REACTION_FACTS = "f AS (SELECT l_orderkey AS primaryid, l_orderkey AS caseid, upper(p_type) AS pt_norm FROM lineitem JOIN part ON p_partkey = l_partkey)"
+
+
+@query(f"""{_REACTION_MAP}, {_REACTION_FACTS}, b AS (SELECT DISTINCT primaryid, caseid, code, name, map_source FROM f JOIN m USING (pt_norm) WHERE code <> '')
+SELECT code AS pt_code, name AS pt_name, count(*) AS n_case_reaction_rows, count(DISTINCT primaryid) AS n_primaryid FROM b GROUP BY code, name""")
+def reaction_code_counts(spark, d):
+    return reactions.code_counts(reactions.facts_by_code(_reaction_facts(spark, d), _reaction_map(spark, d)))
+
+
+@query(f"{_REACTION_MAP}, {_REACTION_FACTS} SELECT pt_norm, count(*) AS cnt FROM f JOIN m USING (pt_norm) WHERE code = '' GROUP BY pt_norm")
+def reaction_unresolved(spark, d):
+    return reactions.unresolved_counts(_reaction_facts(spark, d), _reaction_map(spark, d))
+
+
+def _overrides(spark, d):
+    """Terms without a code get the base code where their length is even, else a code that nothing names."""
+    terms = _read(spark, d, "part").select(F.upper("p_type").alias("pt_norm")).distinct().where(F.length("pt_norm") % 4 >= 2)
+    code = F.when(F.length("pt_norm") % 2 == 0, "C0").otherwise("C9")
+    return terms.select("pt_norm", code.alias("code"), F.lit("manual").alias("reason"), F.lit(1).cast("bigint").alias("line_no"))
+
+
+_OVERRIDDEN = _REACTION_MAP + """, o AS (SELECT pt_norm, CASE WHEN length(pt_norm) % 4 = 2 AND EXISTS (SELECT 1 FROM m WHERE code = 'C0') THEN 'C0' END AS oc FROM m),
+n AS (SELECT pt_norm, hint, coalesce(oc, code) AS code, CASE WHEN oc IS NULL THEN name ELSE 'BASE' END AS name, CASE WHEN oc IS NULL THEN map_source ELSE 'MANUAL_TERM_OVERRIDE' END AS map_source FROM m JOIN o USING (pt_norm))"""
+
+
+@query(f"{_OVERRIDDEN} SELECT * FROM n")
+def reaction_overrides(spark, d):
+    none = spark.createDataFrame([], "code string, name string")
+    return reactions.overridden(_reaction_map(spark, d), _overrides(spark, d), none)["term_map"]
+
+
+@query(f"""{_OVERRIDDEN}, {_REACTION_FACTS}, b AS (SELECT DISTINCT primaryid, caseid, code AS pt_code, name AS pt_name, map_source FROM f JOIN m USING (pt_norm) WHERE code <> ''),
+a AS (SELECT DISTINCT primaryid, caseid, code AS pt_code, name AS pt_name, map_source FROM f JOIN n USING (pt_norm) WHERE code <> '' AND length(pt_norm) % 4 >= 2)
+SELECT map_source, count(*) AS n FROM (SELECT * FROM a UNION SELECT * FROM b) GROUP BY map_source""")
+def reaction_refresh(spark, d):
+    facts, before, overrides = _reaction_facts(spark, d), _reaction_map(spark, d), _overrides(spark, d)
+    after = reactions.overridden(before, overrides, spark.createDataFrame([], "code string, name string"))["term_map"]
+    base = reactions.refreshed_facts(reactions.facts_by_code(facts, before), facts, after, overrides)
+    return base.groupBy("map_source").agg(F.count("*").alias("n"))
+
+
+@query(f"""{_REACTION_MAP}, {_REACTION_FACTS} SELECT count(*) FILTER (code = '') AS unmapped_terms, (SELECT count(*) FROM f JOIN m USING (pt_norm) WHERE code <> '') AS mapped_rows FROM m""")
+def reaction_map_metrics(spark, d):
+    return reactions.map_metrics(_reaction_facts(spark, d), _reaction_map(spark, d))
+
+
+def _soc_edges(spark, d):
+    """Edges to nations under their own name (suppliers) and in lower case (customers); the hierarchy is the regions'."""
+    n = _read(spark, d, "nation")
+    key = F.col("n_nationkey").cast("string")
+    s = _read(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(key.alias("pt_code"), F.col("n_name").alias("pt_name"))
+    c = _read(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(key.alias("pt_code"), F.lower("n_name").alias("pt_name"))
+    tree = n.where("n_nationkey % 7 <> 0").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    tree = tree.select(key.alias("pt_code"), F.col("r_regionkey").cast("string").alias("soc_code_primary"), F.col("r_name").alias("soc_name_primary"))
+    return [s, c], tree
+
+
+_NODES = """WITH e AS (SELECT s_nationkey AS k, n_name AS nm FROM supplier JOIN nation ON n_nationkey = s_nationkey UNION SELECT c_nationkey, lower(n_name) FROM customer JOIN nation ON n_nationkey = c_nationkey),
+p AS (SELECT k::VARCHAR AS pt_code, min(nm) AS pt_name FROM e GROUP BY k),
+h AS (SELECT n_nationkey::VARCHAR AS pt_code, r_regionkey::VARCHAR AS soc_code_primary, r_name AS soc_name_primary FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 7 <> 0)"""
+
+
+@query(f"""{_NODES} SELECT 'pt' AS kind, pt_code AS code, pt_name AS name FROM p UNION ALL SELECT 'edge', pt_code, soc_name_primary FROM h WHERE pt_code IN (SELECT pt_code FROM p)
+UNION ALL SELECT DISTINCT 'soc', soc_code_primary, soc_name_primary FROM h WHERE pt_code IN (SELECT pt_code FROM p)""")
+def node_repair(spark, d):
+    t = graph.repaired_nodes(*_soc_edges(spark, d))
+    tagged = lambda kind, df, code, name: df.select(F.lit(kind).alias("kind"), F.col(code).alias("code"), F.col(name).alias("name"))
+    return tagged("pt", t["node_pt"], "pt_code", "pt_name").unionByName(tagged("edge", t["edge_pt_soc_primary"], "pt_code", "soc_name_primary")).unionByName(tagged("soc", t["node_soc"], "soc_code", "soc_name"))
+
+
+@query(f"""{_NODES} SELECT p.pt_code, CASE WHEN p.pt_code::INT % 2 = 0 THEN 'EN' || p.pt_code ELSE pt_name END AS pt_name_en, CASE WHEN p.pt_code::INT % 2 = 0 THEN 'ZH' || p.pt_code ELSE '' END AS pt_name_zh, soc_code_primary,
+CASE WHEN soc_code_primary::INT % 2 = 0 THEN 'EN' || soc_code_primary ELSE '' END AS soc_name_en, CASE WHEN soc_code_primary::INT % 2 = 0 THEN 'ZH' || soc_code_primary ELSE '' END AS soc_name_zh,
+(p.pt_code::INT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000))::INT AS in_rich FROM p LEFT JOIN h USING (pt_code)""")
+def reference_reactions(spark, d):
+    edges, tree = _soc_edges(spark, d)
+    t = graph.repaired_nodes(edges, tree)
+    codes = spark.range(0, 25, 2).select(F.col("id").cast("string").alias("code"))
+    label = lambda lang: codes.select("code", F.concat(F.lit(lang), "code").alias("label"))
+    rich = _read(spark, d, "supplier").where("s_acctbal > 9000").select(F.col("s_nationkey").cast("string").alias("pt_code"))
+    return graph.reference_reactions(t["node_pt"], t["edge_pt_soc_primary"], (label("EN"), label("ZH")), (label("EN"), label("ZH")), {"in_rich": rich})
+
+
+def _structured_terms(spark, d):
+    """Terms are parts, ids their brands, structures their types; terms of size 7 are excluded."""
+    stage = F.when(F.col("p_size") == 7, "MANUAL_EXCLUDE").otherwise("EXACT")
+    return _read(spark, d, "part").select(F.col("p_partkey").cast("string").alias("term_std"), F.col("p_brand").alias("id"), F.lower("p_brand").alias("id_name"), F.col("p_type").alias("structure"), stage.alias("mapping_stage"))
+
+
+def _normalized(spark, d):
+    s = structures.distinct_structures(_structured_terms(spark, d))
+    n, raw = F.length("inchi_raw"), F.col("inchi_raw")
+    table = s.where(n % 5 != 0).select("inchi_raw", F.when(n % 7 == 0, "EMPTY_PARENT").otherwise("OK").alias("status"), F.concat(F.lit("K"), F.substring(raw, 1, 3)).alias("inchikey"), F.upper(raw).alias("inchi_std"), F.lower(raw).alias("smiles_std"), F.lit(1).cast("bigint").alias("n_frag_before"), F.lit(1).cast("bigint").alias("n_frag_after"), F.lit("ok").alias("note"))
+    return structures.by_table(s, table)
+
+
+@query("SELECT CASE WHEN length(t) % 5 = 0 THEN 'PARSE_FAIL' WHEN length(t) % 7 = 0 THEN 'EMPTY_PARENT' ELSE 'OK' END AS status, count(*) AS n FROM (SELECT DISTINCT p_type AS t FROM part WHERE p_size <> 7) GROUP BY 1")
+def structure_status(spark, d):
+    return structures.status_counts(_normalized(spark, d))
+
+
+@query("""SELECT 'K' || p_type[1:3] AS inchikey, min(upper(p_type)) AS inchi_std, min(lower(p_type)) AS smiles_std, count(DISTINCT p_partkey) AS term_count, count(DISTINCT p_brand) AS dbid_count,
+string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS dbid_list, string_agg(DISTINCT lower(p_brand), ',' ORDER BY lower(p_brand)) AS drugbank_name_list
+FROM part WHERE p_size <> 7 AND length(p_type) % 5 <> 0 AND length(p_type) % 7 <> 0 GROUP BY 1""")
+def structure_meta(spark, d):
+    return structures.structure_meta(structures.term_structures(_structured_terms(spark, d), _normalized(spark, d)))
+
+
+@query("SELECT p_type AS inchi, min(p_brand) AS dbid, min(lower(p_brand)) AS drugbank_name, count(DISTINCT p_partkey) AS term_count, count(DISTINCT p_brand) AS dbid_count FROM part GROUP BY p_type")
+def raw_structure_meta(spark, d):
+    return structures.raw_structure_meta(_structured_terms(spark, d))
+
+
+@query("""SELECT l_returnflag AS role, count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_returnflag, 'K' || p_type[1:3] FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE l_returnflag IN ('R', 'A') AND p_size <> 7 AND length(p_type) % 5 <> 0 AND length(p_type) % 7 <> 0) GROUP BY l_returnflag""")
+def report_compound_roles(spark, d):
+    drugs = _read(spark, d, "lineitem").select(F.col("l_orderkey").alias("primaryid"), F.col("l_orderkey").alias("caseid"), F.lower("l_returnflag").alias("role_cod"), F.col("l_partkey").cast("string").alias("drug_key_std"))
+    mapped = structures.term_structures(_structured_terms(spark, d), _normalized(spark, d))
+    return structures.report_compounds(drugs, mapped, ("R", "A")).groupBy("role").agg(F.count("*").alias("n"))
