@@ -60,7 +60,8 @@ class Splitter:
         splits = made["pre_tokenizer"]["pretokenizers"]
         word_only = made | {"added_tokens": [], "normalizer": None, "pre_tokenizer": splits[1], "truncation": None, "padding": None}
         self.model = Tokenizer.from_str(json.dumps(word_only))
-        slow = Tokenizer.from_str(json.dumps(made | {"added_tokens": [], "pre_tokenizer": splits[0], "truncation": None, "padding": None}))
+        # Only the normalizer and the splitter of this one are used, so it goes without the vocabulary.
+        slow = Tokenizer.from_str(json.dumps(made | {"added_tokens": [], "pre_tokenizer": splits[0], "truncation": None, "padding": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}))
         self.normalize, self.split_all = slow.normalizer.normalize_str, slow.pre_tokenizer.pre_tokenize_str
         self.vocabulary = made["model"]["vocab"] | self.special
         self.pieces = pa.table({"id": pa.array(self.vocabulary.values(), pa.int32()), "piece": pa.array(self.vocabulary, pa.string())})
@@ -140,7 +141,7 @@ def _blocks(path: str, size: int, parts: int, schema: pa.Schema):
             spots, first = [], 0
             for i in range(batch.num_rows):
                 text = texts[i].as_py() or ""
-                spots.append(np.array([known[w] for w in split(text)], np.int64))
+                spots.append(np.array([known[w] for w in split(text)], np.int32))
                 weight += len(text) + 50
                 if weight >= size:
                     yield from rows([*held, (kept.slice(first, len(spots)), spots)], known)
@@ -171,10 +172,10 @@ def _pack(numbers) -> bytes:
     return _squeeze(a.view(np.uint8).reshape(-1, 4).T.tobytes()) if len(a) else b""
 
 
-def _unpack(packed: bytes) -> list[int]:
+def _unpack(packed: bytes) -> np.ndarray:
     if not packed:
-        return []
-    return np.ascontiguousarray(np.frombuffer(_swell(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel().tolist()
+        return np.zeros(0, np.int32)
+    return np.ascontiguousarray(np.frombuffer(_swell(packed), np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def word_parts(docs: DataFrame) -> int:
@@ -220,49 +221,64 @@ def decode(rows: DataFrame, key: str, ids: str, spark: SparkSession, path: str |
     return named.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["piece"]), " ").alias("decoded"))
 
 
-def _block_lists(right: pa.Table, path: str, parts: int) -> tuple[list, list, list]:
-    """By position: the ids of a word, their decimal text, and their pieces, joined by id."""
-    ids: list[list[int]] = []
-    for part, pack in zip(right.column("__part").to_pylist(), right.column("__ids").to_pylist(), strict=True):
-        flat = _unpack(pack)
-        n = flat[0]
-        if len(ids) < n * parts:
-            ids += [()] * (n * parts - len(ids))
-        at = n + 1
-        for i, k in enumerate(flat[1 : n + 1]):
-            ids[i * parts + part] = flat[at : at + k]
-            at += k
-    used = pa.table({"id": pa.array(sorted({i for x in ids for i in x}), pa.int32())})
+def _block_ids(right: pa.Table, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all words of a block in one array, and by position a word's first place there and its number of ids."""
+    lists = [(part, _unpack(pack)) for part, pack in zip(right.column("__part").to_pylist(), right.column("__ids").to_pylist(), strict=True)]
+    most = max((int(x[0]) for _, x in lists), default=0) * parts
+    first, many, flat, at = np.zeros(most, np.int64), np.zeros(most, np.int32), [], 0
+    for part, x in lists:
+        n = int(x[0])
+        where = slice(part, part + n * parts, parts)
+        many[where] = x[1 : n + 1]
+        first[where] = at + np.cumsum(x[1 : n + 1], dtype=np.int64) - x[1 : n + 1]
+        flat.append(x[n + 1 :])
+        at += len(x) - n - 1
+    return (np.concatenate(flat) if flat else np.zeros(0, np.int32)), first, many
+
+
+def _ids(positions: list[bytes], right: pa.Table, path: str, parts: int) -> list[pa.Array]:
+    """Ids of each document."""
+    flat, first, many = _block_ids(right, parts)
+    values, sizes = [np.zeros(0, np.int32)], [0]
+    for at in map(_unpack, positions):
+        n = many[at]
+        before = np.cumsum(n, dtype=np.int64) - n
+        values.append(flat[np.repeat(first[at] - before, n) + np.arange(n.sum(dtype=np.int64))])
+        sizes.append(len(values[-1]))
+    return [pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), pa.array(np.concatenate(values), pa.int32()))]
+
+
+def _digests(positions: list[bytes], right: pa.Table, path: str, parts: int) -> list[pa.Array]:
+    """Number of ids, digest of the ids and of the decoded text; a piece comes from a join of the block's ids with the vocabulary."""
+    flat, first, many = _block_ids(right, parts)
+    used = pa.table({"id": pa.array(np.unique(flat), pa.int32())})
     joined = used.join(splitter(path).pieces, "id")
     piece = dict(zip(joined.column("id").to_pylist(), joined.column("piece").to_pylist(), strict=True))
-    return ids, [" ".join(map(str, x)) for x in ids], [" ".join([piece[i] for i in x]) for x in ids]
+    texts, decoded = [""] * len(first), [""] * len(first)
+    for i in np.flatnonzero(many).tolist():
+        word = flat[first[i] : first[i] + many[i]].tolist()
+        texts[i] = " ".join(map(str, word))
+        decoded[i] = " ".join([piece[x] for x in word])
+    counts, digests = [], ([], [])
+    for at in map(_unpack, positions):
+        counts.append(int(many[at].sum(dtype=np.int64)))
+        at = at.tolist()
+        for out, of_word in zip(digests, (texts, decoded), strict=True):
+            out.append(hashlib.sha256(" ".join([of_word[i] for i in at]).encode()).hexdigest())
+    return [pa.array(counts, pa.int64()), *(pa.array(x, pa.string()) for x in digests)]
 
 
 def _join_back(path: str, parts: int, schema: pa.Schema, finish):
-    """For each block: finish(positions of a document, the block's lists) for each document."""
+    """For each block: finish(packed positions of its documents, ids of its words) gives the new columns."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lists = _block_lists(right, path, parts)
-        made = [finish(_unpack(p), lists) for p in left.column("__pack").to_pylist()]
+        new = finish(left.column("__pack").to_pylist(), right, path, parts)
         kept = left.drop_columns(["__block", "__pack"])
-        new = list(zip(*made, strict=True)) or [[] for _ in list(schema)[kept.num_columns :]]
-        arrays = [pa.array(list(x), f.type) for x, f in zip(new, list(schema)[kept.num_columns :], strict=True)]
-        return pa.Table.from_arrays([*(c.cast(f.type) for c, f in zip(kept.columns, schema, strict=False)), *arrays], schema=schema)
+        return pa.Table.from_arrays([*(c.cast(f.type) for c, f in zip(kept.columns, schema, strict=False)), *new], schema=schema)
 
     return run
 
 
-def _ids(at, lists):
-    ids = lists[0]
-    return ([x for i in at for x in ids[i]],)
-
-
-def _digests(at, lists):
-    ids, texts, decoded = lists
-    sha = lambda parts: hashlib.sha256(" ".join([parts[i] for i in at]).encode()).hexdigest()
-    return sum([len(ids[i]) for i in at]), sha(texts), sha(decoded)
-
-
 def _apply(docs: DataFrame, keep: list, made: str, finish, **options) -> DataFrame:
     left, right, parts = encoded_blocks(docs, keep, **options)
     schema = T.StructType(left.drop("__block", "__pack").schema.fields + T.StructType.fromDDL(made).fields)
