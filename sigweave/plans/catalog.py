@@ -191,13 +191,13 @@ _wins("first", "ASC")
 _wins("last", "DESC")
 
 
-@query("""WITH f AS (SELECT o_orderkey AS primaryid, CASE WHEN o_orderkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS caseid, o_custkey AS selected, year(o_orderdate)::INTEGER AS year, quarter(o_orderdate)::INTEGER AS quarter FROM orders)
-SELECT year, quarter, count(*) AS n, sum((caseid <> selected)::INT)::BIGINT AS overridden, sum(selected)::BIGINT AS ids FROM f JOIN lineitem ON primaryid = l_orderkey WHERE primaryid % 3 <> 0 GROUP BY ALL""")
+@query("""WITH f AS (SELECT o_orderkey AS primaryid, CASE WHEN o_orderkey % 10 = 0 THEN o_custkey + 1 ELSE o_custkey END AS caseid, o_custkey AS selected, year(o_orderdate)::INTEGER AS year, quarter(o_orderdate)::INTEGER AS quarter, o_orderstatus FROM orders)
+SELECT year, quarter, count(*) AS n, sum((caseid <> selected)::INT)::BIGINT AS overridden, sum(selected)::BIGINT AS ids FROM f JOIN lineitem ON primaryid = l_orderkey WHERE o_orderstatus <> 'P' GROUP BY ALL""")
 def selected_case_override(spark, d):
-    o = _read(spark, d, "orders").select(F.col("o_orderkey").alias("primaryid"), F.col("o_custkey").alias("caseid"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"))
-    shifted = o.withColumn("caseid", F.when(F.col("primaryid") % 10 == 0, F.col("caseid") + 1).otherwise(F.col("caseid")))
+    o = _read(spark, d, "orders").select(F.col("o_orderkey").alias("primaryid"), F.col("o_custkey").alias("caseid"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"), "o_orderstatus")
+    shifted = o.drop("o_orderstatus").withColumn("caseid", F.when(F.col("primaryid") % 10 == 0, F.col("caseid") + 1).otherwise(F.col("caseid")))
     facts = shifted.join(_read(spark, d, "lineitem").select(F.col("l_orderkey").alias("primaryid"), "l_linenumber"), "primaryid")
-    got = dedup.select_facts(facts, o.where("primaryid % 3 <> 0"))
+    got = dedup.select_facts(facts, o.where("o_orderstatus <> 'P'").drop("o_orderstatus"))
     return got.groupBy("year", "quarter").agg(F.count("*").alias("n"), F.sum("caseid_overridden").alias("overridden"), F.sum("caseid").alias("ids"))
 
 
@@ -312,16 +312,16 @@ def stage_first_hit(spark, d):
     return match.first_hit(_candidates(spark, d).withColumn("stage", F.col("line_no") % 7), "k", "stage").select("k", "line_no", "tty")
 
 
-@query("""WITH r AS (SELECT DISTINCT 'p' || l_partkey AS a, 's' || l_suppkey AS b FROM lineitem WHERE l_partkey % 10 < 3), u AS (SELECT a, b FROM r UNION SELECT b, a FROM r), w AS (SELECT 'p' || p_partkey AS id FROM part WHERE p_partkey % 50 = 10),
-k AS (SELECT 's' || s_suppkey AS id FROM supplier WHERE s_suppkey % 9 = 0 UNION SELECT 'p' || p_partkey FROM part WHERE p_partkey % 40 = 1)
+@query("""WITH r AS (SELECT DISTINCT 'p' || l_partkey AS a, 's' || l_suppkey AS b FROM lineitem), u AS (SELECT a, b FROM r UNION SELECT b, a FROM r), w AS (SELECT 'p' || p_partkey AS id FROM part),
+k AS (SELECT 's' || s_suppkey AS id FROM supplier WHERE s_acctbal > 9000 UNION SELECT 'p' || p_partkey FROM part WHERE p_brand = 'Brand#11' AND p_size > 40)
 SELECT DISTINCT u.a AS id, u.b AS target FROM u JOIN w ON u.a = w.id JOIN k ON u.b = k.id UNION
 SELECT DISTINCT u.a, v.b FROM u JOIN w ON u.a = w.id JOIN u v ON u.b = v.a JOIN k ON v.b = k.id WHERE u.b NOT IN (SELECT id FROM k) AND u.a <> v.b""")
 def two_hop_bridge(spark, d):
     lines, part, supplier = (_read(spark, d, t) for t in ("lineitem", "part", "supplier"))
     name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    rel = lines.where("l_partkey % 10 < 3").select(name("p", "l_partkey").alias("a"), name("s", "l_suppkey").alias("b")).distinct()
-    linked = supplier.where("s_suppkey % 9 = 0").select(name("s", "s_suppkey").alias("id")).unionByName(part.where("p_partkey % 40 = 1").select(name("p", "p_partkey").alias("id")))
-    return match.bridge(rel, part.where("p_partkey % 50 = 10").select(name("p", "p_partkey").alias("id")), linked)
+    rel = lines.select(name("p", "l_partkey").alias("a"), name("s", "l_suppkey").alias("b")).distinct()
+    linked = supplier.where("s_acctbal > 9000").select(name("s", "s_suppkey").alias("id")).unionByName(part.where("p_brand = 'Brand#11' AND p_size > 40").select(name("p", "p_partkey").alias("id")))
+    return match.bridge(rel, part.select(name("p", "p_partkey").alias("id")), linked)
 
 
 @query("SELECT s_nationkey, coalesce(min(CASE WHEN s_acctbal > 5000 THEN s_suppkey END), min(s_suppkey)) AS s_suppkey FROM supplier GROUP BY s_nationkey")
@@ -353,10 +353,15 @@ def unresolved_topk(spark, d):
     return _read(spark, d, "events").groupBy(F.concat("event_type", F.lit("-"), F.col("user_id").cast("string")).alias("term")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(1000)
 
 
-@query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false ELSE true END AS non_drug FROM documents")
+_NON_DRUG_TEXT = "trim(t, chr(32) || chr(9) || chr(10) || chr(13)) IN ('', '.', '?', '??') OR regexp_matches(upper(t), '\\b(" + "|".join(text.NOT_DRUGS) + ")\\b')"
+
+
+@query(f"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 3 THEN false ELSE {_NON_DRUG_TEXT} END AS non_drug
+FROM (SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 5 = 2 THEN ' unknowns' ELSE '' END AS t FROM documents)""")
 def non_drug_flag(spark, d):
     i = F.col("doc_id") % 5
-    term = F.when(i == 0, " ").when(i == 1, "radiation therapy").when(i == 2, F.concat("source", F.lit(" unknowns"))).when(i == 3, "n/a").otherwise("?")
+    whole = F.coalesce("text", F.lit(""))
+    term = F.when(i == 0, " ").when(i == 1, F.concat(whole, F.lit(" radiation therapy"))).when(i == 2, F.concat(whole, F.lit(" unknowns"))).when(i == 3, "n/a").otherwise(whole)
     return _read(spark, d, "documents").select("doc_id", text.non_drug(term).alias("non_drug"))
 
 
@@ -474,14 +479,14 @@ def _soc_edges(spark, d):
     key = F.col("n_nationkey").cast("string")
     s = _read(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(key.alias("pt_code"), F.col("n_name").alias("pt_name"))
     c = _read(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(key.alias("pt_code"), F.lower("n_name").alias("pt_name"))
-    tree = n.where("n_nationkey % 7 <> 0").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    tree = n.join(_read(spark, d, "region").where("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"))
     tree = tree.select(key.alias("pt_code"), F.col("r_regionkey").cast("string").alias("soc_code_primary"), F.col("r_name").alias("soc_name_primary"))
     return [s, c], tree
 
 
 _NODES = """WITH e AS (SELECT s_nationkey AS k, n_name AS nm FROM supplier JOIN nation ON n_nationkey = s_nationkey UNION SELECT c_nationkey, lower(n_name) FROM customer JOIN nation ON n_nationkey = c_nationkey),
 p AS (SELECT k::VARCHAR AS pt_code, min(nm) AS pt_name FROM e GROUP BY k),
-h AS (SELECT n_nationkey::VARCHAR AS pt_code, r_regionkey::VARCHAR AS soc_code_primary, r_name AS soc_name_primary FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 7 <> 0)"""
+h AS (SELECT n_nationkey::VARCHAR AS pt_code, r_regionkey::VARCHAR AS soc_code_primary, r_name AS soc_name_primary FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'ASIA')"""
 
 
 @query(f"""{_NODES} SELECT 'pt' AS kind, pt_code AS code, pt_name AS name FROM p UNION ALL SELECT 'edge', pt_code, soc_name_primary FROM h WHERE pt_code IN (SELECT pt_code FROM p)
