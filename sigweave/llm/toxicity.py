@@ -183,13 +183,16 @@ def fit(toxic: list[str], ordinary: list[str], settings: Settings = Settings())
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(toxic, text) of at most per_class documents of each class whose crc32(id) mod 3 is not 1; an id with both labels counts as toxic."""
+    """(toxic, text) of at most per_class documents of each class whose crc32(id) mod 3 is not 1; an id with both labels counts as toxic.
+
+    Of rows that repeat an id the smallest text counts, so that no more than 2 x per_class texts reach the driver.
+    """
     key = F.col(id_col).cast("string")
     seen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.crc32(key) % 3 != 1)).groupBy(F.col(id_col).alias("__id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("toxic"))
     few = [seen.where(F.col("toxic") == c).orderBy(F.xxhash64(F.col("__id").cast("string")), "__id").limit(settings.per_class) for c in (0, 1)]
     few = few[0].unionByName(few[1])  # 2 x per_class rows at most
     texts = docs.select(F.col(id_col).alias("__id"), F.coalesce(text_of(docs, text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(few), "__id").select("toxic", "text")
+    return texts.join(F.broadcast(few), "__id").groupBy("__id").agg(F.first("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text")
 
 
 def fit_table(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), **columns) -> Model:

@@ -206,3 +206,6 @@ def test_toxicity_held_out(spark):
     assert kept.columns == df.columns and 600 <= kept.count() <= 630
     assert toxicity.scores(df, lab.limit(0)).where("predicted = 1").count() == 0
     assert toxicity.scores(df.limit(0), lab).count() == 0
+    again = df.unionByName(df.limit(500)).unionByName(df.where("doc_id = 2").withColumn("text", F.lit("~")))
+    few = toxicity.training_rows(again, lab, toxicity.Settings(per_class=50))
+    assert sorted(r.toxic for r in few.collect()) == [0] * 50 + [1] * 50 and few.where("text = '~'").count() == 0
