@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
 from ..operators.dedup import first_wins, last_wins
 
 
@@ -47,3 +48,19 @@ def correction_list(spark: SparkSession, path: str, actions: tuple[str, ...] | N
     rows = spark.read.option("header", True).csv(path).withColumn("line_no", F.monotonically_increasing_id())
     rows = rows.withColumn("action", F.upper(F.trim("action")))
     return last_wins(rows.where(F.col("action").isin(*actions)) if actions else rows, ["term_std"], ["line_no"])
+
+
+def override_list(spark: SparkSession, path: str, term: str = "pt_norm", code: str = "pt_code") -> DataFrame:
+    """(term, code, line_no) of rows that have both: a byte order mark goes, terms are stripped and put in upper case."""
+    rows = spark.read.option("header", True).csv(path)
+    rows = rows.toDF(*(c.lstrip("\ufeff") for c in rows.columns)).withColumn("line_no", F.monotonically_increasing_id())
+    rows = rows.select(F.upper(strip(F.coalesce(F.col(term), F.lit("")))).alias(term), strip(F.coalesce(F.col(code), F.lit(""))).alias(code), "line_no")
+    return rows.where((F.col(term) != "") & (F.col(code) != ""))
+
+
+def find_folder(spark: SparkSession, root: str, member: str = "pt.asc") -> str | None:
+    """The folder below root that holds a file `member`: the least deep one, then the first by name; None without one. Files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", member).load(root)
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    best = files.select(folder.alias("folder")).orderBy(F.size(F.split("folder", "/")), "folder").first()
+    return best and best.folder
