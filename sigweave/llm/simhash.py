@@ -121,15 +121,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = 32) -> DataFrame:
-    """docs with one document of each group: the smallest id (null last), then the smallest hash of the row."""
+def row_key(docs: DataFrame, id_col: str) -> Column:
+    """Order of rows: the smallest id (null last), then the smallest hash of the row."""
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns)))).alias("row"))
+
+
+def whole_rows(docs: DataFrame, row: Column, prints: DataFrame, best: DataFrame) -> DataFrame:
+    """The rows of docs whose key is in best (column k), one for each key; prints has the keys of all rows."""
     columns = docs.columns
-    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in columns)))).alias("row"))
-    prints = materialize(fingerprints(docs, [row.alias("k")], text_col), "prints")
-    firsts = materialize(prints.groupBy("fp").agg(F.min("k").alias("k")), "firsts")
-    best = print_components(firsts, bucket).join(firsts, "fp").groupBy("root").agg(F.min("k").alias("k"))
     kept = prints.join(best.select("k"), "k", "left_semi").groupBy("k").agg(F.count("*").alias("n"))
     found = docs.withColumn("__sigweave_k", row).join(kept.select(F.col("k").alias("__sigweave_k"), F.col("n").alias("__sigweave_n")), "__sigweave_k")
     once = found.where("__sigweave_n = 1")
     again = found.where("__sigweave_n > 1").dropDuplicates(["__sigweave_k"])
     return once.unionByName(again).select(*(F.col(f"`{c}`") for c in columns))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket: int = 32) -> DataFrame:
+    """docs with one document of each group: the smallest id (null last), then the smallest hash of the row."""
+    row = row_key(docs, id_col)
+    prints = materialize(fingerprints(docs, [row.alias("k")], text_col), "prints")
+    firsts = materialize(prints.groupBy("fp").agg(F.min("k").alias("k")), "firsts")
+    best = print_components(firsts, bucket).join(firsts, "fp").groupBy("root").agg(F.min("k").alias("k"))
+    return whole_rows(docs, row, prints, best)
