@@ -1,17 +1,18 @@
 """Approximate nearest neighbours by inner product: an NN-descent graph and greedy search in it.
 
 Equal vectors are one node, so copies cost nothing. Nodes get a coordinate more, which makes all equally long, so that nearness by angle is nearness by inner
-product; the graph is built on these, quantised to a byte a coordinate (their products are whole numbers and agree in every task).
+product. The graph is built on these. A vector's direction is quantised to a byte a coordinate by a scale of its own, which stands beside it with the added
+coordinate in double precision, so that one very long vector costs the others no precision (products of codes are whole numbers, and scores agree in every task).
 The graph starts from neighbours in a few random orders of all nodes (by the signs of random projections), cut into chunks. NN-descent then
 joins, for each node, its neighbours and those whose neighbour it is (the nearest of these) with each other, and every pair may
 improve the lists of both; only pairs with a link that is new since the last round are compared. Rounds are Spark joins over written tables.
 
-A query starts at its own node's neighbours and repeatedly expands the nearest candidates not yet expanded, all queries at once. The
-candidates left are scored on the original vectors in double precision.
+A query starts at its own node and at the longest ones, and repeatedly expands the nearest candidates not yet expanded, all queries at once. The candidates left are scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ class Settings:
     rounds: int = 5
     beam: int = 192
     steps: int = 6
+    longest: int = 64  # nodes that every query starts at besides its own
     rescored: int = 64
     seed: int = 7
 
@@ -49,19 +51,23 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _codes(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(-1, width)
+def _codes(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Directions (a byte a coordinate), their scales, and the added coordinates."""
+    got = np.frombuffer(b"".join(column.to_pylist()), np.dtype([("code", np.int8, (width,)), ("scale", np.float64), ("rest", np.float64)]))
+    return got["code"], got["scale"], got["rest"]
 
 
-def _quantised(nodes: DataFrame, width: int, longest: float, top: float) -> DataFrame:
-    """(node, code): the lengthened vectors, a byte a coordinate."""
+def _quantised(nodes: DataFrame, width: int, longest: float) -> DataFrame:
+    """(node, code): the lengthened vectors, as _codes reads them."""
 
     def run(batches):
         for b in batches:
             x = _matrix(b.column(1), width) / longest
-            rest = np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1, keepdims=True)))
-            code = np.rint(np.hstack([x, rest]) * (127 / top)).clip(-127, 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in code], pa.binary())], names=["node", "code"])
+            made = np.zeros(len(x), np.dtype([("code", np.int8, (width,)), ("scale", np.float64), ("rest", np.float64)]))
+            made["scale"] = np.maximum(np.abs(x).max(axis=1), 1e-300) / 127
+            made["code"] = np.rint(x / made["scale"][:, None]).clip(-127, 127)
+            made["rest"] = np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in made], pa.binary())], names=["node", "code"])
 
     return nodes.select("node", "vector").mapInArrow(run, "node bigint, code binary")
 
@@ -73,7 +79,7 @@ def _started(codes: DataFrame, width: int, n: int, s: Settings, parts: int) -> D
 
     def keys(batches):
         for b in batches:
-            c = _codes(b.column(1), width).astype(np.float32)
+            c = _codes(b.column(1), width)[0].astype(np.float32)
             for t in range(s.orders):
                 p = c @ planes[t]
                 key = ((p[:, :bits] > 0) @ (1 << np.arange(bits))).astype(np.int64)
@@ -81,12 +87,14 @@ def _started(codes: DataFrame, width: int, n: int, s: Settings, parts: int) -> D
 
     def chunks(batches):
         for b in batches:
-            ids, c = b.column(3).to_numpy(), _codes(b.column(4), width).astype(np.float32)
+            ids, (c, scale, rest) = b.column(3).to_numpy(), _codes(b.column(4), width)
+            c = c.astype(np.float32)
             us, ws, ss = [], [], []
             for a in range(0, len(c), s.chunk):
                 a = max(0, min(a, len(c) - s.chunk))  # the last chunk is full, too
                 x, own = c[a : a + s.chunk], ids[a : a + s.chunk]
-                dots = x @ x.T
+                f, e = scale[a : a + s.chunk], rest[a : a + s.chunk]
+                dots = (x @ x.T) * (f[:, None] * f) + e[:, None] * e
                 np.fill_diagonal(dots, -np.inf)
                 dots[own[:, None] == own[None, :]] = -np.inf  # a batch may hold the ends of two orders
                 k = min(s.neighbours, len(own) - 1)
@@ -99,11 +107,11 @@ def _started(codes: DataFrame, width: int, n: int, s: Settings, parts: int) -> D
             if us:
                 u, w, d = np.concatenate(us), np.concatenate(ws), np.concatenate(ss)
                 ok = np.isfinite(d)
-                yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(w[ok]), pa.array(d[ok].astype(np.int32))], names=["u", "w", "s"])
+                yield pa.RecordBatch.from_arrays([pa.array(u[ok]), pa.array(w[ok]), pa.array(d[ok])], names=["u", "w", "s"])
 
     keyed = codes.mapInArrow(keys, "t int, key bigint, at double, node bigint, code binary")
     keyed = materialize(keyed, "orders").repartitionByRange(parts, "t", "key", "at").sortWithinPartitions("t", "key", "at", "node")
-    return keyed.mapInArrow(chunks, "u bigint, w bigint, s int")
+    return keyed.mapInArrow(chunks, "u bigint, w bigint, s double")
 
 
 def _nearest(links: DataFrame, k: int) -> DataFrame:
@@ -125,22 +133,23 @@ def _joined(groups: DataFrame, width: int) -> DataFrame:
                 if m < 2:
                     continue
                 row, col = np.repeat(np.arange(n), sizes), np.concatenate([np.arange(k) for k in sizes])
-                ids, least = np.zeros((n, m), np.int64), np.full((n, m), np.inf, np.float32)
+                ids, least = np.zeros((n, m), np.int64), np.full((n, m), np.inf)
                 fresh, code = np.zeros((n, m), bool), np.zeros((n, m, width), np.float32)
                 ids[row, col] = flat.field("w").to_numpy()
                 least[row, col] = flat.field("least").to_numpy()
                 fresh[row, col] = flat.field("fresh").to_numpy(zero_copy_only=False)
-                code[row, col] = _codes(flat.field("code"), width)
-                dots = code @ code.transpose(0, 2, 1)
+                scale, rest = np.zeros((n, m)), np.zeros((n, m))
+                code[row, col], scale[row, col], rest[row, col] = _codes(flat.field("code"), width)
+                dots = (code @ code.transpose(0, 2, 1)) * (scale[:, :, None] * scale[:, None, :]) + rest[:, :, None] * rest[:, None, :]
                 there = np.zeros((n, m), bool)
                 there[row, col] = True
                 ok = (fresh[:, :, None] | fresh[:, None, :]) & there[:, None, :] & (dots > least[:, :, None]) & (ids[:, :, None] != ids[:, None, :])
                 g, i, j = np.nonzero(ok)
-                new = np.unique(np.stack([ids[g, i], ids[g, j], dots[g, i, j].astype(np.int64)], axis=1), axis=0)
+                new, at = np.unique(np.stack([ids[g, i], ids[g, j]], axis=1), axis=0, return_index=True)
                 if len(new):
-                    yield pa.RecordBatch.from_arrays([pa.array(new[:, 0]), pa.array(new[:, 1]), pa.array(new[:, 2].astype(np.int32)), pa.array(np.ones(len(new), bool))], names=["u", "w", "s", "fresh"])
+                    yield pa.RecordBatch.from_arrays([pa.array(new[:, 0]), pa.array(new[:, 1]), pa.array(dots[g, i, j][at]), pa.array(np.ones(len(new), bool))], names=["u", "w", "s", "fresh"])
 
-    return groups.select("members").mapInArrow(run, "u bigint, w bigint, s int, fresh boolean")
+    return groups.select("members").mapInArrow(run, "u bigint, w bigint, s double, fresh boolean")
 
 
 def graph(codes: DataFrame, width: int, n: int, s: Settings = Settings()) -> DataFrame:
@@ -152,8 +161,8 @@ def graph(codes: DataFrame, width: int, n: int, s: Settings = Settings()) -> Dat
         reverse = links.select(F.col("w").alias("u"), F.col("u").alias("w"), "s", "fresh").withColumn("r", F.row_number().over(back)).where(F.col("r") <= s.reverse).drop("r")
         both = links.unionByName(reverse).groupBy(F.col("u").alias("v"), "w").agg(F.max("fresh").alias("fresh"))
         # A node with a full list takes only what is nearer than its last; others take anything.
-        least = links.groupBy("u").agg(F.when(F.count("*") >= s.neighbours, F.min("s")).otherwise(F.lit(-(1 << 30))).alias("least"))
-        points = codes.join(least, codes["node"] == least["u"], "left").select("node", "code", F.coalesce("least", F.lit(-(1 << 30))).alias("least"))
+        least = links.groupBy("u").agg(F.when(F.count("*") >= s.neighbours, F.min("s")).otherwise(F.lit(-2.0)).alias("least"))
+        points = codes.join(least, codes["node"] == least["u"], "left").select("node", "code", F.coalesce("least", F.lit(-2.0)).alias("least"))
         members = both.join(points, both["w"] == points["node"]).groupBy("v").agg(F.collect_list(F.struct("w", "fresh", "least", "code")).alias("members"), F.max("fresh").alias("any"))
         better = _joined(members.where("any"), width)
         links = materialize(_nearest(links.withColumn("fresh", F.lit(False)).unionByName(better), s.neighbours), "links")
@@ -167,37 +176,54 @@ def _step(width: int, beam: int):
         for b in batches:
             out_i, out_s, out_d = [], [], []
             for row in range(b.num_rows):
-                q = np.frombuffer(b.column(1)[row].as_py(), np.int8).astype(np.int32)
-                ids, scores = (b.column(c)[row].values.to_numpy().astype(np.int64) for c in (2, 3))
+                q = _codes(b.column(1).slice(row, 1), width)[0][0].astype(np.int32)
+                ids, scores = (b.column(c)[row].values.to_numpy() for c in (2, 3))
                 found = b.column(5)[row].values
-                done = np.ones(len(ids), bool)
+                done = np.ones(len(ids), bool)  # all that were open have been expanded
                 if found is not None and len(found):
                     new = found.field("y").to_numpy()
                     keep = ~np.isin(new, ids)
                     if keep.any():
-                        c = _codes(found.field("code"), width)[keep].astype(np.int32)
-                        ids, scores = np.concatenate([ids, new[keep]]), np.concatenate([scores, c @ q])
+                        c, scale, _ = _codes(found.field("code"), width)
+                        ids, scores = np.concatenate([ids, new[keep]]), np.concatenate([scores, (c[keep].astype(np.int32) @ q) * scale[keep]])
                         done = np.concatenate([done, np.zeros(int(keep.sum()), bool)])
                 order = np.lexsort((ids, -scores))[:beam]
                 out_i.append(ids[order])
                 out_s.append(scores[order])
                 out_d.append(done[order])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out_i, pa.list_(pa.int64())), pa.array(out_s, pa.list_(pa.int64())), pa.array(out_d, pa.list_(pa.bool_()))], names=["query", "code", "ids", "scores", "done"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out_i, pa.list_(pa.int64())), pa.array(out_s, pa.list_(pa.float64())), pa.array(out_d, pa.list_(pa.bool_()))], names=["query", "code", "ids", "scores", "done"])
 
     return run
 
 
+def longest_of(codes: DataFrame, width: int, k: int) -> list:
+    """The k nodes with the smallest added coordinate: a query's best products may be with vectors that no graph by angle leads to."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(_codes(b.column(1), width)[2])], names=["node", "code", "rest"])
+
+    return codes.mapInArrow(run, "node bigint, code binary, rest double").orderBy("rest", "node").limit(k).collect()
+
+
 def search(links: DataFrame, codes: DataFrame, starts: DataFrame, width: int, s: Settings = Settings()) -> DataFrame:
     """(query, ids): for each node in starts (column query) the nearest nodes met, itself included; a query's added coordinate counts as 0."""
+    seeds = [(r["node"], bytes(r["code"])) for r in longest_of(codes, width, s.longest)]
 
     def flat(batches):
+        ids = np.array([i for i, _ in seeds], np.int64)
+        c, scale, _ = _codes(pa.array([x for _, x in seeds], pa.binary()), width)
         for b in batches:
-            c = _codes(b.column(1), width).copy()
-            c[:, -1] = 0
-            own = (_codes(b.column(1), width).astype(np.int64) * c).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in c], pa.binary()), pa.array([[i] for i in b.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([[int(x)] for x in own], pa.list_(pa.int64())), pa.array([[False]] * len(c), pa.list_(pa.bool_()))], names=["query", "code", "ids", "scores", "done"])
-
-    schema = "query bigint, code binary, ids array<bigint>, scores array<bigint>, done array<boolean>"
+            own, f, _ = _codes(b.column(1), width)
+            q = own.astype(np.int32)
+            mine = (q * q).sum(axis=1) * f
+            met = (q @ c.T.astype(np.int32)) * scale
+            out = []
+            for row, node in enumerate(b.column(0).to_pylist()):
+                other = ids != node
+                out.append((np.append(ids[other], node), np.append(met[row][other], mine[row])))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i for i, _ in out], pa.list_(pa.int64())), pa.array([x for _, x in out], pa.list_(pa.float64())), pa.array([[False] * len(i) for i, _ in out], pa.list_(pa.bool_()))], names=["query", "code", "ids", "scores", "done"])
+    schema = "query bigint, code binary, ids array<bigint>, scores array<double>, done array<boolean>"
     state = codes.join(starts, codes["node"] == starts["query"], "left_semi").select(F.col("node").alias("query"), "code").mapInArrow(flat, schema)
     around = links.select("u", "w").unionByName(links.select(F.col("w").alias("u"), F.col("u").alias("w"), "s").withColumn("r", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "w"))).where(F.col("r") <= s.reverse).select("u", "w"))
     around = materialize(around.groupBy("u").agg(F.collect_set("w").alias("ws")), "around")
@@ -219,15 +245,14 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, settings: Settings =
     rows = usable(table, id_col, vector_col)
     nodes = materialize(rows.groupBy("vector").agg(F.min("vec_id").alias("node")), "nodes")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    n, width, longest, shortest, peak = nodes.agg(F.count("*"), F.first(F.size("vector")), F.max(norm), F.min(norm), F.max(F.array_max(F.transform("vector", F.abs)))).first()
+    n, width, longest = nodes.agg(F.count("*"), F.first(F.size("vector")), F.max(norm)).first()
     if not n:
         return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     members = materialize(rows.join(nodes, "vector").select("node", "vec_id"), "members")
-    top = max(peak / longest, float(np.sqrt(max(0.0, 1 - (shortest / longest) ** 2))))
-    codes = materialize(_quantised(nodes, width, longest, top), "codes")
-    links = graph(codes, width + 1, n, settings)
+    codes = materialize(_quantised(nodes, width, longest), "codes")
+    links = graph(codes, width, n, settings)
     asked = members.where(F.col("vec_id") % every == 0)
-    got = search(links, codes, asked.select(F.col("node").alias("query")).distinct(), width + 1, settings)
+    got = search(links, codes, asked.select(F.col("node").alias("query")).distinct(), width, settings)
     got = materialize(got.select("query", F.explode("ids").alias("node")), "found")
     vectors = got.join(nodes, "node").join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("asked")), "query")
     score = F.aggregate(F.zip_with("vector", "asked", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)

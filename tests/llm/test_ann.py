@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 
 from sigweave.llm import ann
 
@@ -41,3 +42,17 @@ def test_few_rows_give_all(spark):
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in sorted(got)] == [(0, i, i, 1.0) for i in range(1, 6)]
     assert ann.nearest(spark.createDataFrame(rows[:1], SCHEMA)).count() == 0
     assert ann.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("outliers", [1, 30])
+def test_outlier_lengths(spark, outliers):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1 : 1 + outliers] *= 300
+    rows = [(i, [float(np.float32(c)) for c in v], 0, 0.0, "") for i, v in enumerate(x)]
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, SCHEMA)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(rows)
+    assert sum(len({i for _, i in best} & got[q]) for q, best in want.items()) / (20 * len(want)) > 0.9
