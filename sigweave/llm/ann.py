@@ -5,9 +5,11 @@ product. The graph is built on these. A vector's direction is quantised to a byt
 coordinate in double precision, so that one very long vector costs the others no precision (products of codes are whole numbers, and scores agree in every task).
 The graph starts from neighbours in a few random orders of all nodes (by the signs of random projections), cut into chunks. NN-descent then
 joins, for each node, its neighbours and those whose neighbour it is (the nearest of these) with each other, and every pair may
-improve the lists of both; only pairs with a link that is new since the last round are compared. Rounds are Spark joins over written tables.
+improve the lists of both; only pairs with a link that is new since the last round are compared. Rounds are Spark joins over written tables, and go on
+until hardly any link is new.
 
-A query starts at its own node and at the longest ones, and repeatedly expands the nearest candidates not yet expanded, all queries at once. The candidates left are scored on the original vectors in double precision.
+A query starts at its own node and at the longest ones, and repeatedly expands the nearest candidates not yet expanded, all queries at once, until
+none is left to expand. Reverse lists and beams grow with the logarithm of the number of nodes. The candidates left are scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
@@ -26,17 +28,22 @@ from .common import materialize
 @dataclass(frozen=True)
 class Settings:
     neighbours: int = 32  # links of a node
-    reverse: int = 32  # nodes whose neighbour a node is that take part in its join: the nearest
+    reverse: int = 32  # nodes whose neighbour a node is that take part in its join: the nearest; so many up to `usual` nodes
     orders: int = 8
     chunk: int = 256  # nodes compared with each other in a random order
-    rounds: int = 5
-    beam: int = 192
-    steps: int = 6
+    settled: float = 0.002  # rounds end when a smaller share of the links is new
+    beam: int = 192  # up to `usual` nodes
     longest: int = 64  # nodes that every query starts at besides its own
+    usual: int = 1 << 15
     rescored: int = 64
     seed: int = 7
 
 
+    def grown(self, size: int, n: int) -> int:
+        """size for a graph of n nodes: in proportion to log n beyond `usual`."""
+        return math.ceil(size * max(1.0, math.log(max(n, 2)) / math.log(self.usual)))
+
+
 def usable(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, vector): rows with an id and a finite, non-zero vector of the most frequent length; of rows with one id the smallest vector."""
     v = F.col(vector_col).cast("array<double>")
@@ -156,9 +163,10 @@ def graph(codes: DataFrame, width: int, n: int, s: Settings = Settings()) -> Dat
     """(u, w, s, fresh): at most `neighbours` links from each node."""
     parts = max(int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // 40_000)
     links = materialize(_nearest(_started(codes, width, n, s, parts).withColumn("fresh", F.lit(True)), s.neighbours), "links")
-    for _ in range(s.rounds):
+    reverse_of = s.grown(s.reverse, n)
+    while True:
         back = Window.partitionBy("u").orderBy(F.desc("s"), "w")
-        reverse = links.select(F.col("w").alias("u"), F.col("u").alias("w"), "s", "fresh").withColumn("r", F.row_number().over(back)).where(F.col("r") <= s.reverse).drop("r")
+        reverse = links.select(F.col("w").alias("u"), F.col("u").alias("w"), "s", "fresh").withColumn("r", F.row_number().over(back)).where(F.col("r") <= reverse_of).drop("r")
         both = links.unionByName(reverse).groupBy(F.col("u").alias("v"), "w").agg(F.max("fresh").alias("fresh"))
         # A node with a full list takes only what is nearer than its last; others take anything.
         least = links.groupBy("u").agg(F.when(F.count("*") >= s.neighbours, F.min("s")).otherwise(F.lit(-2.0)).alias("least"))
@@ -166,7 +174,8 @@ def graph(codes: DataFrame, width: int, n: int, s: Settings = Settings()) -> Dat
         members = both.join(points, both["w"] == points["node"]).groupBy("v").agg(F.collect_list(F.struct("w", "fresh", "least", "code")).alias("members"), F.max("fresh").alias("any"))
         better = _joined(members.where("any"), width)
         links = materialize(_nearest(links.withColumn("fresh", F.lit(False)).unionByName(better), s.neighbours), "links")
-    return links
+        if links.where("fresh").count() <= s.settled * s.neighbours * n:
+            return links
 
 
 def _step(width: int, beam: int):
@@ -206,7 +215,7 @@ def longest_of(codes: DataFrame, width: int, k: int) -> list:
     return codes.mapInArrow(run, "node bigint, code binary, rest double").orderBy("rest", "node").limit(k).collect()
 
 
-def search(links: DataFrame, codes: DataFrame, starts: DataFrame, width: int, s: Settings = Settings()) -> DataFrame:
+def search(links: DataFrame, codes: DataFrame, starts: DataFrame, width: int, n: int, s: Settings = Settings()) -> DataFrame:
     """(query, ids): for each node in starts (column query) the nearest nodes met, itself included; a query's added coordinate counts as 0."""
     seeds = [(r["node"], bytes(r["code"])) for r in longest_of(codes, width, s.longest)]
 
@@ -225,15 +234,16 @@ def search(links: DataFrame, codes: DataFrame, starts: DataFrame, width: int, s:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i for i, _ in out], pa.list_(pa.int64())), pa.array([x for _, x in out], pa.list_(pa.float64())), pa.array([[False] * len(i) for i, _ in out], pa.list_(pa.bool_()))], names=["query", "code", "ids", "scores", "done"])
     schema = "query bigint, code binary, ids array<bigint>, scores array<double>, done array<boolean>"
     state = codes.join(starts, codes["node"] == starts["query"], "left_semi").select(F.col("node").alias("query"), "code").mapInArrow(flat, schema)
-    around = links.select("u", "w").unionByName(links.select(F.col("w").alias("u"), F.col("u").alias("w"), "s").withColumn("r", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "w"))).where(F.col("r") <= s.reverse).select("u", "w"))
+    around = links.select("u", "w").unionByName(links.select(F.col("w").alias("u"), F.col("u").alias("w"), "s").withColumn("r", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("s"), "w"))).where(F.col("r") <= s.grown(s.reverse, n)).select("u", "w"))
     around = materialize(around.groupBy("u").agg(F.collect_set("w").alias("ws")), "around")
-    for _ in range(s.steps):
+    while True:
         state = materialize(state, "state")
         open_ = state.select("query", F.explode(F.arrays_zip("ids", "done")).alias("x")).where(~F.col("x.done")).select("query", F.col("x.ids").alias("u"))
+        if open_.isEmpty():
+            return state.select("query", F.slice("ids", 1, s.rescored).alias("ids"))
         met = open_.join(around, "u").select("query", F.explode("ws").alias("y")).distinct()
         found = met.join(codes, met["y"] == codes["node"]).groupBy("query").agg(F.collect_list(F.struct("y", "code")).alias("found"))
-        state = state.join(found, "query", "left").select("query", "code", "ids", "scores", "done", "found").mapInArrow(_step(width, s.beam), schema)
-    return state.select("query", F.slice("ids", 1, s.rescored).alias("ids"))
+        state = state.join(found, "query", "left").select("query", "code", "ids", "scores", "done", "found").mapInArrow(_step(width, s.grown(s.beam, n)), schema)
 
 
 def nearest(table: DataFrame, k: int = 20, every: int = 20, settings: Settings = Settings(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -252,7 +262,7 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, settings: Settings =
     codes = materialize(_quantised(nodes, width, longest), "codes")
     links = graph(codes, width, n, settings)
     asked = members.where(F.col("vec_id") % every == 0)
-    got = search(links, codes, asked.select(F.col("node").alias("query")).distinct(), width, settings)
+    got = search(links, codes, asked.select(F.col("node").alias("query")).distinct(), width, n, settings)
     got = materialize(got.select("query", F.explode("ids").alias("node")), "found")
     vectors = got.join(nodes, "node").join(nodes.select(F.col("node").alias("query"), F.col("vector").alias("asked")), "query")
     score = F.aggregate(F.zip_with("vector", "asked", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)

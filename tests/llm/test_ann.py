@@ -56,3 +56,8 @@ def test_outlier_lengths(spark, outliers):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     want = brute(rows)
     assert sum(len({i for _, i in best} & got[q]) for q, best in want.items()) / (20 * len(want)) > 0.9
+
+
+def test_lists_grow_with_nodes():
+    s = ann.Settings()
+    assert s.grown(s.beam, 1000) == s.beam < s.grown(s.beam, 200_000) < s.grown(s.beam, 10**8)
