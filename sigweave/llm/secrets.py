@@ -1,9 +1,10 @@
 """Secret scans: three base patterns, and random strings by token efficiency.
 
 A random string takes many tokens for its characters under a vocabulary that was made from natural text. Runs of at least `shortest`
-characters that mix digits with letters, or capitals with small letters, are encoded with a tiktoken vocabulary; a run of at
-most `ratio` characters a token counts as random. Known digests (hexadecimal, of a usual digest's length), UUIDs and runs that a base pattern has
-found are left out before. Spans are code points, end exclusive; a span of kind assign is the whole match.
+characters that hold a letter are encoded with a tiktoken vocabulary; a run of at most `ratio` characters a token counts as random. A run
+with slashes is judged whole, as base64 has them; if it is not random, its neighbouring parts that are random by themselves are judged together, so
+that a key at the end of a path is found. UUIDs and what a base pattern has found are cut out of runs before, and what remains is judged; known
+digests (hexadecimal, of a usual digest's length) are left out. Spans are code points, end exclusive; a span of kind assign is the whole match.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 _HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _UUID = re.compile(r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}")
-_MIXED = re.compile(r"[0-9][^0-9]*[A-Za-z]|[A-Za-z][^A-Za-z]*[0-9]|[a-z][A-Z][a-z]*[A-Z]|[A-Z]{2,}[a-z]+[A-Z]")
+_LETTER = re.compile(r"[A-Za-z]")
 
 
 def tiktoken_path() -> str:
@@ -59,18 +60,54 @@ def _encoding(path: str):
 
 @lru_cache(maxsize=4)
 def _runs(shortest: int) -> re.Pattern:
-    return re.compile(rf"[A-Za-z0-9+_=-]{{{shortest},}}")
+    return re.compile(rf"[A-Za-z0-9+/_=-]{{{shortest},}}")
+
+
+def _is_random(run: str, settings: Settings) -> bool:
+    return len(run) <= settings.ratio * len(_encoding(settings.vocabulary or tiktoken_path()).encode_ordinary(run))
+
+
+def _remaining(a: int, b: int, out: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a to b without the spans in out."""
+    left = []
+    for s, e in sorted(out):
+        if a < s:
+            left.append((a, min(s, b)))
+        a = max(a, e)
+        if a >= b:
+            return left
+    return [*left, (a, b)]
+
+
+def _random_parts(text: str, a: int, b: int, settings: Settings) -> list[tuple[int, int]]:
+    """The run from a to b if it is random; else its longest rows of parts between slashes that are random each and together."""
+    run = text[a:b]
+    if b - a < settings.shortest or not _LETTER.search(run) or len(run) in DIGESTS and _HEX_ONLY.match(run):
+        return []
+    if _is_random(run, settings):
+        return [(a, b)]
+    if "/" not in run:
+        return []
+    rows, at, start = [], a, None
+    for part in run.split("/"):
+        if part and _is_random(part, settings):
+            start = at if start is None else start
+            end = at + len(part)
+        elif start is not None:
+            rows.append((start, end))
+            start = None
+        at += len(part) + 1
+    rows += [(start, end)] if start is not None else []
+    return [x for s, e in rows if (s, e) != (a, b) for x in _random_parts(text, s, e, settings)]
 
 
 def random_spans(text: str, taken: list[tuple[int, int]], settings: Settings) -> list[tuple[int, int]]:
     out = []
+    taken = sorted(taken)
     for m in _runs(settings.shortest).finditer(text):
         a, b = m.span()
-        run = m[0]
-        if not _MIXED.search(run) or _UUID.search(run) or len(run) in DIGESTS and _HEX_ONLY.match(run) or any(a < e and s < b for s, e in taken):
-            continue
-        if len(run) <= settings.ratio * len(_encoding(settings.vocabulary or tiktoken_path()).encode_ordinary(run)):
-            out.append((a, b))
+        known = [(s, e) for s, e in taken if a < e and s < b] + [(a + u.start(), a + u.end()) for u in _UUID.finditer(m[0])]
+        out += [x for s, e in _remaining(a, b, known) for x in _random_parts(text, s, e, settings)]
     return out
 
 

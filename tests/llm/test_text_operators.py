@@ -118,6 +118,26 @@ def test_redaction(docs):
     assert secrets.redacted(docs).columns == docs.columns
 
 
+def test_random_strings_of_one_case_with_slashes_and_beside_known_spans():
+    import random
+    import string
+
+    rng = random.Random(8)
+    draw = lambda letters, n: "".join(rng.choices(letters, k=n))
+    base64 = string.ascii_letters + string.digits + "+/"
+    whole = lambda t: [(a, b) for a, b, k in secrets.spans(f"the key {t} is here") if k == "random"] == [(8, 8 + len(t))]
+    for n in (32, 40):
+        assert sum(whole(draw(base64, n)) for _ in range(300)) >= 297
+    for letters in (string.ascii_lowercase, string.ascii_uppercase):
+        assert sum(whole(draw(letters, 32)) for _ in range(300)) >= 285
+    key = "Xq9Zr2Lm7Kt4Vw8Bn3HsPd5"
+    for beside in ("123e4567-e89b-12d3-a456-426614174000", "0123456789abcdef01234567"):
+        assert key in [t[a:b].strip("-_") for t in [f"{beside}_{key}"] for a, b, k in secrets.spans(t) if k == "random"]
+    path = "documents/international/development/government/"
+    assert secrets.redact(path) == path and secrets.redact(path + key) == path + "<secret>"
+    assert secrets.spans("internationalization-responsibilities") == []
+
+
 def test_bpe_is_the_library(docs):
     from tokenizers import Tokenizer
 
