@@ -1,11 +1,20 @@
 """Main text of web pages by composite text density.
 
-The page becomes a DOM tree. A node's composite density is its characters per tag, adjusted by the share of characters and tags in links; a
-node's density sum adds its children's densities. The node with the largest sum leads to the article: the smallest density on its path to the body is
-the threshold, every node that reaches it is kept with the subtree of the largest sum below it, and the text is what these subtrees hold.
+The page becomes a DOM tree. A node's composite density is its characters per tag, adjusted by the share of characters and tags in
+links; a node's density sum adds its children's densities. The node with the largest sum leads to the article: the smallest density
+on its path to the body is the threshold, and of every node that reaches it the subtree of the largest sum is marked as text.
 
-Scripts, styles, forms and the like never count as text. Blocks that HTML names as navigation, header, footer or aside, and those whose class, id or
-role says so (menus, adverts, notices, comments), are left out before densities are taken, unless they hold the article itself.
+Between marked subtrees lie headings and short blocks whose own density says little. Inside an `article` all blocks stay that are not
+mostly links; inside `main`, or beside the best node where a page has neither, headings and paragraphs stay, and other unmarked
+blocks go.
+
+Scripts, styles, form controls and the like never count as text. Blocks that HTML names as navigation, header, footer or aside, forms, and
+those whose class, id or role says so (menus, adverts, notices, comments) are left out before densities are taken. A name is taken by
+its last word (`cookie-notice`, `comment-list`, but not `has-sidebar` or `social-history`). Where that would leave under a tenth of
+the largest density sum that the page has with them, those around that sum's node stay.
+
+Parsing and marking take time in proportion to the page: open elements are counted by name and by scope, as HTML's "has an element in
+scope", and each element is closed once.
 """
 
 from __future__ import annotations
@@ -15,42 +24,66 @@ import math
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import as_text, map_columns, text_of
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("script style head title noscript template textarea select option button form input iframe noembed noframes object svg canvas xmp datalist dialog".split())
+HIDDEN = frozenset(
+    "script style head title noscript template textarea select option button input iframe noembed noframes object svg canvas xmp "
+    "datalist dialog".split()
+)
 BLOCK = frozenset(
-    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li "
-    "legend main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 "
+    "h3 h4 h5 h6 header hgroup hr html li legend main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
-CLOSES_P = BLOCK - frozenset("body caption dd dt html legend li tbody td tfoot th thead tr".split()) | frozenset(["li", "dd", "dt"])
-#: An opening tag closes open ones of these names, up to the nearest of the bounds.
-CLOSES = {
-    "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu", "dir"])), "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])), "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
-    "td": (frozenset(["td", "th"]), frozenset(["tr", "table"])), "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])), "tr": (frozenset(["tr", "td", "th"]), frozenset(["table"])),
-    "tbody": (frozenset(["tbody", "thead", "tfoot", "tr", "td", "th"]), frozenset(["table"])), "option": (frozenset(["option"]), frozenset(["select"])),
-}
+CLOSES_P = BLOCK - frozenset("body caption html legend tbody td tfoot th thead tr".split())
 FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u span mark sub sup label abbr cite q".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+#: Elements that hold text rather than other blocks.
+FLOW = HEADINGS | FORMATTING | frozenset("p blockquote pre ul ol dl table figure address center hr br img".split())
+#: End tags do not reach out of these.
+SCOPES = frozenset("table td th caption".split())
+#: Kinds of elements that an opening tag of the same kind closes, and the elements that begin a new scope for them.
+KIND = {"li": "li", "dt": "dl", "dd": "dl", "td": "cell", "th": "cell", "tr": "row", "tbody": "part", "thead": "part", "tfoot": "part", "option": "option"}
+BOUNDS = {
+    "ul": ("li",), "ol": ("li",), "menu": ("li",), "dir": ("li",), "dl": ("dl",), "tr": ("cell",), "table": ("cell", "row", "part"),
+    "select": ("option",), "td": ("li", "dl"), "th": ("li", "dl"), "caption": ("li", "dl"),
+}
+ENDS = {"cell": ("cell",), "row": ("cell", "row"), "part": ("cell", "row", "part"), "li": ("li",), "dl": ("dl",), "option": ("option",)}
 
-ASIDE_TAGS = frozenset("nav footer aside menu dialog search".split())
+ASIDE_TAGS = frozenset("nav footer aside menu search form".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar form note".split())
-ASIDE_WORDS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adv|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side|footer|masthead|cookies?|consent|gdpr|notice|popup|modal|overlay|"
-    r"comments?|disqus|replies|reply|discussion|related|recommend\w*|share|sharing|social|subscribe|newsletter|signup|login|search|widget|toolbar|pagination|pager|tags|skip)(?:$|[\s_-])",
-    re.I,
+# Words that name an aside as the last word of a class or id, and words of containers that may follow them.
+ASIDE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adsense adsbygoogle sponsor sponsored sponsors promo promos promotion "
+    "banner nav navbar navigation menu menus breadcrumb breadcrumbs sidebar masthead footer cookie cookies consent gdpr notice popup modal "
+    "overlay comment comments disqus replies discussion related recommended recommendations share sharing subscribe newsletter "
+    "signup login toolbar pagination pager".split()
+)
+CONTAINERS = frozenset(
+    "list lists box area wrap wrapper container content contents inner outer block section bar panel item items left right top bottom "
+    "links link posts form slot unit row col column group title heading header text body holder thread".split()
 )
-#: Markup of a page: comments, declarations, tags; names of attributes that matter.
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_SAID = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+SITE_HEADER = frozenset("header site-header global-header top-header page-header".split())
+COMMENTS = frozenset("comment comments disqus replies discussion".split())
+#: These are never the article, however much text they hold.
+FIRM = frozenset("nav footer aside menu search header".split())
+NEGATED = frozenset("has have with without no not hide show hidden is after before js".split())
+#: Markup of a page: comments, declarations, tags; names of attributes that matter. Quotes count only after an equals sign.
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>\x00]*)((?:=\s*+(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*+)(?:>|\Z)",
+    re.S,
+)
+_SAID = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden)\s*+(?:=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WHITE = re.compile(r"\s+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "said", "chars", "tags", "link_chars", "link_tags", "density", "total", "out")
+    __slots__ = ("tag", "parent", "children", "said", "chars", "tags", "link_chars", "link_tags", "density", "total", "out", "at")
 
     def __init__(self, tag: str, parent: Node | None, said: str = ""):
         self.tag, self.parent, self.said = tag, parent, said
@@ -60,18 +93,87 @@ class Node:
             parent.children.append(self)
 
 
+class _Open:
+    """The open elements, counted so that an end tag without its element costs nothing, and each element is closed once."""
+
+    def __init__(self, body: Node):
+        self.stack = [body]
+        self.counts: list[dict[str, int]] = [{}]  # open elements by name, for each scope
+        self.blocks = [0]  # places of the open elements other than formatting ones
+        self.inline: list[dict[str, int]] = [{}]  # open formatting elements by name, for each of these
+        self.kinds: dict[str, list[int | None]] = {k: [None] for k in set(KIND.values())}  # place of the open one, for each scope of a kind
+        self.tables: list[int] = []
+
+    def push(self, node: Node) -> None:
+        tag, at = node.tag, len(self.stack)
+        self.stack.append(node)
+        self.counts[-1][tag] = self.counts[-1].get(tag, 0) + 1
+        if tag in FORMATTING:
+            self.inline[-1][tag] = self.inline[-1].get(tag, 0) + 1
+            return
+        self.blocks.append(at)
+        self.inline.append({})
+        if tag in KIND:
+            self.kinds[KIND[tag]][-1] = at
+        for kind in BOUNDS.get(tag, ()):
+            self.kinds[kind].append(None)
+        if tag in SCOPES:
+            self.counts.append({})
+        if tag == "table":
+            self.tables.append(at)
+
+    def close(self, at: int) -> None:
+        """Closes the elements from place `at` on."""
+        while len(self.stack) > at:
+            tag = self.stack.pop().tag
+            if tag in SCOPES:
+                self.counts.pop()
+            self.counts[-1][tag] -= 1
+            if tag in FORMATTING:
+                self.inline[-1][tag] -= 1
+                continue
+            self.blocks.pop()
+            self.inline.pop()
+            for kind in BOUNDS.get(tag, ()):
+                self.kinds[kind].pop()
+            if tag in KIND:
+                self.kinds[KIND[tag]][-1] = None
+            if tag == "table":
+                self.tables.pop()
+
+    def close_before(self, tag: str) -> None:
+        """Closes what an opening tag closes."""
+        if tag in CLOSES_P and self.stack[self.blocks[-1]].tag == "p":
+            self.close(self.blocks[-1])
+        for kind in ENDS.get(KIND.get(tag, ""), ()):
+            if (at := self.kinds[kind][-1]) is not None:
+                self.close(at)
+
+    def close_by_end(self, tag: str) -> None:
+        if tag in KIND:
+            at = self.kinds[KIND[tag]][-1]
+            if at is not None and self.stack[at].tag == tag:
+                self.close(at)
+        elif tag == "table":
+            if self.tables:
+                self.close(self.tables[-1])
+        elif (self.inline if tag in FORMATTING else self.counts)[-1].get(tag):  # a formatting end never closes a block
+            at = len(self.stack) - 1
+            while self.stack[at].tag != tag:
+                at -= 1
+            self.close(at)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; open elements are closed as HTML says where it matters for blocks. Text is decoded."""
     root = Node("html", None)
-    body = Node("body", root)
-    here, at = body, 0
-    size = len(page)
-    decode = _html.unescape
+    opened = _Open(Node("body", root))
+    at, size, decode = 0, len(page), _html.unescape
     while at < size:
         m = _TOKEN.search(page, at)
         text = page[at : m.start()] if m else page[at:]
         if text:
-            here.children.append(decode(text) if "&" in text else text)
+            opened.stack[-1].children.append(decode(text) if "&" in text else text)
         if not m:
             break
         at = m.end()
@@ -81,60 +183,55 @@ def parse(page: str) -> Node:
         if tag in ("html", "body"):
             continue
         if m[1]:
-            node = here
-            if tag in FORMATTING:  # never closes a block
-                while node is not body and node.tag != tag and node.tag in FORMATTING:
-                    node = node.parent
-            else:
-                while node is not body and node.tag != tag:
-                    node = node.parent
-            if node.tag == tag and node is not body:
-                here = node.parent
+            opened.close_by_end(tag)
             continue
-        if tag in CLOSES_P:
-            node = here
-            while node is not body and node.tag in FORMATTING:
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
-        if tag in CLOSES:
-            names, bounds = CLOSES[tag]
-            node, found = here, None
-            while node is not body and node.tag not in bounds:
-                if node.tag in names:
-                    found = node
-                node = node.parent
-            if found is not None:
-                here = found.parent
-        node = Node(tag, here, m[3])
+        opened.close_before(tag)
+        node = Node(tag, opened.stack[-1], m[3])
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I).search(page, at)
+            if m[3].endswith("/") and not end[0]:
+                continue  # an empty element of XML, which has no end tag
             if tag not in HIDDEN:
                 node.children.append(page[at : end.start()])
             at = end.end()
-        elif tag not in VOID and not m[3].endswith("/"):
-            here = node
+        elif tag not in VOID:
+            opened.push(node)
     return root
 
 
-def _is_aside(node: Node) -> bool:
-    if node.tag in ASIDE_TAGS:
+def _names_aside(value: str) -> bool:
+    for name in value.split():
+        words = [w.lower() for w in _WORDS.findall(name) if len(w) > 1]
+        if not words or not NEGATED.isdisjoint(words):
+            continue
+        if "".join(words) in ASIDE_WORDS:
+            return True
+        while words and words[-1] in CONTAINERS:
+            words.pop()
+        if words and words[-1] in ASIDE_WORDS:
+            return True
+    return False
+
+
+def _aside(node: Node, inside: bool) -> bool:
+    """Do HTML or a name say that the element is no part of an article? inside: it lies in an article or main element."""
+    if node.tag in ASIDE_TAGS or node.tag == "header" and not inside:
         return True
     for name, *values in _SAID.findall(node.said) if node.said else ():
         value = next((v for v in values if v), "")
         name = name.lower()
-        if name in ("class", "id") and node.tag not in ("article", "main") and ASIDE_WORDS.search(value) or name == "role" and value.lower() in ASIDE_ROLES:
-            return True
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name in ("class", "id") and node.tag != "main":
+            if _names_aside(value) or not inside and not SITE_HEADER.isdisjoint(value.lower().split()):
+                return True
+        elif name == "role" and value.strip().lower() in ASIDE_ROLES:
             return True
-    return node.tag == "header" and not _inside(node, ("article", "main"))
+    return False
 
 
-def _inside(node: Node, names: tuple[str, ...]) -> bool:
-    while (node := node.parent) is not None:
-        if node.tag in names:
-            return True
-    return False
+def _hidden(node: Node) -> bool:
+    if node.tag in HIDDEN:
+        return True
+    return any(k.lower() == "hidden" or k.lower() == "aria-hidden" and (a or b or c).lower() == "true" for k, a, b, c in (_SAID.findall(node.said) if "hidden" in node.said.lower() else ()))
 
 
 def _walk(root: Node) -> list[Node]:
@@ -171,63 +268,145 @@ def _measure(nodes: list[Node], body: Node) -> None:
             continue
         plain = max(1, c - node.link_chars)
         base = math.log(c / plain * node.link_chars + share * c + math.e)
-        node.density = c / t * max(0.0, math.log(max(1.0, c / lc * t / lt)) / math.log(base) if base > 1.0000001 else math.log(max(1.0, c / lc * t / lt)) * 1e6)
+        amount = math.log(max(1.0, c / lc * t / lt))
+        node.density = c / t * max(0.0, amount / math.log(base) if base > 1.0000001 else amount * 1e6)
     for node in nodes:
         node.total = sum(c.density for c in node.children if isinstance(c, Node))
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The nodes whose subtrees are the main text, in page order."""
-    body = root.children[0]
-    nodes = _walk(body)
+def _leave_out(nodes: list[Node], hidden: set[int], asides: set[int]) -> list[Node]:
+    """Marks hidden nodes, asides and all below them as out, measures the rest and returns it."""
     for node in nodes:
-        node.out = node.tag in HIDDEN
-    articles = [n for n in nodes if n.tag in ("article", "main")]
-    keep = set()
-    for n in articles:
-        while n is not None:
-            keep.add(id(n))
-            n = n.parent
-    for node in nodes:
-        if node.parent is not None and node.parent.out or node.out:
-            node.out = True
-        elif id(node) not in keep and node is not body and _is_aside(node):
-            node.out = True
-    _measure(nodes, body)
-    live = [n for n in nodes if not n.out]
-    best = max(live, key=lambda n: n.total)
-    if not best.total:
-        return [body]
-    # The threshold is the smallest density on the way from the best node to the body.
-    threshold, node = best.density, best
-    while node is not body:
-        node = node.parent
-        threshold = min(threshold, node.density)
-    largest: dict[int, Node] = {}  # of each subtree, the node with the largest sum
+        node.out = node.parent.out or node.at in hidden or node.at in asides
+    _measure(nodes, nodes[0])
+    return [n for n in nodes if not n.out]
+
+
+def _live(nodes: list[Node]) -> list[Node]:
+    """The nodes that may be text: without what is hidden, and without asides unless hardly anything is left then."""
+    hidden, asides, inside, mains = set(), set(), set(), []
+    for at, node in enumerate(nodes):
+        node.at = at
+        up = node.parent.at if at else -1
+        if up in inside or node.tag in ("article", "main"):
+            inside.add(at)
+        if node.tag == "main":
+            mains.append(node)
+        if at and _hidden(node):
+            hidden.add(at)
+        elif at and _aside(node, up in inside):
+            asides.add(at)
+    for node in mains:  # an aside never holds the main element
+        while node is not None and node.at >= 0:
+            asides.discard(node.at)
+            node = node.parent if node.at else None
+    live = _leave_out(nodes, hidden, asides)
+    if not asides or nodes[0].chars * 5 >= sum(len(c) for n in nodes if n.at not in hidden for c in n.children if isinstance(c, str)):
+        return live
+    left = max(n.total for n in live)
+    best = max(_leave_out(nodes, hidden, set()), key=lambda n: n.total)
+    if left * 10 < best.total:
+        around = {n.at for n in _up(best) if n.tag not in FIRM and not _is_comments(n)}
+        if not any(n.at in asides and n.at not in around for n in _up(best)):
+            asides -= around
+    return _leave_out(nodes, hidden, asides)
+
+
+def _is_comments(node: Node) -> bool:
+    said = " ".join(a or b or c for k, a, b, c in _SAID.findall(node.said) if k.lower() in ("class", "id"))
+    return any(w.lower() in COMMENTS for w in _WORDS.findall(said))
+
+
+def _largest(live: list[Node]) -> dict[int, Node]:
+    """For each live node, by its place, the node with the largest sum in its subtree."""
+    largest: dict[int, Node] = {}
     for node in reversed(live):
         top = node
         for c in node.children:
-            if isinstance(c, Node) and not c.out and largest[id(c)].total > top.total:
-                top = largest[id(c)]
-        largest[id(node)] = top
-    marked = {id(largest[id(n)]) for n in live if n.density >= threshold}
-    # Marked subtrees, and from there up what an article holds with them: its heading and short blocks beside long ones.
-    chosen = [n for n in live if id(n) in marked]
-    around = next((n for n in _up(best) if n.tag in ("article", "main")), None)
-    if around is not None:
-        chosen = [around, *(n for n in chosen if not _under(n, around) and n.tag in ("article", "main"))]
-    picked = {id(n) for n in chosen}
-    return [n for n in live if id(n) in picked and not any(id(p) in picked for p in _up(n.parent))]
-
-
-def _up(node: Node | None):
-    while node is not None:
-        yield node
-        node = node.parent
+            if isinstance(c, Node) and not c.out and largest[c.at].total > top.total:
+                top = largest[c.at]
+        largest[node.at] = top
+    return largest
+
+
+def _best(live: list[Node], largest: dict[int, Node]) -> Node:
+    """The node with the largest sum; if most of its text lies in one article or main element below it, that of this element."""
+    body = live[0]
+    best = largest[body.at]
+    while True:
+        held = [c for c in _below(best) if c.tag in ("article", "main")]
+        top = max(held, key=lambda n: n.chars - n.link_chars, default=None)
+        if top is None or (top.chars - top.link_chars) * 2 < best.chars - best.link_chars or not top.chars:
+            return best
+        best = largest[top.at]
+
+
+def _below(node: Node):
+    """The live nodes below a node, but not those below an article or main element."""
+    stack = [c for c in reversed(node.children) if isinstance(c, Node) and not c.out]
+    while stack:
+        n = stack.pop()
+        yield n
+        if n.tag not in ("article", "main"):
+            stack.extend(c for c in reversed(n.children) if isinstance(c, Node) and not c.out)
+
+
+def main_nodes(root: Node) -> list[Node]:
+    """The nodes whose subtrees are the main text, in page order. What is left out below them is marked out."""
+    body = root.children[0]
+    live = _live(_walk(body))
+    largest = _largest(live)
+    best = _best(live, largest)
+    # The threshold is the smallest density on the way from the best node to the body.
+    threshold = min(n.density for n in _up(best))
+    marked = {largest[n.at].at for n in live if n.density >= threshold} | {best.at}
+    holds = set()  # nodes with a marked one below them
+    for n in reversed(live):
+        if n is not body and (n.at in marked or n.at in holds):
+            holds.add(n.parent.at)
+    around = next((n for n in _up(best) if n.tag == "article"), None) or next((n for n in _up(best) if n.tag == "main"), None)
+    linked = lambda n: n.link_chars * 2 > n.chars and n.density < threshold
+    leaf = lambda n: not any(isinstance(c, Node) and c.tag in BLOCK for c in n.children)
+    for n in live:  # menus in the text: blocks that are mostly links
+        if n.tag in BLOCK and n.tag not in HEADINGS and n.tag != "p" and n.link_tags and linked(n) and n is not body and n.at not in holds:
+            n.out = True
+    if around is None:
+        picked = set(marked)
+        for step in _up(best):
+            for c in step.parent.children if step is not body else ():
+                if isinstance(c, Node) and not linked(c) and (c.tag in HEADINGS or step is best and (c.tag in FLOW or leaf(c))):
+                    picked.add(c.at)
+    else:
+        picked = {n.at for n in live if n.at in marked and n.tag in ("article", "main")} | {around.at}
+        if around.tag == "main":
+            for n in _inner(around):
+                if n is not around and n.at not in marked and n.at not in holds and n.tag not in FLOW and not leaf(n) and n.density < threshold:
+                    n.out = True
+    out, covered = [], set()
+    for n in live:
+        if n is not body and n.parent.at in covered:
+            covered.add(n.at)
+        elif n.at in picked:
+            covered.add(n.at)
+            out.append(n)
+    return out
 
 
-def _under(node: Node, top: Node) -> bool:
-    return any(p is top for p in _up(node))
+def _inner(top: Node):
+    """The live nodes of a subtree by whose own blocks the text is made: not those below a marked-out one, nor below text-level elements."""
+    stack = [top]
+    while stack:
+        n = stack.pop()
+        yield n
+        if not n.out and n.tag not in FLOW:
+            stack.extend(c for c in n.children if isinstance(c, Node) and not c.out)
+
+
+def _up(node: Node):
+    """The node and what is around it, up to the body."""
+    while node.parent is not None:
+        yield node
+        node = node.parent
 
 
 def blocks(nodes: list[Node]) -> list[str]:

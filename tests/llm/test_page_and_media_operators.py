@@ -35,6 +35,82 @@ def test_main_text_table(spark):
     assert html_extract.main_text(df.limit(0), ["page_id"]).count() == 0
 
 
+LONG = "Sentence number one is here, and it goes on for a while. " * 9
+
+
+@pytest.mark.parametrize(
+    "names", ['class="page has-sidebar"', 'id="x" class="no-sidebar"', 'class="content-with-footer"', 'class="search-results-page content"', 'class="social-history"', 'class="sidebar"', 'class="post no-comments"']
+)
+def test_names_that_wrap_the_article_do_not_drop_it(names):
+    got = html_extract.extract(f"<body><nav><a href=/>Home</a></nav><div {names}><p>{LONG}</p><p>{LONG}</p></div><footer>bye</footer>")
+    assert got == "\n\n".join([LONG.strip()] * 2)
+
+
+@pytest.mark.parametrize("names", ["ad", "cookie-notice", "commentList", "comment-list", "site-footer", "related-posts", "sidebar-left", "side-bar", "ad-300x250", "navbar", "login-form", "newsletter_box x"])
+def test_names_of_asides(names):
+    assert html_extract.extract(f'<body><div class="text"><p>{LONG}</p><p>{LONG}</p></div><div class="{names}"><p>{LONG}</p></div>').count("number one") == 18
+
+
+def test_forms_around_pages_and_comments_longer_than_the_article():
+    page = f"<form><div class=menu><a href=x>a</a></div><div><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div><input></form>"
+    assert html_extract.extract(page) == "\n\n".join(["Title", LONG.strip(), LONG.strip()])
+    page = f"<article><h1>T</h1><p>{LONG}</p></article><section id=comments><ol class=comment-list><li><article class=comment-body><p>{LONG * 40}</p></article></ol></section>"
+    assert html_extract.extract(page) == "T\n\n" + LONG.strip()
+
+
+def test_menus_inside_main_go_and_its_paragraphs_stay():
+    page = f"<main><div><a href=x>Read this teaser now</a> more</div><h1>Head</h1><p>{LONG}</p><p>short one.</p><p>{LONG}</p><ul><li><a href=x>one</a><li><a href=y>two</a></ul></main>"
+    assert html_extract.extract(page) == "\n\n".join(["Head", LONG.strip(), "short one.", LONG.strip()])
+
+
+def test_time_grows_with_the_page():
+    import time
+
+    n = 25_000
+    for page in ("</i>" * 10 * n, "<ul>" + "<b>" * n + "<li>" * n, "<div>" + "<b>" * n + "</u>" * n, "<div>" * n + "</p>" * n + "x", "<b>" * n + "<p>x</p>" * n, "<a x='" * n, "<table><tr><td>" * n + "</div>" * n, "<dl>" + "<span>" * n + "<dt>" * n):
+        began = time.process_time()
+        html_extract.extract(page)
+        assert time.process_time() - began < 10, page[:20]  # quadratic parsing takes minutes
+
+
+def test_densities_by_brute_force():
+    import math
+    import random
+
+    def counts(node):
+        c = t = lc = lt = 0
+        for x in node.children:
+            if isinstance(x, str):
+                c += len(" ".join(x.split()))
+                continue
+            a, b, d, e = counts(x)
+            c, t, lc, lt = c + a, t + b + 1, lc + d, lt + e + (x.tag == "a")
+        return (c, t, c, t) if node.tag == "a" else (c, t, lc, lt)
+
+    def density(node, share):
+        c, t, lc, lt = counts(node)
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - lc) * lc + share * c + math.e)
+        amount = math.log(max(1.0, c / max(1, lc) * max(1, t) / max(1, lt)))
+        return c / max(1, t) * (amount / math.log(base) if base > 1.0000001 else amount * 1e6)
+
+    rng = random.Random(6)
+    for _ in range(60):
+        def tree(depth):
+            return "".join(rng.choice([f"<div>{tree(depth - 1)}</div>" if depth else "x", f"<p>{'w' * rng.randrange(200)}</p>", f"<p>a <a href=x>{'l' * rng.randrange(60)}</a> b</p>"]) for _ in range(rng.randrange(1, 5)))
+
+        root = html_extract.parse(f"<body>{tree(4)}</body>")
+        body = root.children[0]
+        nodes = html_extract._walk(body)
+        live = html_extract._live(nodes)
+        c, _, lc, _ = counts(body)
+        sums = [sum(density(x, lc / max(1, c)) for x in n.children if not isinstance(x, str)) for n in nodes]
+        assert live == nodes and all(math.isclose(n.total, s, rel_tol=1e-9, abs_tol=1e-9) for n, s in zip(nodes, sums, strict=True))
+        best = html_extract._best(live, html_extract._largest(live))
+        assert math.isclose(best.total, max(sums), rel_tol=1e-9)
+
+
 @pytest.mark.parametrize("lacing", matroska.LACINGS)
 @pytest.mark.parametrize("n", [1, 192, 193, 5000, 300_000])
 def test_matroska_round_trip(lacing, n):
