@@ -76,13 +76,21 @@ WITH d AS (
   SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END)::BIGINT AS whole FROM t
 ), h AS (
   SELECT *, round(target - whole * source_size)::BIGINT AS rest FROM g
+), i AS (
+  SELECT source, length(bin(size))::DOUBLE AS digits, sum(size)::DOUBLE AS words FROM b WHERE size > 0 GROUP BY ALL
+), j AS (
+  SELECT i.*, (h.rest - coalesce(sum(words) OVER (PARTITION BY i.source ORDER BY digits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) /
+    sum(digits * words) OVER (PARTITION BY i.source ORDER BY digits DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c
+  FROM i JOIN h ON i.source IS NOT DISTINCT FROM h.source
+), k AS (
+  SELECT source, max(digits) AS top, arg_max(c, digits) AS c FROM j WHERE c * digits < 1 GROUP BY source
 ), p AS (
   SELECT b.*, h.source_size, h.target, h.whole, h.rest,
     (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || text_md5), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0::DOUBLE AS u,
-    least(greatest(CASE WHEN h.source_size > 0 THEN h.rest::DOUBLE / h.source_size::DOUBLE ELSE 0 END, 1e-9::DOUBLE), 1::DOUBLE - 1e-9::DOUBLE) AS p
-  FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source
+    CASE WHEN k.top IS NULL OR length(bin(b.size)) > k.top THEN 1.0::DOUBLE ELSE k.c * length(bin(b.size))::DOUBLE END AS p
+  FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source LEFT JOIN k ON b.source IS NOT DISTINCT FROM k.source
 ), q AS (
-  SELECT *, CASE WHEN size > 0 THEN (u * (1 - p)) / (u * (1 - p) + p * (1 - u)) ELSE 1.0 END AS q FROM p
+  SELECT *, CASE WHEN size = 0 THEN 1.0 WHEN p >= 1 THEN 0.0 ELSE (u * (1 - p)) / (u * (1 - p) + p * (1 - u)) END AS q FROM p
 ), x AS (
   SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, text_md5, doc_id ROWS UNBOUNDED PRECEDING) - size AS before FROM q
 )

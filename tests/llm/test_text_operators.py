@@ -192,6 +192,42 @@ def test_mix_meets_targets(spark, docs):
     assert mixing.mix(empty(docs)).count() == 0
 
 
+def test_inclusion_is_pareto_with_odds_that_differ(spark):
+    """The rule with plain loops: certain copies first, the rest by odds(u) / odds(p), p in proportion to the digits of the size."""
+    rows = [(i, "w " * (1 + i * i % 900), f"s{i % 3}") for i in range(900)] + [(i, "w " * 4000, "s1") for i in range(2000, 2003)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(df).collect()}
+    chosen = set()
+    for source in ("s0", "s1", "s2"):
+        docs = {i: t.count("w") for i, t, s in rows if s == source}
+        goal = next(r.target for r in got.values() if r.doc_id in docs)
+        whole = int(goal // sum(docs.values()))
+        rest = round(goal - whole * sum(docs.values()))
+        sure, c = set(), 0.0
+        while len(sure) < len(docs):
+            c = (rest - sum(docs[i] for i in sure)) / sum(n.bit_length() * n for i, n in docs.items() if i not in sure)
+            new = {i for i, n in docs.items() if i not in sure and c * n.bit_length() >= 1 - 1e-12}
+            if not new:
+                break
+            sure |= new
+        p = {i: 1.0 if i in sure else c * n.bit_length() for i, n in docs.items()}
+        assert len(set(p.values())) > 5 or rest in (0, sum(docs.values()))
+        assert math.isclose(sum(p[i] * n for i, n in docs.items()), rest, rel_tol=1e-9, abs_tol=1e-6)
+
+        def rank(i):
+            text = hashlib.md5(next(t for j, t, _ in rows if j == i).encode()).hexdigest()
+            u = (int(hashlib.md5(f"mix:{i}:{text}".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+            return (0.0 if p[i] >= 1 else u / (1 - u) / (p[i] / (1 - p[i])) if p[i] else math.inf), text, i
+
+        left = rest
+        for i in sorted(docs, key=rank):
+            extra = min(left, docs[i])
+            assert got[i].taken == whole * docs[i] + extra, (source, i)
+            left -= extra
+        chosen |= {i for i in docs if 0 < p[i] < 1}
+    assert chosen
+
+
 def test_mixed_rows_carry_what_was_taken(spark, docs):
     words = lambda df: df.groupBy("source").agg(F.sum(mixing.size_of(F.col("text"))).alias("n"))
     want = {r.source: r.n for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("n")).collect()}
