@@ -16,9 +16,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master may do without it and gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="sigweave-")
         shared_dir.own = folder
     return folder.rstrip("/")
@@ -32,7 +34,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors, is computed once."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._sigweave_path = path
+    return out
+
+
+def remove(*frames: DataFrame) -> None:
+    """Delete what materialize has written for these frames, once nothing reads it any more; others are left alone."""
+    for df in frames:
+        if path := getattr(df, "_sigweave_path", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -21,11 +21,13 @@ def test_recall_scores_and_order(spark):
     centres = rng.standard_normal((6, 16))
     rows = [(i, [float(np.float32(x)) for x in centres[i % 6] * (1 + i % 3) + rng.standard_normal(16)], 0, 0.0, "") for i in range(800)]
     rows += [(i, rows[40][1], 0, 0.0, "") for i in range(1000, 1300)]  # a group of copies, queries among them
-    rows += [(2000, None, 1, 1.0, ""), (2020, [0.0] * 16, 1, 1.0, ""), (2040, [float("nan")] * 16, 1, 1.0, ""), (2060, [None] * 16, 1, 1.0, ""), (2080, [1.0], 1, 1.0, ""), (None, rows[3][1], 1, 1.0, ""), (7, rows[7][1], 1, 1.0, "")]
+    rows += [(2000, None, 1, 1.0, ""), (2020, [0.0] * 16, 1, 1.0, ""), (2040, [float("nan")] * 16, 1, 1.0, ""), (2060, [None] * 16, 1, 1.0, ""), (None, rows[3][1], 1, 1.0, ""), (7, rows[7][1], 1, 1.0, "")]
+    rows += [(3000 + i, [1.0, float(i)], 0, 0.0, "") for i in range(4)]  # vectors of another length are searched among themselves
     got = {}
     for r in sorted(ann.nearest(spark.createDataFrame(rows, SCHEMA)).collect()):
         got.setdefault(r.query_id, []).append(r)
-    want = brute([r for r in rows if r[0] != 2080])
+    assert [(r.rank, r.vec_id, r.score) for r in got.pop(3000)] == [(1, 3001, 1.0), (2, 3002, 1.0), (3, 3003, 1.0)]
+    want = brute([r for r in rows if (r[0] or 0) < 3000])
     assert set(got) == set(want)
     hits = 0
     for q, best in want.items():
@@ -44,18 +46,41 @@ def test_few_rows_give_all(spark):
     assert ann.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-@pytest.mark.parametrize("outliers", [1, 30])
-def test_outlier_lengths(spark, outliers):
-    rng = np.random.default_rng(2)
-    x = rng.standard_normal((3000, 64))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    x[1 : 1 + outliers] *= 300
-    rows = [(i, [float(np.float32(c)) for c in v], 0, 0.0, "") for i, v in enumerate(x)]
+def test_ids_with_several_vectors(spark):
+    rows = [(0, [1.0, 0.0], 0, 0.0, ""), (0, [0.0, 1.0], 0, 0.0, ""), (1, [2.0, 0.0], 0, 0.0, ""), (1, [0.0, 3.0], 0, 0.0, ""), (1, [0.0, 3.0], 0, 0.0, ""), (2, [0.0, 1.0], 0, 0.0, "")]
+    got = sorted(map(tuple, ann.nearest(spark.createDataFrame(rows, SCHEMA)).collect()))
+    first = [(0, 1, 1, 2.0), (0, 2, 1, 0.0), (0, 3, 2, 0.0)]
+    second = [(0, 1, 1, 3.0), (0, 2, 2, 1.0), (0, 3, 1, 0.0)]
+    assert got == sorted(first + second)
+
+
+def recall(spark, x, settings=ann.Settings()):
+    rows = [(i, [float(np.float32(c)) if abs(c) < 1e30 else float(c) for c in v], 0, 0.0, "") for i, v in enumerate(x)]
     got = {}
-    for r in ann.nearest(spark.createDataFrame(rows, SCHEMA)).collect():
+    for r in ann.nearest(spark.createDataFrame(rows, SCHEMA.replace("float", "double", 1)), settings=settings).collect():
         got.setdefault(r.query_id, set()).add(r.vec_id)
     want = brute(rows)
-    assert sum(len({i for _, i in best} & got[q]) for q, best in want.items()) / (20 * len(want)) > 0.9
+    return sum(len({i for _, i in best} & got[q]) for q, best in want.items()) / (20 * len(want))
+
+
+@pytest.mark.parametrize("outliers, ratio", [(30, 300.0), (1, 1e200)])
+def test_outlier_lengths(spark, outliers, ratio):
+    x = np.random.default_rng(2).standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1 : 1 + outliers] *= ratio
+    assert recall(spark, x) > 0.9
+
+
+def test_many_dimensions_without_clusters(spark):
+    x = np.random.default_rng(3).standard_normal((1200, 768))
+    assert recall(spark, x) > 0.9
+
+
+def test_parts_agree(spark):
+    ids = [0, 1, 5, 2**40 + 3, -1, -(2**50), 2**63 - 1, -(2**63)]
+    got = spark.createDataFrame([(i,) for i in ids], "node bigint").select(ann._part("node", 13)).collect()
+    assert [r[0] for r in got] == ann._parts_of(np.array(ids, np.int64), 13).tolist()
+    assert ann.part_count(12, 51_300, 64, ann.Settings()) == 13 and ann.part_count(12, 10**9, 64, ann.Settings()) > 10_000
 
 
 def test_lists_grow_with_nodes():
