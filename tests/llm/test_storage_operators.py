@@ -74,15 +74,16 @@ def test_placing_balances_all_three():
 
 
 @pytest.mark.parametrize("split, compression", [("128m", "gzip"), ("128m", "none"), ("3000b", "none")])
-def test_warc_round_trip(spark, split, compression):
+def test_warc_round_trip(spark, monkeypatch, split, compression):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     rows = [(i, f"http://x/{i}", f"<p>{i % 50}</p>" * (i % 7 * 30 + 1), 1) for i in range(300)]
     rows += [(1000 + i, "u v\r\n", fake * (i + 1) + "é" * 2000 + fake, 2) for i in range(20)] + [(2000, "", None, 0), (2001, None, "", 0), (5, "x", "dup", 0), (5, "x", "dup", 0), (None, "n", "lonely", 0), (None, "n", "<p>1</p>" * 31, 0), (3000, "m", "WARC/1.1\r\n", 0), (3001, "m", "\r\n\r\nWARC/1.1\r\n\r\n", 0)]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, digest int").repartition(3)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    monkeypatch.setattr(warc, "BITS", 1 << 8)  # most bits are set: pages that are no revisits are told so by the join
     try:
-        got = sorted(map(tuple, warc.round_trip(df, compression=compression).collect()), key=str)
+        got = sorted(map(tuple, warc.round_trip(df, segment=2000 if split == "3000b" else 1 << 20, compression=compression).collect()), key=str)
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     least = {}
@@ -100,3 +101,22 @@ def test_warc_round_trip(spark, split, compression):
 
 def test_warc_of_nothing(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_pointer_jumping_in_rounds(spark, monkeypatch):
+    """Each round doubles the reach, and false version lines in payloads are never reached."""
+    fake = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"
+    rows = [(i, "u", f"{i} " + fake * (i % 3) + "x" * 500) for i in range(400)]
+    rounds, plain = [], warc.materialize
+    monkeypatch.setattr(warc, "materialize", lambda df, name: (rounds.append(name), plain(df, name))[1])
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1), segment=2048).collect()
+    assert rounds.count("reached") >= 8  # over 128 segments
+    assert {(r.page_id, r.payload_digest) for r in got} == {(i, warc.digest(h.encode())) for i, _, h in rows} and len(got) == 400
+
+
+def test_warc_of_string_ids_and_of_others(spark):
+    rows = [("a b:c/é", "u", "x"), ("b", "u", "x"), ("", "u", "y"), (None, "u", "z"), ("7", "u", None)]
+    got = sorted(map(tuple, warc.round_trip(spark.createDataFrame(rows, "page_id string, url string, html string")).select("page_id", "record_type", "refers_to").collect()), key=str)
+    assert got == sorted([("a b:c/é", "response", None), ("b", "revisit", "a b:c/é"), ("", "response", None), (None, "response", None), ("7", "response", None)], key=str)
+    with pytest.raises(TypeError):
+        warc.round_trip(spark.createDataFrame([(1.5, "u", "x")], "page_id double, url string, html string"))
