@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.store import written
+
 
 def pair_counts(left: DataFrame, right: DataFrame, key: str, a: list[str], b: list[str], name: str = "n_cases", mode: str = "rows") -> DataFrame:
     """Counts of (a, b) over reports. Both sides are made distinct first; `rows` keeps other columns of right apart (a report may count twice for a pair), `distinct_reports` doesn't."""
@@ -27,10 +29,13 @@ def nodes_of(edges: list[DataFrame], key: str, name: Column | None = None) -> Da
 
 
 def surrogate(keys: DataFrame, key: str, name: str) -> DataFrame:
-    """(name, key): dense ids from 1 in order of the key. The keys are numbered within key ranges and shifted by the counts before; no task sees all."""
+    """(name, key): dense ids from 1 in order of the key. The keys are numbered within key ranges and shifted by the counts before; no task sees all.
+
+    The ranges are sampled anew by each plan that uses them, so the ranged keys are written once, and counts and rows both read what was written.
+    """
     spark = keys.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.select(key).distinct().repartitionByRange(n, key).withColumn("__p", F.spark_partition_id())
+    ranged = written(keys.select(key).distinct().repartitionByRange(n, key).withColumn("__p", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
     before = counts.select("__p", (F.sum("__n").over(Window.orderBy("__p")) - F.col("__n")).alias("__before"))
     inside = F.row_number().over(Window.partitionBy("__p").orderBy(key))
@@ -70,7 +75,7 @@ def core_graph(compounds: DataFrame, outcomes: DataFrame, hierarchy: DataFrame,
     """Nodes and edges for roles PS and SS from (report, role, compound) and (report, outcome), pruned at `least`."""
     tables = {}
     counts = compounds.select(key, "role", "compound").distinct().join(outcomes.distinct(), key).groupBy("role", "compound", "outcome").agg(F.count("*").alias("n_reports"))
-    kept = prune(counts, "n_reports", least)
+    kept = written(prune(counts, "n_reports", least), "edges")  # all tables are made of these
     for role in ("PS", "SS"):
         tables[f"edge_{role.lower()}"] = kept.where(F.col("role") == role).drop("role")
     tables["node_compound"] = nodes_of([kept], "compound")

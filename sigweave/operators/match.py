@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_term, normalize_drug_v3
+from ..functions.text import clean_term, normalize_drug_v3, variants
+from ..plans.store import written
 from .dedup import first_wins
 
 # Priorities of sources and of term types, and the relations that bridge.
@@ -72,7 +73,8 @@ def preferred_id(links: DataFrame, key: str, value: str, good: DataFrame) -> Dat
 def bridge(relations: DataFrame, wanted: DataFrame, linked: DataFrame) -> DataFrame:
     """(id, target): linked neighbours of wanted ids over undirected relations (a, b), direct or by one neighbour that isn't linked itself."""
     both = relations.select("a", "b").unionByName(relations.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b AND a <> '' AND b <> ''").distinct()
-    linked = linked.select(F.col("id").alias("__l")).distinct()
+    both = written(both, "relations")
+    linked = written(linked.select(F.col("id").alias("__l")).distinct(), "linked")
     hop = both.join(wanted.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
     direct = hop.join(linked, hop["b"] == linked["__l"], "left_semi").select(F.col("a").alias("id"), F.col("b").alias("target"))
     middle = hop.join(linked, hop["b"] == linked["__l"], "left_anti").select(F.col("a").alias("id"), F.col("b").alias("mid"))
@@ -88,6 +90,66 @@ def match_terms(terms: DataFrame, term: str, variant_rows: DataFrame, vocabulary
     return terms.join(best.select(term, "rxcui", "sab", "tty", "string", "stage"), term, "left")
 
 
+# The columns of the term table.
+TERM_MAP = (
+    "term_std term_norm n_rows n_cases manual_action manual_target map_stage n_candidates rxcui rx_sab rx_tty rx_code rx_string dbid db_name inchi"
+).split()
+
+
+def ids_by_name(terms: DataFrame, key: str, forms: Column, names: DataFrame, structures: DataFrame) -> DataFrame:
+    """(key, dbid): of a term's forms, in order, the first that names an id with a structure, and of its ids the smallest.
+
+    forms is an array of text; each counts in its normal and then in its cleaned form.
+    """
+    both = F.flatten(F.transform(forms, lambda t: F.array(normalize_drug_v3(t), clean_term(t))))
+    rows = terms.select(key, F.posexplode(both).alias("__at", "term")).where("term <> ''")
+    index = name_index(names, "dbid", "name").join(structures.select("dbid"), "dbid", "left_semi")
+    best = rows.join(index, "term").groupBy(key).agg(F.min(F.struct("__at", "dbid")).alias("__b"))
+    return best.select(key, F.col("__b.dbid").alias("dbid"))
+
+
+def map_terms(terms: DataFrame, vocabulary: DataFrame, links: DataFrame, names: DataFrame, structures: DataFrame, fixes: DataFrame) -> DataFrame:
+    """The term table: (term_std, n_rows, n_cases) mapped to concepts, ids and structures, in the columns TERM_MAP.
+
+    vocabulary has (rxcui, sab, tty, code, string, line_no); links (rxcui, dbid); names (dbid, name); structures (dbid, inchi), both with one row for an
+    id; fixes (term_std, action, target_term, line_no) the corrections. A term to be excluded gets the stage MANUAL_EXCLUDE. Another takes the first kind of
+    its variants (of the correction's target, where there is one) that has candidates, the best of these, and that concept's id, an id with a
+    structure before others. Without candidates an id is looked up by name. Stages of corrected terms begin with MANUAL_.
+    """
+    norm = normalize_drug_v3(F.col("term_std"))
+    rows = terms.select("term_std", norm.alias("term_norm"), "n_rows", "n_cases").where("term_norm <> ''")
+    fix = corrections(fixes.withColumn("term_std", normalize_drug_v3(F.col("term_std"))))
+    fix = fix.select(F.col("term_std").alias("__key"), F.col("action").alias("manual_action"), normalize_drug_v3(F.col("target_term")).alias("manual_target")).where("__key <> ''")
+    rows = rows.join(fix, rows["term_norm"] == fix["__key"], "left").drop("__key").na.fill("", ["manual_action", "manual_target"])
+    aimed = (F.col("manual_action") == "MAP_TO_TERM") & (F.col("manual_target") != "")
+    rows = written(rows.withColumn("base", F.when(aimed, F.col("manual_target")).otherwise(F.col("term_std"))), "terms")
+    asked = rows.where("manual_action <> 'EXCLUDE_NON_DRUG'")
+    found = variants(asked, "base", ["term_std"]).join(candidates(vocabulary).withColumn("__key", normalize_drug_v3(F.col("string"))), F.col("variant") == F.col("__key"))
+    hits = first_hit(found, "term_std", "priority").groupBy("term_std", "rxcui", "sab", "tty", "code", "string").agg(F.min("line_no").alias("line_no"), F.min("stage").alias("stage"))
+    hits = written(hits, "hits")
+    counts = hits.groupBy("term_std").agg(F.count("*").cast("int").alias("n_candidates"))
+    best = rank_best(hits.withColumn("__target", normalize_drug_v3(F.col("term_std"))), "term_std", "__target").join(counts, "term_std")
+    # An id for the concept, or one by name where there is no concept.
+    by_concept = preferred_id(links.select("rxcui", "dbid").distinct(), "rxcui", "dbid", structures)
+    best = best.join(by_concept.withColumnRenamed("rxcui", "__rx"), F.col("rxcui") == F.col("__rx"), "left").drop("__rx")
+    without = asked.join(best.select("term_std"), "term_std", "left_anti")
+    named = ids_by_name(without, "term_std", F.array("base", "term_std", "term_norm"), names, structures)
+    named = named.select("term_std", F.lit("DB_NAME_EXACT").alias("stage"), F.lit(1).alias("n_candidates"), "dbid")
+    got = best.select("term_std", "stage", "n_candidates", "rxcui", "sab", "tty", "code", "string", "dbid").unionByName(named, allowMissingColumns=True)
+    out = rows.join(got, "term_std", "left").join(names.select(F.col("dbid").alias("__n"), F.col("name").alias("db_name")), F.col("dbid") == F.col("__n"), "left")
+    out = out.join(structures.select(F.col("dbid").alias("__s"), "inchi"), F.col("dbid") == F.col("__s"), "left")
+    stage = F.concat(F.when(F.col("manual_action") == "MAP_TO_TERM", F.lit("MANUAL_")).otherwise(F.lit("")), F.coalesce("stage", F.lit("UNMAPPED")))
+    out = out.withColumn("map_stage", F.when(F.col("manual_action") == "EXCLUDE_NON_DRUG", F.lit("MANUAL_EXCLUDE")).otherwise(stage)).na.fill(0, ["n_candidates"])
+    for new, old in (("rx_sab", "sab"), ("rx_tty", "tty"), ("rx_code", "code"), ("rx_string", "string")):
+        out = out.withColumnRenamed(old, new)
+    return out.na.fill("", ["rxcui", "rx_sab", "rx_tty", "rx_code", "rx_string", "dbid", "db_name", "inchi"]).select(*TERM_MAP)
+
+
+def stage_counts(term_map: DataFrame) -> DataFrame:
+    """(map_stage, n_terms, n_rows): terms and rows by the stage that mapped them."""
+    return term_map.groupBy("map_stage").agg(F.count("*").alias("n_terms"), F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
 def corrections(*lists: DataFrame, key: str = "term_std", ordinal: str = "line_no") -> DataFrame:
     """Correction lists merged; an earlier list wins, within a list the last line."""
     ranked = [first_wins(d.withColumn("__o", -F.col(ordinal)), [key], ["__o"]).drop("__o").withColumn("__list", F.lit(i)) for i, d in enumerate(lists)]

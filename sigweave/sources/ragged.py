@@ -5,57 +5,101 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
-ARCHIVE = r"(?i)f?aers_ascii_(20\d\d)q([1-4])\.zip$"
-# Members of an archive, and the columns of its tables with their older names.
-MEMBERS = {"demo": r"(?i)demo\d\dq\d(?:_new)?\.txt$", "delete": r"(?i)delete\d\dq\d\.txt$", "drug": r"(?i)drug\d\dq\d(?:_new)?\.txt$", "reac": r"(?i)reac\d\dq\d(?:_new)?\.txt$"}
+# Names of archives, members of an archive, and the columns of its tables with their older names. Names are matched whole.
+ARCHIVE = r"(?i)(?:^|/)f?aers_ascii_(20\d\d)q([1-4])\.zip$"
+MEMBERS = {
+    "demo": r"(?i)(?:^|/)demo\d\dq[1-4](?:_new)?\.txt$", "delete": r"(?i)(?:^|/)delete\d\dq[1-4]\.txt$",
+    "drug": r"(?i)(?:^|/)drug\d\dq[1-4](?:_new)?\.txt$", "reac": r"(?i)(?:^|/)reac\d\dq[1-4](?:_new)?\.txt$",
+}
 COLUMNS = {
     "demo": [["primaryid", "isr"], ["caseid", "case"], ["caseversion", "foll_seq"], ["i_f_code", "i_f_cod"], ["fda_dt"], ["event_dt"], ["sex", "gndr_cod"], ["age"], ["reporter_country"]],
     "drug": [["primaryid", "isr"], ["caseid", "case"], ["drug_seq"], ["role_cod"], ["drugname"], ["prod_ai"], ["route"], ["dose_vbm"], ["val_vbm"]],
     "reac": [["primaryid", "isr"], ["caseid", "case"], ["pt"], ["drug_rec_act"]],
 }
-BREAKS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+
+
+def archives(spark: SparkSession, root: str) -> DataFrame:
+    """(path, zip, year, quarter, file_rank) of the archives below root, ranked by year, quarter and name in lower case. Files are listed, not read."""
+    name = F.regexp_extract("path", "([^/]*)$", 1)
+    part = lambda i: F.regexp_extract("path", ARCHIVE, i).cast("int")
+    rows = _files(spark, root).select("path", name.alias("zip"), part(1).alias("year"), part(2).alias("quarter"))
+    order = Window.orderBy("year", "quarter", F.lower("zip"), "path")  # a row for each archive
+    return rows.withColumn("file_rank", F.row_number().over(order))
+
+
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").option("recursiveFileLookup", "true").load(root)
+    return found.where(F.col("path").rlike(ARCHIVE))
+
+
+def _rows_of(stream, table: str, token: str | None):
+    """Lines of a member as it is read; demo tables are cut into records, as quotes may hold line breaks there."""
+    import csv
+
+    def physical():
+        for line in stream:
+            if not token:
+                yield line
+                continue
+            first, *more = re.split(f"(?<!^)(?={re.escape(token)})", line)
+            yield from (x + "\n" for x in (first, *more[:-1])) if more else ()
+            yield more[-1] if more else first
+
+    if table != "demo":
+        for line in physical():
+            yield from line.splitlines()
+        return
+    csv.field_size_limit(1 << 30)
+    held: list[str] = []
+
+    def feed():
+        for line in physical():
+            held.append(line)
+            yield line
+
+    for _ in csv.reader(feed(), delimiter="$"):
+        yield "".join(held).rstrip("\r\n")
+        held.clear()
 
 
 def archive_lines(spark: SparkSession, root: str, table: str, lost_breaks: dict[tuple[int, int], str] | None = None) -> DataFrame:
     """(year, quarter, zip, member, line_no, line) of the first member of that kind in each archive, read as Latin-1.
 
     Delete lists of archives without a demo member are left out. lost_breaks gives, for (year, quarter), a token before which a line break is
-    put. Report tables other than demo are cut at every character that str.splitlines() cuts at; empty lines go.
+    put. Report tables other than demo are cut at every character that str.splitlines() cuts at; empty lines go. An archive comes to a
+    task as one value (2 GB at most); its members are read as streams.
     """
     want, demo, fix = re.compile(MEMBERS[table]), re.compile(MEMBERS["demo"]), lost_breaks or {}
 
     def unzip(batches):
         import io
         import zipfile
+        from itertools import islice
 
         import pyarrow as pa
 
+        names = ["year", "quarter", "zip", "member", "line_no", "line"]
         for b in batches:
             for path, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 found = re.search(ARCHIVE, path)
                 with zipfile.ZipFile(io.BytesIO(data)) as z:
-                    names = z.namelist()
-                    name = next((n for n in names if want.search(n)), None)
-                    if name is None or table == "delete" and not any(demo.search(n) for n in names):
+                    inside = z.namelist()
+                    name = next((n for n in inside if want.search(n)), None)
+                    if name is None or table == "delete" and not any(demo.search(n) for n in inside):
                         continue
-                    text = z.read(name).decode("latin-1")
-                year, quarter = int(found[1]), int(found[2])
-                if token := fix.get((year, quarter)):
-                    text = re.sub(rf"(?<!\n){re.escape(token)}", "\n" + token, text)
-                lines = text.split("\n") if table == "demo" else text.splitlines()
-                rows = [(i, x.rstrip("\r")) for i, x in enumerate(lines) if x.strip("\r")]
-                for at in range(0, len(rows), 20_000):
-                    some = rows[at : at + 20_000]
-                    n = len(some)
-                    yield pa.RecordBatch.from_arrays([pa.array([year] * n, pa.int32()), pa.array([quarter] * n, pa.int32()), pa.array([path.rpartition("/")[2]] * n), pa.array([name] * n), pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some])], names=["year", "quarter", "zip", "member", "line_no", "line"])
+                    year, quarter = int(found[1]), int(found[2])
+                    with io.TextIOWrapper(z.open(name), encoding="latin-1", newline="\n") as stream:
+                        rows = ((i, x) for i, x in enumerate(_rows_of(stream, table, fix.get((year, quarter)))) if x.strip("\r"))
+                        while some := list(islice(rows, 20_000)):
+                            n = len(some)
+                            yield pa.RecordBatch.from_arrays([pa.array([year] * n, pa.int32()), pa.array([quarter] * n, pa.int32()), pa.array([path.rpartition("/")[2]] * n), pa.array([name] * n), pa.array([r[0] for r in some], pa.int64()), pa.array([r[1] for r in some])], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(root).where(F.col("path").rlike(ARCHIVE))
-    return files.select("path", "content").mapInArrow(unzip, "year int, quarter int, zip string, member string, line_no bigint, line string")
+    return _files(spark, root).select("path", "content").mapInArrow(unzip, "year int, quarter int, zip string, member string, line_no bigint, line string")
 
 
 def fit(cells: Column, n: int | Column) -> Column:
@@ -77,14 +121,18 @@ def quoted_cells(df: DataFrame, line: str = "line", out: str = "cells") -> DataF
     @F.pandas_udf("array<string>")
     def cells(lines: pd.Series) -> pd.Series:
         import csv
+        import io
 
-        return pd.Series([next(csv.reader([x or ""], delimiter="$"), [""]) for x in lines])
+        csv.field_size_limit(1 << 30)
+        return pd.Series([next(csv.reader(io.StringIO(x or "", newline=""), delimiter="$"), [""]) for x in lines])
 
     return df.withColumn(out, cells(F.col(line)))
 
 
 def parse(lines: DataFrame, table: str, quoted: bool = False) -> DataFrame:
-    """(year, quarter, zip, line_no, padded, folded, columns): rows fitted to their file's header, synonyms resolved, missing columns empty.
+    """(year, quarter, zip, line_no, trimmed, padded, folded, columns): rows fitted to their file's header, synonyms resolved, missing columns empty.
+
+    trimmed counts the empty cells that were cut off the end of a row longer than its header.
 
     The first line of each file is its header; the first of a column's names that it has is taken. Blank ids of demo rows
     fill each other; rows without either go.
@@ -97,9 +145,10 @@ def parse(lines: DataFrame, table: str, quoted: bool = False) -> DataFrame:
     heads = heads.withColumn("head", F.transform(without_blank_tail(F.col("head")), lambda x: F.lower(F.trim(x))))
     rows = lines.join(heads, ["zip", "member"]).where("line_no > first")
     n = F.size("head")
-    extra = F.slice("cells", n + 1, F.greatest(F.size("cells"), F.lit(1)))
-    trimmed = F.when((F.size("cells") > n) & F.forall(extra, lambda x: x == ""), F.slice("cells", F.lit(1), n)).otherwise(F.col("cells"))
-    rows = rows.withColumn("padded", (F.size("cells") < n).cast("int")).withColumn("cells", trimmed).withColumn("folded", (F.size("cells") > n).cast("int")).withColumn("cells", fit(F.col("cells"), n))
+    filled = F.aggregate(F.transform("cells", lambda x, i: F.when(x != "", i + 1).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x))
+    left = F.least(F.size("cells"), F.greatest(n, filled))
+    rows = rows.withColumn("padded", (F.size("cells") < n).cast("int")).withColumn("trimmed", F.size("cells") - left).withColumn("cells", F.slice("cells", F.lit(1), left))
+    rows = rows.withColumn("folded", (F.size("cells") > n).cast("int")).withColumn("cells", fit(F.col("cells"), n))
     cols = {}
     for names in COLUMNS[table]:
         found = F.coalesce(*(F.when(F.array_position("head", k) > 0, F.get("cells", (F.array_position("head", k) - 1).cast("int"))) for k in names), F.lit(""))
@@ -108,7 +157,7 @@ def parse(lines: DataFrame, table: str, quoted: bool = False) -> DataFrame:
     if table == "demo":
         p, c = F.col("primaryid"), F.col("caseid")
         rows = rows.withColumns({"primaryid": F.when(p == "", c).otherwise(p), "caseid": F.when(c == "", p).otherwise(c)}).where("primaryid <> ''")
-    return rows.select("year", "quarter", "zip", "line_no", "padded", "folded", *cols)
+    return rows.select("year", "quarter", "zip", "line_no", "trimmed", "padded", "folded", *cols)
 
 
 def deleted_ids(lines: DataFrame) -> DataFrame:

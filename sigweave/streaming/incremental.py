@@ -5,17 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dedup import latest_cases
+from ..operators.dedup import first_wins, latest_cases
 
 
-def ingest_available(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: list[str] | None = None) -> None:
-    """Append Parquet files that have arrived since the last run; the checkpoint is the ledger of files."""
+def ingest_available(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: list[str] | None = None, ordinal: list[str] | None = None) -> None:
+    """Write Parquet files that have arrived since the last run below target, each batch to a folder of its own; the checkpoint is the ledger of files.
+
+    A batch that is repeated after a failure replaces what it has written. With keys the first row of each key, by ordinal (all columns, if none is given),
+    stays within a batch; rows of earlier batches win over later ones when the target is read with first_wins over batch_id and the ordinal.
+    """
+    stream = spark.readStream.schema(schema).parquet(source)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        rows = first_wins(batch, keys, ordinal or batch.columns) if keys else batch
+        rows.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def count_available(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, keys: list[str], weight: str) -> None:
+    """Counts by keys of files that have arrived since the last run, each batch's in a folder of its own: repeated batches replace their own counts."""
     stream = spark.readStream.schema(schema).parquet(source)
 
-    def append(batch: DataFrame, _: int) -> None:
-        (batch.dropDuplicates(keys) if keys else batch).write.mode("append").parquet(target)
+    def put(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(*keys).agg(F.count("*").alias(weight))
+        counts.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
-    stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def merged_counts(state: DataFrame, batch: DataFrame, keys: list[str], weight: str) -> DataFrame:
