@@ -43,6 +43,7 @@ class Settings:
     longest: int = 64  # nodes that every query is held against besides its own
     usual: int = 1 << 15
     rescored: int = 64
+    part_nodes: int = 1 << 12
     part_bytes: int = 1 << 27  # of codes that a part's join may need at once
     seed: int = 7
 
@@ -74,10 +75,10 @@ def _parts_of(nodes: np.ndarray, parts: int) -> np.ndarray:
     return (nodes ^ (nodes.view(np.uint64) >> np.uint64(32)).view(np.int64)) % parts
 
 
-def part_count(at_least: int, n: int, width: int, s: Settings) -> int:
-    """A prime number of parts, such that the codes that a part's join needs at most fit `part_bytes`."""
+def part_count(n: int, width: int, s: Settings) -> int:
+    """A prime number of parts for n nodes, such that the codes that a part's join needs at most fit `part_bytes`. What a step sends follows from it, so it is the same whatever the session's partitions."""
     links = s.neighbours + s.grown(s.reverse, n)
-    p = max(at_least, math.ceil(n * links * (width + 40) / s.part_bytes)) | 1
+    p = max(13, n // s.part_nodes, math.ceil(n * links * (width + 40) / s.part_bytes)) | 1
     while any(p % d == 0 for d in range(3, math.isqrt(p) + 1, 2)):
         p += 2
     return p
@@ -406,7 +407,7 @@ def search(nodes: DataFrame, starts: DataFrame, width: int, n: int, parts: int,
     around = links.select("v", "w").unionByName(_reverse(links, s.grown(s.reverse, n)).select("v", "w")).groupBy("v").agg(F.collect_set("w").alias("around"))
     held = nodes.join(around.hint("merge"), nodes["node"] == around["v"], "left").select(F.col("p").alias("at"), "node", "code", F.coalesce("around", F.array().cast("array<bigint>")).alias("around"))
     # Kept by part, so that a step moves only what is asked; what a lost executor held is computed again.
-    held = held.repartition(parts, "at").persist()
+    held = held.repartition(min(parts, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "at").persist()
     state = nodes.join(starts, nodes["node"] == starts["query"], "left_semi").select(F.col("node").alias("query"), "code").mapInArrow(_begun(seeds, kind), _STATE)
     state = materialize(state, "state")
     by_part = held.select("at", "node", "code").groupBy("at")
@@ -458,7 +459,7 @@ def _nearest(rows: DataFrame, width: int, k: int, most: int, every: int, s: Sett
     if most > k + 1 and nodes.select("node").distinct().count() < n:
         raise ValueError("two vectors have one key: renumber the ids that repeat")
     usual = min(r[0] for r in nodes.select("norm").orderBy(F.desc("norm")).limit(s.longest).collect())
-    parts = part_count(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n, width, s)
+    parts = part_count(n, width, s)
     members = materialize(rows.join(nodes.hint("merge"), "vector").select("node", "vec_id"), "members")
     codes = materialize(_quantised(nodes, width, usual), "codes")
     linked = graph(codes, width, n, parts, s)

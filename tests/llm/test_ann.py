@@ -80,7 +80,7 @@ def test_parts_agree(spark):
     ids = [0, 1, 5, 2**40 + 3, -1, -(2**50), 2**63 - 1, -(2**63)]
     got = spark.createDataFrame([(i,) for i in ids], "node bigint").select(ann._part("node", 13)).collect()
     assert [r[0] for r in got] == ann._parts_of(np.array(ids, np.int64), 13).tolist()
-    assert ann.part_count(12, 51_300, 64, ann.Settings()) == 13 and ann.part_count(12, 10**9, 64, ann.Settings()) > 10_000
+    assert ann.part_count(51_300, 64, ann.Settings()) == 13 and ann.part_count(10**9, 64, ann.Settings()) > 10_000
 
 
 def test_lists_grow_with_nodes():
