@@ -67,10 +67,21 @@ def _is_random(run: str, settings: Settings) -> bool:
     return len(run) <= settings.ratio * len(_encoding(settings.vocabulary or tiktoken_path()).encode_ordinary(run))
 
 
+def _merged(some: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Disjoint spans in order that cover the same."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(some):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def _remaining(a: int, b: int, out: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """What is left of a to b without the spans in out."""
+    """What is left of a to b without the disjoint spans in out, which are in order."""
     left = []
-    for s, e in sorted(out):
+    for s, e in out:
         if a < s:
             left.append((a, min(s, b)))
         a = max(a, e)
@@ -102,12 +113,17 @@ def _random_parts(text: str, a: int, b: int, settings: Settings) -> list[tuple[i
 
 
 def random_spans(text: str, taken: list[tuple[int, int]], settings: Settings) -> list[tuple[int, int]]:
-    out = []
-    taken = sorted(taken)
+    """Random strings outside the spans in taken; runs and spans are gone through side by side."""
+    out, at, taken = [], 0, _merged(taken)
     for m in _runs(settings.shortest).finditer(text):
         a, b = m.span()
-        known = [(s, e) for s, e in taken if a < e and s < b] + [(a + u.start(), a + u.end()) for u in _UUID.finditer(m[0])]
-        out += [x for s, e in _remaining(a, b, known) for x in _random_parts(text, s, e, settings)]
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        known, to = [(a + u.start(), a + u.end()) for u in _UUID.finditer(m[0])], at
+        while to < len(taken) and taken[to][0] < b:
+            known.append(taken[to])
+            to += 1
+        out += [x for s, e in _remaining(a, b, _merged(known)) for x in _random_parts(text, s, e, settings)]
     return out
 
 
@@ -136,7 +152,10 @@ def _scan(texts, settings):
 
 
 def scan(docs: DataFrame, keep: list, text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """Columns keep, counts of the base kinds, the digest of the base spans and all spans; null text counts as empty and has none."""
+    """Columns keep, counts of the base kinds, the digest of the base spans and all spans.
+
+    One row for each row of docs, repeated rows included; null text counts as empty and has no span. Spans that begin together stand in the order of KINDS.
+    """
     made = {"n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"}
     return map_columns(docs, keep, [text_of(docs, text_col)], made, _scan, settings=settings)
 

@@ -138,6 +138,95 @@ def test_random_strings_of_one_case_with_slashes_and_beside_known_spans():
     assert secrets.spans("internationalization-responsibilities") == []
 
 
+def plain_random(text, taken, settings=secrets.Settings()):
+    """Random spans with plain loops over characters."""
+    letters = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-")
+    ratio = lambda t: len(t) / len(secrets._encoding(secrets.tiktoken_path()).encode_ordinary(t))
+
+    def judged(a, b):
+        t = text[a:b]
+        if b - a < settings.shortest or not any(c.isalpha() for c in t):
+            return []
+        if len(t) in secrets.DIGESTS and (all(c in "0123456789abcdef" for c in t) or all(c in "0123456789ABCDEF" for c in t)):
+            return []
+        if ratio(t) <= settings.ratio:
+            return [(a, b)]
+        rows, at, now = [], a, None
+        for part in t.split("/") if "/" in t else []:
+            if part and ratio(part) <= settings.ratio:
+                now = (at, at + len(part)) if now is None else (now[0], at + len(part))
+            elif now is not None:
+                rows.append(now)
+                now = None
+            at += len(part) + 1
+        rows += [now] if now else []
+        return [x for s, e in rows if (s, e) != (a, b) for x in judged(s, e)]
+
+    out, i = [], 0
+    while i < len(text):
+        if text[i] not in letters:
+            i += 1
+            continue
+        j = i
+        while j < len(text) and text[j] in letters:
+            j += 1
+        if j - i >= settings.shortest:
+            free = [True] * (j - i)
+            uuids = [(m.start() + i, m.end() + i) for m in re.finditer(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}", text[i:j])]
+            for a, b in [*taken, *uuids]:
+                for k in range(max(a, i), min(b, j)):
+                    free[k - i] = False
+            k = 0
+            while k < len(free):
+                m = k
+                while m < len(free) and free[m]:
+                    m += 1
+                if m > k:
+                    out += judged(i + k, i + m)
+                k = m + 1
+        i = j
+    return out
+
+
+def test_random_spans_by_brute_force():
+    import random
+
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    for _ in range(600):
+        bits = ["123e4567-e89b-12d3-a456-426614174000", "password=hunter2hunter2", "deadbeef" * 5, "the/quick/brown/development", " ", "_", "/", "é", "AKIA" + "Q7" * 9, "=", "word "]
+        bits += ["".join(rng.choices(letters, k=rng.randrange(5, 50))) for _ in range(4)]
+        text = "".join(rng.choices(bits, k=rng.randrange(12)))
+        found = secrets.spans(text)
+        base = [(a, b) for a, b, k in found if k != "random"]
+        assert [(a, b) for a, b, k in found if k == "random"] == plain_random(text, base), text
+
+
+def test_secrets_of_long_repeated_and_no_rows(spark, docs):
+    import time
+
+    long = 'token = "abcdef123" ' + "deadbeefdeadbeefdeadbeef-" * 20_000 + "password: s3cretpw " * 20_000
+    began = time.process_time()
+    assert len(secrets.spans(long)) >= 40_001
+    assert time.process_time() - began < 20  # side by side, not each with each
+    rows = [(1, long, "s"), (1, long, "s"), (2, None, None), (3, "", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, spans string")
+    got = sorted(secrets.scan(df, ["doc_id"]).collect())
+    assert got[0] == got[1] and got[0].n_assign == 20_001 and got[0].n_hex == 20_000
+    assert (got[2].n_assign, got[2].spans, got[2].base_sha256) == (0, "", hashlib.sha256(b"").hexdigest()) and got[3].spans == ""
+    assert secrets.scan(df.limit(0), ["doc_id"]).count() == 0 and secrets.redacted(docs.limit(0)).count() == 0
+
+
+def test_decoding_is_the_library(spark, docs):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(bpe.tokenizer_path())
+    rows = bpe.encode(docs.where("doc_id IS NOT NULL"), ["doc_id"]).groupBy("doc_id").agg(F.any_value("ids").alias("ids"))
+    want = {r.doc_id: tok.decode(r.ids, skip_special_tokens=False) for r in rows.collect() if r.ids}
+    got = {r.doc_id: r.decoded for r in bpe.decode(rows, "doc_id", "ids", spark).collect()}
+    assert got == want and len(got) > 5
+
+
 def test_bpe_is_the_library(docs):
     from tokenizers import Tokenizer
 
