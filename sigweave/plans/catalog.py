@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import dedup, graph, match, reactions, report, structures
 from ..sources import ragged
+from .store import written
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -27,10 +28,13 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def queries() -> dict:
+    from . import catalog_cases  # noqa: F401  registers its queries here
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -98,7 +102,7 @@ def outcome_primary_parent(spark, d):
 @query(f"""WITH {_EDGE_SQL} SELECT outcome, max((n_reports >= 100)::INT) AS in_ge100, max((n_reports >= 150)::INT) AS in_ge150, max((n_reports >= 200)::INT) AS in_ge200, first(r_name) AS parent
 FROM e JOIN nation ON outcome = n_name LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY outcome""")
 def graph_membership_flags(spark, d):
-    e = _edges(spark, d)
+    e = written(_edges(spark, d), "edges")
     nodes = graph.flags(graph.nodes_of([e], "outcome"), "outcome", {f"in_ge{n}": graph.prune(e, "n_reports", n) for n in (100, 150, 200)})
     h = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.col("n_name").alias("outcome"), F.col("r_name").alias("parent"))
     return nodes.join(h, "outcome", "left")
@@ -141,7 +145,7 @@ def _pair(spark, d, mode):
 @query(f"""WITH {_EDGE_SQL}, p AS (SELECT compound, outcome, n_reports FROM e WHERE role = 'PS'), ci AS (SELECT compound, row_number() OVER (ORDER BY compound) AS compound_id FROM (SELECT DISTINCT compound FROM p)),
 oi AS (SELECT outcome, row_number() OVER (ORDER BY outcome) AS outcome_id FROM (SELECT DISTINCT outcome FROM p)) SELECT compound_id, outcome_id, n_reports FROM p JOIN ci USING (compound) JOIN oi USING (outcome)""")
 def pair_matrix_coo(spark, d):
-    e = _edges(spark, d, "PS")
+    e = written(_edges(spark, d, "PS"), "edges")
     return graph.coo(e, graph.surrogate(e, "compound", "compound_id"), "compound", graph.surrogate(e, "outcome", "outcome_id"), "outcome", "n_reports")
 
 
@@ -356,12 +360,12 @@ def unresolved_topk(spark, d):
 _NON_DRUG_TEXT = "trim(t, chr(32) || chr(9) || chr(10) || chr(13)) IN ('', '.', '?', '??') OR regexp_matches(upper(t), '\\b(" + "|".join(text.NOT_DRUGS) + ")\\b')"
 
 
-@query(f"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 3 THEN false ELSE {_NON_DRUG_TEXT} END AS non_drug
-FROM (SELECT doc_id, coalesce(text, '') || CASE WHEN doc_id % 5 = 2 THEN ' unknowns' ELSE '' END AS t FROM documents)""")
+@query(f"""SELECT doc_id, {_NON_DRUG_TEXT} AS non_drug FROM (
+  SELECT doc_id, CASE WHEN doc_id % 5 = 3 THEN 'n/a ' ELSE '' END || coalesce(text, '') || CASE doc_id % 5 WHEN 1 THEN ' radiation therapy' WHEN 2 THEN ' unknowns' ELSE '' END AS t FROM documents)""")
 def non_drug_flag(spark, d):
     i = F.col("doc_id") % 5
     whole = F.coalesce("text", F.lit(""))
-    term = F.when(i == 0, " ").when(i == 1, F.concat(whole, F.lit(" radiation therapy"))).when(i == 2, F.concat(whole, F.lit(" unknowns"))).when(i == 3, "n/a").otherwise(whole)
+    term = F.when(i == 1, F.concat(whole, F.lit(" radiation therapy"))).when(i == 2, F.concat(whole, F.lit(" unknowns"))).when(i == 3, F.concat(F.lit("n/a "), whole)).otherwise(whole)
     return _read(spark, d, "documents").select("doc_id", text.non_drug(term).alias("non_drug"))
 
 
