@@ -49,8 +49,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op5_matroska says of payloads read back, without the columns that SQL cannot make."""
+    return op5_matroska(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: rows, bytes, shards, groups of equal texts in several shards, slots that are missing or repeated, and shards over 1% from the mean in bytes."""
+    rows = op9_sharding(spark, sf_dir).join(read(spark, sf_dir, "documents").select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")), "doc_id")
+    of_group = rows.groupBy("text_md5").agg(F.countDistinct("shard").alias("n")).agg(F.sum((F.col("n") > 1).cast("bigint")).alias("split_groups"))
+    shards = rows.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("top"), F.sum("size").alias("bytes"))
+    gaps = F.sum((F.col("n") - F.col("slots")).cast("bigint") + F.abs(F.col("top") + 1 - F.col("n")))
+    sums = shards.agg(F.sum("n").alias("n_rows"), F.sum("bytes").alias("bytes"), F.count("*").alias("shards"), gaps.alias("slot_gaps"), F.collect_list("bytes").alias("all"))
+    uneven = F.size(F.filter("all", lambda x: F.abs(x * F.col("shards") / F.col("bytes") - 1) > 0.01)).cast("bigint")
+    return sums.withColumn("uneven_shards", uneven).drop("all").join(of_group, F.lit(True))
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    ops = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return ops | {"media_payloads": media_payloads, "shard_laws": shard_laws}
 
 
 OP6_SQL = r"""
@@ -112,5 +129,13 @@ FROM d
 """
 
 
+MEDIA_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents)
+SELECT doc_id, n AS n_bytes, greatest(192, (n + 191) // 192 * 192)::BIGINT AS payload_bytes, sha256(text || repeat(' ', (greatest(192, (n + 191) // 192 * 192) - n)::BIGINT)) AS payload_sha256 FROM d
+"""
+
+SHARD_SQL = "SELECT count(*) AS n_rows, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS bytes, 16::BIGINT AS shards, 0::BIGINT AS slot_gaps, 0::BIGINT AS uneven_shards, 0::BIGINT AS split_groups FROM documents"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL}
+    return {"media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL}
