@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank, normalize_drug_v2, normalize_text, strip
 from ..sources import ragged
 from .dedup import first_wins, latest_cases
+from .report import write_csv
 
 LostBreaks = dict[tuple[int, int], str]
 # The columns that make a drug row one of its report, and those of the fact tables.
@@ -30,6 +31,15 @@ def selected_cases(demo: DataFrame, deleted: DataFrame, archives: DataFrame, mod
     return latest_cases(ranked(demo, archives), deleted, mode).withColumn("zip_name", F.col("zip"))
 
 
+# The columns of an export of selected cases.
+CASE_COLUMNS = "caseid primaryid caseversion i_f_code fda_dt event_dt year quarter zip_name sex age reporter_country".split()
+
+
+def export_cases(selected: DataFrame, path: str) -> int:
+    """Selected cases as an ordered CSV with a header; the number of rows."""
+    return write_csv(selected.select(*CASE_COLUMNS), path, "year", "quarter", "caseid")
+
+
 def cases_from_archives(spark: SparkSession, root: str, lost_breaks: LostBreaks | None = None) -> DataFrame:
     """The selected cases of all archives below root: read, repaired, without deleted ids, the latest report of each case."""
     demo = ragged.parse(ragged.archive_lines(spark, root, "demo", lost_breaks), "demo", quoted=True)

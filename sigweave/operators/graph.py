@@ -46,6 +46,25 @@ def coo(edges: DataFrame, rows: DataFrame, row: str, cols: DataFrame, col: str,
     return edges.join(rows, row).join(cols, col).select(*(c for c in rows.columns if c != row), *(c for c in cols.columns if c != col), weight)
 
 
+def pair_tables(
+    compounds: DataFrame, outcomes: DataFrame, least: int, key: str = "report", compound: str = "compound", outcome: str = "outcome", roles: tuple[str, ...] = ("PS", "SS"),
+    include_any: bool = False, mode: str = "rows",
+) -> dict[str, DataFrame]:
+    """The pair tables of reports: from (key, role, compound) and (key, outcome, ...) counts for the roles given, those of at least `least` reports, indexes of
+    their compounds and outcomes, and the sparse matrix of both; `any` holds the counts over all roles, and no rows unless they are asked for.
+
+    compound may be a structure key or a raw structure. Blank compounds and outcomes take no part.
+    """
+    some = compounds.where(F.trim(compound) != "")
+    what = outcomes.where(F.trim(outcome) != "")
+    count = lambda c: pair_counts(c.select(key, compound), what, key, [compound], [outcome], mode=mode)
+    pairs = written(count(some.where(F.col("role").isin(*roles))), "pairs")
+    kept = prune(pairs, "n_cases", least)
+    rows, columns = surrogate(kept, compound, "compound_id"), surrogate(kept, outcome, "outcome_id")
+    everything = count(some) if include_any else pairs.limit(0)
+    return {"pairs": pairs, "pruned": kept, "rows": rows, "columns": columns, "matrix": coo(kept, rows, compound, columns, outcome, "n_cases"), "any": everything}
+
+
 def primary_parent(hierarchy: DataFrame, child: str, primary: Column, ordinal: str) -> DataFrame:
     """One parent for each child: the primary one, else the first."""
     order = Window.partitionBy(child).orderBy(F.when(primary, 0).otherwise(1), ordinal)
@@ -106,3 +125,13 @@ def reference_reactions(node_pt: DataFrame, edge_soc: DataFrame, pt: tuple[DataF
     rows = bilingual(rows, "soc_code_primary", "__none", *soc, "soc_name")
     rows = flags(rows, "pt_code", members)
     return rows.select("pt_code", "pt_name_en", "pt_name_zh", "soc_code_primary", "soc_name_en", "soc_name_zh", *members)
+
+
+def reference_compounds(nodes: DataFrame, key: str, members: dict[str, DataFrame]) -> DataFrame:
+    """Each compound with its columns and a 0/1 flag for each graph; order by key."""
+    return flags(nodes, key, members)
+
+
+def reference_parents(reactions: DataFrame) -> DataFrame:
+    """Distinct parents of reference_reactions with both names; those of outcomes without parent are left out. Order by soc_code_primary."""
+    return reactions.select("soc_code_primary", "soc_name_en", "soc_name_zh").na.drop().distinct()

@@ -92,7 +92,7 @@ def match_terms(terms: DataFrame, term: str, variant_rows: DataFrame, vocabulary
 
 # The columns of the term table.
 TERM_MAP = (
-    "term_std term_norm n_rows n_cases manual_action manual_target map_stage n_candidates rxcui rx_sab rx_tty rx_code rx_string dbid db_name inchi"
+    "term_std term_norm n_rows n_cases manual_action manual_target mapping_stage candidate_count rxcui sab tty code rx_string dbid drugbank_name inchi"
 ).split()
 
 
@@ -127,27 +127,25 @@ def map_terms(terms: DataFrame, vocabulary: DataFrame, links: DataFrame, names:
     found = variants(asked, "base", ["term_std"]).join(candidates(vocabulary).withColumn("__key", normalize_drug_v3(F.col("string"))), F.col("variant") == F.col("__key"))
     hits = first_hit(found, "term_std", "priority").groupBy("term_std", "rxcui", "sab", "tty", "code", "string").agg(F.min("line_no").alias("line_no"), F.min("stage").alias("stage"))
     hits = written(hits, "hits")
-    counts = hits.groupBy("term_std").agg(F.count("*").cast("int").alias("n_candidates"))
+    counts = hits.groupBy("term_std").agg(F.count("*").cast("int").alias("candidate_count"))
     best = rank_best(hits.withColumn("__target", normalize_drug_v3(F.col("term_std"))), "term_std", "__target").join(counts, "term_std")
     # An id for the concept, or one by name where there is no concept.
     by_concept = preferred_id(links.select("rxcui", "dbid").distinct(), "rxcui", "dbid", structures)
     best = best.join(by_concept.withColumnRenamed("rxcui", "__rx"), F.col("rxcui") == F.col("__rx"), "left").drop("__rx")
     without = asked.join(best.select("term_std"), "term_std", "left_anti")
     named = ids_by_name(without, "term_std", F.array("base", "term_std", "term_norm"), names, structures)
-    named = named.select("term_std", F.lit("DB_NAME_EXACT").alias("stage"), F.lit(1).alias("n_candidates"), "dbid")
-    got = best.select("term_std", "stage", "n_candidates", "rxcui", "sab", "tty", "code", "string", "dbid").unionByName(named, allowMissingColumns=True)
-    out = rows.join(got, "term_std", "left").join(names.select(F.col("dbid").alias("__n"), F.col("name").alias("db_name")), F.col("dbid") == F.col("__n"), "left")
+    named = named.select("term_std", F.lit("DB_NAME_EXACT").alias("stage"), F.lit(1).alias("candidate_count"), "dbid")
+    got = best.select("term_std", "stage", "candidate_count", "rxcui", "sab", "tty", "code", "string", "dbid").unionByName(named, allowMissingColumns=True)
+    out = rows.join(got, "term_std", "left").join(names.select(F.col("dbid").alias("__n"), F.col("name").alias("drugbank_name")), F.col("dbid") == F.col("__n"), "left")
     out = out.join(structures.select(F.col("dbid").alias("__s"), "inchi"), F.col("dbid") == F.col("__s"), "left")
     stage = F.concat(F.when(F.col("manual_action") == "MAP_TO_TERM", F.lit("MANUAL_")).otherwise(F.lit("")), F.coalesce("stage", F.lit("UNMAPPED")))
-    out = out.withColumn("map_stage", F.when(F.col("manual_action") == "EXCLUDE_NON_DRUG", F.lit("MANUAL_EXCLUDE")).otherwise(stage)).na.fill(0, ["n_candidates"])
-    for new, old in (("rx_sab", "sab"), ("rx_tty", "tty"), ("rx_code", "code"), ("rx_string", "string")):
-        out = out.withColumnRenamed(old, new)
-    return out.na.fill("", ["rxcui", "rx_sab", "rx_tty", "rx_code", "rx_string", "dbid", "db_name", "inchi"]).select(*TERM_MAP)
+    out = out.withColumn("mapping_stage", F.when(F.col("manual_action") == "EXCLUDE_NON_DRUG", F.lit("MANUAL_EXCLUDE")).otherwise(stage)).na.fill(0, ["candidate_count"])
+    return out.withColumnRenamed("string", "rx_string").na.fill("", ["rxcui", "sab", "tty", "code", "rx_string", "dbid", "drugbank_name", "inchi"]).select(*TERM_MAP)
 
 
 def stage_counts(term_map: DataFrame) -> DataFrame:
-    """(map_stage, n_terms, n_rows): terms and rows by the stage that mapped them."""
-    return term_map.groupBy("map_stage").agg(F.count("*").alias("n_terms"), F.sum("n_rows").cast("bigint").alias("n_rows"))
+    """(mapping_stage, n_terms, n_rows): terms and rows by the stage that mapped them."""
+    return term_map.groupBy("mapping_stage").agg(F.count("*").alias("n_terms"), F.sum("n_rows").cast("bigint").alias("n_rows"))
 
 
 def corrections(*lists: DataFrame, key: str = "term_std", ordinal: str = "line_no") -> DataFrame:

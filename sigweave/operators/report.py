@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,9 +21,27 @@ def coverage(df: DataFrame, weight: Column, **mapped: Column) -> DataFrame:
     return out
 
 
-def write_csv(df: DataFrame, path: str, *order: Column | str, compression: str = "none") -> None:
-    """Ordered CSV with a header in one file; for exports of bounded size."""
-    df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').option("compression", compression).csv(path)
+def write_csv(df: DataFrame, path: str, *order: Column | str, compression: str = "none") -> int:
+    """Ordered CSV with a header in one file, for exports of bounded size; the number of rows, counted as they are written."""
+    seen = Observation()
+    rows = df.orderBy(*order).coalesce(1).observe(seen, F.count(F.lit(1)).alias("n"))  # behind the sort, whose sampling would count, too
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').option("compression", compression).csv(path)
+    return seen.get["n"]
+
+
+def write_master(corrections: DataFrame, path: str) -> int:
+    """The master list of corrections, in order of its terms; the number of its rows."""
+    return write_csv(corrections.select("term_std", "action", "target_term", "note"), path, "term_std")
+
+
+def backed_up(df: DataFrame, path: str) -> bool:
+    """Keep df as a backup at path unless there is one: a later pass never replaces what the first one found. Whether it was written."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
+        return False
+    df.write.parquet(path)
+    return True
 
 
 def write_json(metrics: DataFrame, path: str) -> None:

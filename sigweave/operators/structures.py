@@ -15,8 +15,6 @@ from ..functions.text import is_blank, strip
 from .graph import joined_distinct
 
 SCHEMA = "inchi_raw string, status string, inchikey string, inchi_std string, smiles_std string, n_frag_before bigint, n_frag_after bigint, note string"
-# What becomes of a structure.
-STATUSES = "OK EMPTY PARSE_FAIL EMPTY_PARENT INCHI_FAIL INCHIKEY_FAIL STANDARDIZE_FAIL".split()
 
 
 def distinct_structures(terms: DataFrame, column: str = "structure") -> DataFrame:

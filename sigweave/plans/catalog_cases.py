@@ -133,11 +133,11 @@ y AS (SELECT x.term_std, min(n.dbid) AS dbid FROM x JOIN n ON upper(n.name) = CA
 z AS (SELECT x.term_std, min(n.dbid) AS dbid FROM x JOIN n ON upper(n.name) = term_norm JOIN s ON s.dbid = n.dbid WHERE x.term_std NOT IN (SELECT term_std FROM q UNION ALL SELECT term_std FROM y) AND manual_action <> 'EXCLUDE_NON_DRUG' GROUP BY 1),
 m AS (
   SELECT x.term_std, x.term_norm, n_rows, n_cases, manual_action, manual_target,
-    CASE WHEN manual_action = 'EXCLUDE_NON_DRUG' THEN 'MANUAL_EXCLUDE' ELSE CASE WHEN manual_action = 'MAP_TO_TERM' THEN 'MANUAL_' ELSE '' END || CASE WHEN q.term_std IS NOT NULL THEN 'EXACT' WHEN coalesce(y.dbid, z.dbid) IS NOT NULL THEN 'DB_NAME_EXACT' ELSE 'UNMAPPED' END END AS map_stage,
-    coalesce(q.n, CASE WHEN coalesce(y.dbid, z.dbid) IS NOT NULL THEN 1 ELSE 0 END)::INT AS n_candidates, coalesce(q.rxcui, '') AS rxcui, coalesce(sab, '') AS rx_sab, coalesce(tty, '') AS rx_tty, coalesce(code, '') AS rx_code, coalesce(string, '') AS rx_string,
+    CASE WHEN manual_action = 'EXCLUDE_NON_DRUG' THEN 'MANUAL_EXCLUDE' ELSE CASE WHEN manual_action = 'MAP_TO_TERM' THEN 'MANUAL_' ELSE '' END || CASE WHEN q.term_std IS NOT NULL THEN 'EXACT' WHEN coalesce(y.dbid, z.dbid) IS NOT NULL THEN 'DB_NAME_EXACT' ELSE 'UNMAPPED' END END AS mapping_stage,
+    coalesce(q.n, CASE WHEN coalesce(y.dbid, z.dbid) IS NOT NULL THEN 1 ELSE 0 END)::INT AS candidate_count, coalesce(q.rxcui, '') AS rxcui, coalesce(q.sab, '') AS sab, coalesce(q.tty, '') AS tty, coalesce(q.code, '') AS code, coalesce(string, '') AS rx_string,
     coalesce(b.dbid, y.dbid, z.dbid, '') AS dbid
   FROM x LEFT JOIN q USING (term_std) LEFT JOIN b ON b.rxcui = q.rxcui LEFT JOIN y ON y.term_std = x.term_std LEFT JOIN z ON z.term_std = x.term_std
-), w AS (SELECT m.*, coalesce(n.name, '') AS db_name, coalesce(s.inchi, '') AS inchi FROM m LEFT JOIN n ON n.dbid = m.dbid LEFT JOIN s ON s.dbid = m.dbid)
+), w AS (SELECT m.*, coalesce(n.name, '') AS drugbank_name, coalesce(s.inchi, '') AS inchi FROM m LEFT JOIN n ON n.dbid = m.dbid LEFT JOIN s ON s.dbid = m.dbid)
 """
 
 
@@ -161,12 +161,12 @@ def _term_map(spark, d):
     return match.map_terms(terms, words, links, names, inchi, fixes)
 
 
-@query(f"WITH {_TERM_MAP} SELECT term_std, term_norm, n_rows, n_cases, manual_action, manual_target, map_stage, n_candidates, rxcui, rx_sab, rx_tty, rx_code, rx_string, dbid, db_name, inchi FROM w")
+@query(f"WITH {_TERM_MAP} SELECT term_std, term_norm, n_rows, n_cases, manual_action, manual_target, mapping_stage, candidate_count, rxcui, sab, tty, code, rx_string, dbid, drugbank_name, inchi FROM w")
 def term_map(spark, d):
     return _term_map(spark, d)
 
 
-@query(f"WITH {_TERM_MAP} SELECT map_stage, count(*) AS n_terms, sum(n_rows)::BIGINT AS n_rows FROM w GROUP BY map_stage")
+@query(f"WITH {_TERM_MAP} SELECT mapping_stage, count(*) AS n_terms, sum(n_rows)::BIGINT AS n_rows FROM w GROUP BY mapping_stage")
 def term_map_stage_counts(spark, d):
     return match.stage_counts(_term_map(spark, d))
 
@@ -188,3 +188,47 @@ def compound_degrees(spark, d):
     kept = written(graph.prune(_edges(spark, d), "n_reports", 20), "edges")
     of = lambda role: F.sum((F.col("role") == role).cast("bigint"))
     return kept.groupBy("compound").agg(of("PS").alias("ps_edges"), of("SS").alias("ss_edges"), F.max("n_reports").alias("top"))
+
+
+_PAIR_SQL = """
+c AS (SELECT l_orderkey AS report, CASE l_returnflag WHEN 'R' THEN 'PS' WHEN 'A' THEN 'SS' ELSE 'C' END AS role, CASE WHEN p_size % 9 = 0 THEN ' ' ELSE p_brand END AS compound FROM lineitem JOIN part ON l_partkey = p_partkey),
+o AS (SELECT DISTINCT l_orderkey AS report, 'o' || (l_suppkey % 30) AS outcome FROM lineitem),
+p AS (SELECT compound, outcome, count(*) AS n FROM (SELECT DISTINCT report, compound FROM c WHERE role IN ('PS', 'SS') AND trim(compound) <> '') JOIN o USING (report) GROUP BY ALL),
+a AS (SELECT compound, outcome, count(*) AS n FROM (SELECT DISTINCT report, compound FROM c WHERE trim(compound) <> '') JOIN o USING (report) GROUP BY ALL),
+k AS (SELECT * FROM p WHERE n >= 30), ci AS (SELECT compound, row_number() OVER (ORDER BY compound) AS i FROM (SELECT DISTINCT compound FROM k)), oi AS (SELECT outcome, row_number() OVER (ORDER BY outcome) AS j FROM (SELECT DISTINCT outcome FROM k))
+"""
+
+
+def _pair_tables(spark, d, include_any):
+    role = F.when(F.col("l_returnflag") == "R", "PS").when(F.col("l_returnflag") == "A", "SS").otherwise("C")
+    lines = _read(spark, d, "lineitem")
+    part = _read(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 9 == 0, " ").otherwise(F.col("p_brand")).alias("compound"))
+    c = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("report"), role.alias("role"), "compound")
+    o = lines.select(F.col("l_orderkey").alias("report"), F.concat(F.lit("o"), (F.col("l_suppkey") % 30).cast("string")).alias("outcome"))
+    return graph.pair_tables(c, o, 30, include_any=include_any)
+
+
+@query(f"WITH {_PAIR_SQL} SELECT i AS compound_id, j AS outcome_id, n AS n_cases FROM k JOIN ci USING (compound) JOIN oi USING (outcome)")
+def pair_tables_matrix(spark, d):
+    return _pair_tables(spark, d, False)["matrix"]
+
+
+@query(f"""WITH {_PAIR_SQL} SELECT 'pairs' AS item, count(*) AS rows, coalesce(sum(n), 0)::BIGINT AS n FROM p UNION ALL SELECT 'pruned', count(*), coalesce(sum(n), 0)::BIGINT FROM k
+UNION ALL SELECT 'any', count(*), coalesce(sum(n), 0)::BIGINT FROM a UNION ALL SELECT 'not asked', 0, 0""")
+def pair_tables_counts(spark, d):
+    with_any, without = _pair_tables(spark, d, True), _pair_tables(spark, d, False)
+    tables = {"pairs": with_any["pairs"], "pruned": with_any["pruned"], "any": with_any["any"], "not asked": without["any"]}
+    out = None
+    for item, t in tables.items():
+        row = t.agg(F.count("*").alias("rows"), F.coalesce(F.sum("n_cases"), F.lit(0)).cast("bigint").alias("n")).select(F.lit(item).alias("item"), "rows", "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query(f"""WITH {_EDGE_SQL}, n AS (SELECT compound, max((n_reports >= 100)::INT) AS in_ge100, max((n_reports >= 200)::INT) AS in_ge200 FROM e GROUP BY compound)
+SELECT compound, parts, in_ge100, in_ge200 FROM n JOIN (SELECT p_brand AS compound, count(*) AS parts FROM part GROUP BY p_brand) USING (compound)""")
+def reference_compounds(spark, d):
+    e = written(_edges(spark, d), "edges")
+    parts = _read(spark, d, "part").groupBy(F.col("p_brand").alias("compound")).agg(F.count("*").alias("parts"))
+    nodes = graph.nodes_of([e], "compound").join(parts, "compound")
+    return graph.reference_compounds(nodes, "compound", {f"in_ge{n}": graph.prune(e, "n_reports", n) for n in (100, 200)})

@@ -84,12 +84,12 @@ def test_term_map(spark, tmp_path):
     fixes = spark.createDataFrame([("trash", "EXCLUDE_NON_DRUG", "", 1), ("asa", "EXCLUDE_NON_DRUG", None, 2), ("ASA", "MAP_TO_TERM", "aspirin", 3), ("ZZZ", "MAP_TO_TERM", "YYY", 4)], "term_std string, action string, target_term string, line_no bigint")
     got = match.map_terms(terms, words, links, names, inchi, fixes)
     assert got.columns == match.TERM_MAP
-    rows = {r.term_std: (r.map_stage, r.n_candidates, r.rxcui, r.dbid, r.db_name, r.inchi) for r in got.collect()}
+    rows = {r.term_std: (r.mapping_stage, r.candidate_count, r.rxcui, r.dbid, r.drugbank_name, r.inchi) for r in got.collect()}
     assert rows == {
         "aspirin 10 MG": ("CLEANED", 2, "1", "DB1", "Aspirin, pure", "InChI=1"), "FOOBAR": ("DB_NAME_EXACT", 1, "", "DB2", "Foobar", "InChI=2"), "NOSTRUCTURE": ("UNMAPPED", 0, "", "", "", ""),
         "TRASH": ("MANUAL_EXCLUDE", 0, "", "", "", ""), "ASA": ("MANUAL_EXACT", 2, "1", "DB1", "Aspirin, pure", "InChI=1"), "ZZZ": ("MANUAL_UNMAPPED", 0, "", "", "", ""),
     }
-    assert {r.map_stage: (r.n_terms, r.n_rows) for r in match.stage_counts(got).collect()}["MANUAL_EXACT"] == (1, 9)
+    assert {r.mapping_stage: (r.n_terms, r.n_rows) for r in match.stage_counts(got).collect()}["MANUAL_EXACT"] == (1, 9)
 
 
 def test_links_and_hierarchy(spark, tmp_path):
@@ -131,3 +131,17 @@ def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
     counts = str(tmp_path / "counts")
     incremental.count_available(spark, src, "k int, v string", counts, str(tmp_path / "mark2"), ["k"], "n")
     assert sorted((r.k, r.n) for r in incremental.merged_counts(spark.read.parquet(counts).select("k", "n"), spark.createDataFrame([(1, 5)], "k int, n bigint"), ["k"], "n").collect()) == [(1, 7), (2, 1)]
+
+
+def test_exports_count_their_rows(spark, root, tmp_path):
+    from sigweave.operators import report
+
+    assert cases.export_cases(cases.cases_from_archives(spark, root), f"{tmp_path}/cases") == 2
+    assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{tmp_path}/cases").columns == cases.CASE_COLUMNS
+    fixes = spark.createDataFrame([("B", "MAP_TO_TERM", "x", None), ("A", "EXCLUDE_NON_DRUG", "", "n")], "term_std string, action string, target_term string, note string")
+    assert report.write_master(fixes, f"{tmp_path}/master") == 2
+    assert [r.term_std for r in spark.read.option("header", True).csv(f"{tmp_path}/master").collect()] == ["A", "B"]
+    assert report.backed_up(fixes, f"{tmp_path}/backup") and not report.backed_up(fixes.limit(1), f"{tmp_path}/backup")
+    assert spark.read.parquet(f"{tmp_path}/backup").count() == 2
+    got = graph.reference_parents(spark.createDataFrame([("1", "s", "a", "b"), ("2", "s", "a", "b"), ("3", None, "", "")], "pt_code string, soc_code_primary string, soc_name_en string, soc_name_zh string"))
+    assert got.collect() == [("s", "a", "b")]
