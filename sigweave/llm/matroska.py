@@ -166,7 +166,6 @@ def demux(data: bytes) -> Media:
     segment = time = 0
     track: dict = {}
     cue: list[int] = [0, 0, 0]
-    pending: list[tuple[int, int, int, int]] = []
     stack: list[tuple[int, int]] = []  # open masters with their ends
     at = 0
     try:
@@ -195,11 +194,11 @@ def demux(data: bytes) -> Media:
             if n in (SIMPLE_BLOCK, BLOCK):
                 number, p = _vint(data, at, False)
                 shift, flags = struct.unpack_from(">hB", data, p)
-                pending.append((number, shift, flags if n == SIMPLE_BLOCK else flags | 0x80, len(media.clusters)))
+                whole = n == BLOCK or bool(flags & 0x80)  # a frame that can be read by itself
                 frame_ns = media.tracks.get(number, {}).get(FRAME_NS, 0)
                 base = (time + shift) * media.scale
                 for i, (a, k) in enumerate(_frames(data, p + 3, end, flags)):
-                    media.packets.append((number, base + i * frame_ns, a, k, len(media.clusters), bool(pending[-1][2] & 0x80)))
+                    media.packets.append((number, base + i * frame_ns, a, k, len(media.clusters), whole))
             elif n in (CLUSTER_TIME, SCALE, CUE_TIME, CUE_TRACK, CUE_POSITION, TRACK_NUMBER, TRACK_TYPE, FRAME_NS, CHANNELS, DEPTH):
                 value = int.from_bytes(data[at:end], "big")
                 if n == CLUSTER_TIME:
