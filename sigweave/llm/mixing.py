@@ -132,9 +132,10 @@ def _cuts(rows: DataFrame, goal: DataFrame) -> DataFrame:
         return sums.where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
 
     blocks = parts.groupBy("source", block.alias("block")).agg(F.sum("words").alias("words"))
-    blocks = blocks.join(goal.select(F.col("source").alias("s1"), "rest"), F.col("source").eqNullSafe(F.col("s1"))).withColumn("base", F.lit(0).cast("bigint"))
+    # Merged, not broadcast: neither side's size follows from a bound.
+    blocks = blocks.join(goal.select(F.col("source").alias("s1"), "rest").hint("merge"), F.col("source").eqNullSafe(F.col("s1"))).withColumn("base", F.lit(0).cast("bigint"))
     found = met(blocks, "block").select(F.col("source").alias("s2"), F.col("block").alias("in"), F.col("before").alias("base"), "rest")
-    some = parts.withColumn("block", block).join(found, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("in")))
+    some = parts.withColumn("block", block).join(found.hint("merge"), F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("in")))
     return met(some, "slice").select("s2", F.col("slice").alias("cut"), "before")
 
 
