@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, html_extract, matroska, mixing, secrets, sharding, simhash, toxicity, warc
+from . import ann, bpe, fim, html_extract, matroska, mixing, secrets, sharding, simhash, toxicity, warc
 from .common import read
 
 
@@ -49,6 +49,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.fill_in_middle(read(spark, sf_dir, "documents"), ["doc_id"])
+    back = fim.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op5_matroska says of payloads read back, without the columns that SQL cannot make."""
     return op5_matroska(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
@@ -129,6 +135,24 @@ FROM d
 """
 
 
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, ('0x' || substr(h, 1, 8))::BIGINT AS h1,
+    ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d
+), n AS (
+  SELECT *, len(u)::BIGINT AS n, h1 % (len(u) + 1) AS a, h2 % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+), p AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:], '') AS s FROM n
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 MEDIA_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents)
 SELECT doc_id, n AS n_bytes, greatest(192, (n + 191) // 192 * 192)::BIGINT AS payload_bytes, sha256(text || repeat(' ', (greatest(192, (n + 191) // 192 * 192) - n)::BIGINT)) AS payload_sha256 FROM d
@@ -138,4 +162,4 @@ SHARD_SQL = "SELECT count(*) AS n_rows, sum(octet_length(encode(coalesce(text, '
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL}
+    return {"media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL, "op13_fill_in_middle": OP13_SQL}
