@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, fim, html_extract, matroska, mixing, secrets, sharding, simhash, toxicity, warc
+from . import ann, bpe, fim, html_extract, matroska, mixing, packing, secrets, sharding, simhash, toxicity, warc
 from .common import read
 
 
@@ -49,6 +49,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(packing.pieces(read(spark, sf_dir, "documents"), ["doc_id"], with_ids=False))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fim.fill_in_middle(read(spark, sf_dir, "documents"), ["doc_id"])
     back = fim.restored(F.col("output"), F.col("form"))
