@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, fim, html_extract, matroska, mixing, packing, secrets, sharding, simhash, toxicity, warc
+from . import ann, bpe, fim, html_extract, matroska, mixing, packing, secrets, sharding, simhash, toxicity, variants, warc
 from .common import read
 
 
@@ -49,6 +49,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.forms(variants.vocabulary(read(spark, sf_dir, "documents")))
+
+
 def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(packing.pieces(read(spark, sf_dir, "documents"), ["doc_id"], with_ids=False))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -140,6 +144,41 @@ FROM d
 """
 
 
+OP11_SQL = r"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), low AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), runs AS (
+  SELECT id, unnest(regexp_extract_all(text, '[a-z\x{C0}-\x{FF}]{6,}')) AS run FROM low
+), each AS (
+  SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS x FROM runs GROUP BY id, run
+), crc AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM each, tab
+), typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run) + 2)::INT) ELSE run END AS word, n FROM crc
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, n, unnest(range(length(word))) AS i FROM words
+), less AS (
+  SELECT word, n, i, substr(word, 1, i::INT) || substr(word, (i + 2)::INT) AS rest FROM cuts
+), pairs AS (
+  SELECT a.word, b.word AS v, b.n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), near AS (
+  SELECT word, count(*) AS n_near, arg_min(v, (-n, v)) AS v, max(n) AS form_n FROM pairs GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN v END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM words w LEFT JOIN near USING (word)
+), follow AS (
+  SELECT word, word AS root, form AS further FROM formed
+  UNION ALL SELECT f.word, f.further, g.form FROM follow f JOIN formed g ON f.further = g.word
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM formed f JOIN follow r ON f.word = r.word AND r.further IS NULL
+"""
+
+
 OP13_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
@@ -167,4 +206,4 @@ SHARD_SQL = "SELECT count(*) AS n_rows, sum(octet_length(encode(coalesce(text, '
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL, "op13_fill_in_middle": OP13_SQL}
+    return {"media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
