@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, normalize_drug_v2, normalize_text, strip
-from ..sources import ragged
+from ..sources import archive_source, ragged
 from .dedup import first_wins, latest_cases
 from .report import write_csv
 
@@ -20,14 +20,16 @@ DRUG_COLUMNS = (
 REACTION_KEY = ["primaryid", "pt_norm"]
 
 
-def ranked(rows: DataFrame, archives: DataFrame) -> DataFrame:
-    """rows with ingest_ordinal: archives in order of year, quarter and name, and lines within them."""
+def ranked(rows: DataFrame, archives: DataFrame | None = None) -> DataFrame:
+    """rows with ingest_ordinal: archives in order of year, quarter and name, and lines within them. Rows of archive_source bring their archive's rank."""
+    if "file_rank" in rows.columns:
+        return rows.withColumn("ingest_ordinal", F.struct("file_rank", "line_no")).drop("file_rank")
     files = F.broadcast(archives.select("year", "quarter", "zip", "file_rank"))  # a row for each archive
     return rows.join(files, ["year", "quarter", "zip"]).withColumn("ingest_ordinal", F.struct("file_rank", "line_no")).drop("file_rank")
 
 
-def selected_cases(demo: DataFrame, deleted: DataFrame, archives: DataFrame, mode: str = "glob2") -> DataFrame:
-    """One row for each case from parsed demo rows, deleted ids and the table of archives."""
+def selected_cases(demo: DataFrame, deleted: DataFrame, archives: DataFrame | None = None, mode: str = "glob2") -> DataFrame:
+    """One row for each case from parsed demo rows, deleted ids and the table of archives (not needed for rows of archive_source)."""
     return latest_cases(ranked(demo, archives), deleted, mode).withColumn("zip_name", F.col("zip"))
 
 
@@ -42,8 +44,8 @@ def export_cases(selected: DataFrame, path: str) -> int:
 
 def cases_from_archives(spark: SparkSession, root: str, lost_breaks: LostBreaks | None = None) -> DataFrame:
     """The selected cases of all archives below root: read, repaired, without deleted ids, the latest report of each case."""
-    demo = ragged.parse(ragged.archive_lines(spark, root, "demo", lost_breaks), "demo", quoted=True)
-    return selected_cases(demo, ragged.deleted_ids(ragged.archive_lines(spark, root, "delete")), ragged.archives(spark, root))
+    demo = ragged.parse(archive_source.lines(spark, root, "demo", lost_breaks), "demo", quoted=True)
+    return selected_cases(demo, ragged.deleted_ids(archive_source.lines(spark, root, "delete")))
 
 
 def preferred_key(ingredient: Column, name: Column) -> Column:

@@ -129,35 +129,41 @@ def quoted_cells(df: DataFrame, line: str = "line", out: str = "cells") -> DataF
     return df.withColumn(out, cells(F.col(line)))
 
 
+def with_heads(lines: DataFrame, table: str) -> DataFrame:
+    """Lines after their file's first, with the width of that header and the places of the table's columns in it."""
+    heads = lines.groupBy("zip", "member").agg(F.min_by("cells", "line_no").alias("head"), F.min("line_no").alias("first"))
+    head = F.transform(without_blank_tail(F.col("head")), lambda x: F.lower(F.trim(x)))
+    heads = heads.withColumn("head", head).withColumn("width", F.size("head"))
+    place = lambda name: F.nullif(F.array_position("head", name), F.lit(0)) - 1
+    places = F.array(*(F.coalesce(*map(place, names)).cast("int") for names in COLUMNS[table]))
+    return lines.join(heads.withColumn("places", places).drop("head"), ["zip", "member"]).where("line_no > first")
+
+
 def parse(lines: DataFrame, table: str, quoted: bool = False) -> DataFrame:
     """(year, quarter, zip, line_no, trimmed, padded, folded, columns): rows fitted to their file's header, synonyms resolved, missing columns empty.
 
     trimmed counts the empty cells that were cut off the end of a row longer than its header.
 
-    The first line of each file is its header; the first of a column's names that it has is taken. Blank ids of demo rows
-    fill each other; rows without either go.
+    Lines of sources.archive_source know the places of their columns; in other lines the first of each file is its header. The first of a
+    column's names that it has is taken. Blank ids of demo rows fill each other; rows without either go.
     """
     if quoted:
         lines = quoted_cells(lines)
     else:
         lines = lines.withColumn("cells", F.split("line", r"\$", -1))
-    heads = lines.groupBy("zip", "member").agg(F.min_by("cells", "line_no").alias("head"), F.min("line_no").alias("first"))
-    heads = heads.withColumn("head", F.transform(without_blank_tail(F.col("head")), lambda x: F.lower(F.trim(x))))
-    rows = lines.join(heads, ["zip", "member"]).where("line_no > first")
-    n = F.size("head")
+    rows = lines if "places" in lines.columns else with_heads(lines, table)
+    n = F.col("width")
     filled = F.aggregate(F.transform("cells", lambda x, i: F.when(x != "", i + 1).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x))
     left = F.least(F.size("cells"), F.greatest(n, filled))
     rows = rows.withColumn("padded", (F.size("cells") < n).cast("int")).withColumn("trimmed", F.size("cells") - left).withColumn("cells", F.slice("cells", F.lit(1), left))
     rows = rows.withColumn("folded", (F.size("cells") > n).cast("int")).withColumn("cells", fit(F.col("cells"), n))
-    cols = {}
-    for names in COLUMNS[table]:
-        found = F.coalesce(*(F.when(F.array_position("head", k) > 0, F.get("cells", (F.array_position("head", k) - 1).cast("int"))) for k in names), F.lit(""))
-        cols[names[0]] = strip(found)
+    cols = {names[0]: strip(F.coalesce(F.get("cells", F.get("places", F.lit(k))), F.lit(""))) for k, names in enumerate(COLUMNS[table])}
     rows = rows.withColumns(cols)
     if table == "demo":
         p, c = F.col("primaryid"), F.col("caseid")
         rows = rows.withColumns({"primaryid": F.when(p == "", c).otherwise(p), "caseid": F.when(c == "", p).otherwise(c)}).where("primaryid <> ''")
-    return rows.select("year", "quarter", "zip", "line_no", "trimmed", "padded", "folded", *cols)
+    rank = ["file_rank"] if "file_rank" in rows.columns else []
+    return rows.select("year", "quarter", "zip", *rank, "line_no", "trimmed", "padded", "folded", *cols)
 
 
 def deleted_ids(lines: DataFrame) -> DataFrame:
