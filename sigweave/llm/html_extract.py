@@ -6,12 +6,14 @@ on its path to the body is the threshold, and of every node that reaches it the
 
 Between marked subtrees lie headings and short blocks whose own density says little. Inside an `article` all blocks stay that are not
 mostly links; inside `main`, or beside the best node where a page has neither, headings and paragraphs stay, and other unmarked
-blocks go.
+blocks go; so do blocks of a line or two after the best node, which densities alone would keep.
 
 Scripts, styles, form controls and the like never count as text. Blocks that HTML names as navigation, header, footer or aside, forms, and
 those whose class, id or role says so (menus, adverts, notices, comments) are left out before densities are taken. A name is taken by
-its last word (`cookie-notice`, `comment-list`, but not `has-sidebar` or `social-history`). Where that would leave under a tenth of
-the largest density sum that the page has with them, those around that sum's node stay.
+its last word, if its other words belong to asides or tell where they are (`cookie-notice`, `site-footer`, but not `has-sidebar` or
+`profit-share`; what such a word names is left to the densities). A name alone drops no text that outweighs all the rest, nor, inside an article, a paragraph
+under a name like `discussion`; comments, and rows of named items, go wherever there is an article beside them. Where all this would leave
+under a tenth of the largest density sum that the page has with asides, those around that sum's node stay.
 
 Parsing and marking take time in proportion to the page: open elements are counted by name and by scope, as HTML's "has an element in
 scope", and each element is closed once.
@@ -67,7 +69,18 @@ CONTAINERS = frozenset(
     "links link posts form slot unit row col column group title heading header text body holder thread".split()
 )
 SITE_HEADER = frozenset("header site-header global-header top-header page-header".split())
-COMMENTS = frozenset("comment comments disqus replies discussion".split())
+COMMENTS = frozenset("comment comments disqus replies".split())
+#: Words that may stand before an aside's name without making it another thing's (`site-footer`, but not `profit-share`).
+QUALIFIERS = frozenset(
+    "site page main post article entry blog user users reader readers visitor visitors social email mail web google top bottom left right upper lower global local mobile desktop "
+    "primary secondary sub super mini sticky fixed floating inline native display video text home story news view all my the side".split()
+)
+#: Names that inside an article are as often a part of it.
+TOPICS = frozenset("discussion share sharing promotion consent related recommended recommendations".split())
+#: Plain characters outside comments from which on a page has an article beside them, and those of a paragraph that is no label.
+ENOUGH, PARAGRAPH = 200, 80
+#: Characters of a block that stands alone after the text and is no part of it.
+LINES = 160
 #: These are never the article, however much text they hold.
 FIRM = frozenset("nav footer aside menu search header".split())
 NEGATED = frozenset("has have with without no not hide show hidden is after before js".split())
@@ -199,33 +212,36 @@ def parse(page: str) -> Node:
     return root
 
 
-def _names_aside(value: str) -> bool:
+def _names_aside(value: str) -> str:
+    """The word by which a class or id names an aside: its last one, if the others belong to asides or tell where they are; else nothing."""
     for name in value.split():
         words = [w.lower() for w in _WORDS.findall(name) if len(w) > 1]
         if not words or not NEGATED.isdisjoint(words):
             continue
         if "".join(words) in ASIDE_WORDS:
-            return True
+            return "".join(words)
         while words and words[-1] in CONTAINERS:
             words.pop()
-        if words and words[-1] in ASIDE_WORDS:
-            return True
-    return False
+        if words and words[-1] in ASIDE_WORDS and all(w in ASIDE_WORDS or w in QUALIFIERS or w in CONTAINERS for w in words):
+            return words[-1]
+    return ""
 
 
-def _aside(node: Node, inside: bool) -> bool:
-    """Do HTML or a name say that the element is no part of an article? inside: it lies in an article or main element."""
+def _aside(node: Node, inside: bool) -> str:
+    """How HTML or a name says that the element is no part of an article: by "tag", by a word, or not at all. inside: it lies in an article or main element."""
     if node.tag in ASIDE_TAGS or node.tag == "header" and not inside:
-        return True
+        return "tag"
     for name, *values in _SAID.findall(node.said) if node.said else ():
         value = next((v for v in values if v), "")
         name = name.lower()
         if name in ("class", "id") and node.tag != "main":
-            if _names_aside(value) or not inside and not SITE_HEADER.isdisjoint(value.lower().split()):
-                return True
+            if word := _names_aside(value):
+                return word
+            if not inside and not SITE_HEADER.isdisjoint(value.lower().split()):
+                return "header"
         elif name == "role" and value.strip().lower() in ASIDE_ROLES:
-            return True
-    return False
+            return "tag"
+    return ""
 
 
 def _hidden(node: Node) -> bool:
@@ -284,7 +300,7 @@ def _leave_out(nodes: list[Node], hidden: set[int], asides: set[int]) -> list[No
 
 def _live(nodes: list[Node]) -> list[Node]:
     """The nodes that may be text: without what is hidden, and without asides unless hardly anything is left then."""
-    hidden, asides, inside, mains = set(), set(), set(), []
+    hidden, asides, inside, mains, named = set(), set(), set(), [], {}
     for at, node in enumerate(nodes):
         node.at = at
         up = node.parent.at if at else -1
@@ -294,12 +310,15 @@ def _live(nodes: list[Node]) -> list[Node]:
             mains.append(node)
         if at and _hidden(node):
             hidden.add(at)
-        elif at and _aside(node, up in inside):
+        elif at and (how := _aside(node, up in inside)):
             asides.add(at)
+            if how != "tag":
+                named[at] = how
     for node in mains:  # an aside never holds the main element
         while node is not None and node.at >= 0:
             asides.discard(node.at)
             node = node.parent if node.at else None
+    _spare(nodes, hidden, asides, named, inside)
     live = _leave_out(nodes, hidden, asides)
     if not asides or nodes[0].chars * 5 >= sum(len(c) for n in nodes if n.at not in hidden for c in n.children if isinstance(c, str)):
         return live
@@ -312,6 +331,65 @@ def _live(nodes: list[Node]) -> list[Node]:
     return _leave_out(nodes, hidden, asides)
 
 
+def _spare(nodes: list[Node], hidden: set[int], asides: set[int], named: dict[int, str], inside: set[int]) -> None:
+    """Takes out of asides what a name alone calls one, though it holds more plain text than is left without it, or is a topic of its article."""
+    some = {at for at in named if at in asides}
+    if not some:
+        return
+    _leave_out(nodes, hidden, asides)
+    rest = nodes[0].chars - nodes[0].link_chars
+    _leave_out(nodes, hidden, asides - some)
+    plain = {at: nodes[at].chars - nodes[at].link_chars for at in some if not nodes[at].out}
+    for at in sorted(plain, key=lambda at: (-plain[at], at)):
+        node = nodes[at]
+        up = node.parent
+        while up is not None and up.at > 0 and up.at not in asides:
+            up = up.parent
+        if up is not None and up.at > 0:
+            continue  # goes with what is around it
+        like_comments = named[at] in COMMENTS or _repeats(node)
+        if like_comments:
+            spared = rest < ENOUGH and plain[at] > 9 * rest
+        else:
+            spared = plain[at] > rest or named[at] in TOPICS and at in inside and _has_paragraph(node)
+        if spared:
+            asides.discard(at)
+            rest += plain[at] - sum(plain.get(n.at, 0) for n in _outermost(node, asides))
+
+
+def _outermost(top: Node, asides: set[int]) -> list[Node]:
+    """The asides below a node that lie in no other one below it."""
+    out, stack = [], [c for c in top.children if isinstance(c, Node)]
+    while stack:
+        n = stack.pop()
+        if n.at in asides:
+            out.append(n)
+        else:
+            stack.extend(c for c in n.children if isinstance(c, Node))
+    return out
+
+
+def _repeats(node: Node) -> bool:
+    """Does the element hold a row of items, as lists of comments or links do: entries of a list, articles, or blocks that share a name?"""
+    while True:
+        held = [c for c in node.children if isinstance(c, Node) and not c.out and c.chars]
+        items: dict[tuple[str, str], int] = {}
+        for c in held:
+            name = " ".join(a or b or d for k, a, b, d in _SAID.findall(c.said) if k.lower() == "class")
+            if c.tag in ("li", "article", "dd") or name and c.tag not in FLOW:
+                items[c.tag, name] = items.get((c.tag, name), 0) + 1
+        if any(n > 1 for n in items.values()):
+            return True
+        held = [c for c in held if c.tag not in HEADINGS]
+        if len(held) != 1:
+            return False
+        node = held[0]
+
+
+def _has_paragraph(node: Node) -> bool:
+    return any(isinstance(n, Node) and n.tag in ("p", "blockquote", "pre") and n.chars - n.link_chars >= PARAGRAPH for n in _walk(node))
+
+
 def _is_comments(node: Node) -> bool:
     said = " ".join(a or b or c for k, a, b, c in _SAID.findall(node.said) if k.lower() in ("class", "id"))
     return any(w.lower() in COMMENTS for w in _WORDS.findall(said))
@@ -373,9 +451,17 @@ def main_nodes(root: Node) -> list[Node]:
     if around is None:
         picked = set(marked)
         for step in _up(best):
-            for c in step.parent.children if step is not body else ():
-                if isinstance(c, Node) and not linked(c) and (c.tag in HEADINGS or step is best and (c.tag in FLOW or leaf(c))):
+            beside = [c for c in step.parent.children if isinstance(c, Node)] if step is not body else []
+            dense = [i for i, c in enumerate(beside) if c.at in marked or c.at in holds]
+            for i, c in enumerate(beside):
+                between = c.tag in FLOW or leaf(c) and dense[0] < i < dense[-1]
+                if not linked(c) and (c.tag in HEADINGS or step is best and between):
                     picked.add(c.at)
+            for c in reversed(beside):  # a line or two after the text, as footers are
+                if c is step or (c.at in marked or c.at in holds) and (c.tag in FLOW or not leaf(c) or c.chars >= LINES):
+                    break
+                if c.tag not in FLOW and leaf(c) and c.chars < LINES:
+                    picked.difference_update(n.at for n in _walk(c))
     else:
         picked = {n.at for n in live if n.at in marked and n.tag in ("article", "main")} | {around.at}
         if around.tag == "main":

@@ -148,3 +148,65 @@ def test_media_table(spark):
     table = matroska.packets(matroska.store(df, ["doc_id"]), ["doc_id"])
     assert table.count() == sum(max(1, -(-len((r[1] or "").encode()) // 192)) for r in rows)
     assert matroska.digests(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("plain, named", [("text", "discussion"), ("text", "comments"), ("text", "share"), ("text", "promo"), ("text", "profit-share")])
+def test_a_name_alone_drops_no_page(plain, named):
+    page = '<body><div><a href=/>Home</a> <a href=/x>News</a></div><div class="{}">' + f"<p>{LONG}</p>" * 3 + "</div><div>&copy; x.com</div>"
+    assert html_extract.extract(page.format(plain)) == html_extract.extract(page.format(named)) == "\n\n".join([LONG.strip()] * 3)
+
+
+@pytest.mark.parametrize("name, stays", [("profit", 3), ("profit-share", 3), ("discussion", 3), ("related", 3), ("commentary", 3), ("comments", 2), ("ad", 2), ("cookie-notice", 2)])
+def test_sections_of_an_article_by_name(name, stays):
+    page = f'<body><article><h1>T</h1><p>{LONG}</p><section class="{name}"><p>{LONG}</p></section><p>{LONG}</p></article>'
+    assert html_extract.extract(page) == "\n\n".join(["T", *[LONG.strip()] * stays])
+    rows = '<li><a href="/a">Another page of this site</a></li>' * 4
+    page = f'<body><article><h1>T</h1><p>{LONG}</p><section class="discussion"><ul>{"<li>me too, of course</li>" * 4}</ul></section><div class="related"><ul>{rows}</ul></div></article>'
+    assert html_extract.extract(page) == "T\n\n" + LONG.strip()
+
+
+def bare_page(rng):
+    """A page of divs without names, and the text of its article."""
+    words = lambda a, b: " ".join(rng.choice(["stone", "water", "of", "the", "light", "and", "river", "seldom", "turns"]) for _ in range(rng.randint(a, b)))
+    link = lambda: f'<a href="/{rng.randint(1, 99)}">{words(1, 3)}</a>'
+    menu = f"<div><ul>{''.join(f'<li>{link()}</li>' for _ in range(rng.randint(4, 12)))}</ul></div>"
+    blocks, wanted = [], []
+    for k in range(rng.randint(3, 9)):
+        text = words(30, 120)
+        if k % 3 == 0:
+            wanted.append(words(3, 6))
+            blocks.append(f"<h2>{wanted[-1]}</h2>")
+        a, b = text[:40], text[40:]
+        blocks.append(f"<p>{a}<b>{b[:10]}</b>{b[10:]}</p>" if rng.random() < 0.5 else f"<p>{text}</p>")
+        wanted.append(" ".join(text.split()))
+    if rng.random() < 0.5:  # the end of the article in a part of its own
+        blocks[-1] = f"<div>{blocks[-1]}</div>"
+    more = f"<div><ul>{''.join(f'<li>{link()} {link()}</li>' for _ in range(6))}</ul></div>"
+    footer = f"<div>&copy; {words(3, 8)} &middot; {link()}</div>"
+    return f"<body>{menu}<div><div>{''.join(blocks)}</div></div>{more}{footer}", "\n\n".join(wanted)
+
+
+def test_pages_of_divs_without_names():
+    import random
+
+    rng = random.Random(12)
+    pages = [bare_page(rng) for _ in range(60)]
+    assert [html_extract.extract(p) for p, _ in pages] == [w for _, w in pages]
+
+
+def test_densities_decide_on_bare_pages(monkeypatch):
+    """With the same density for every node that holds text the article is lost among the rest."""
+    import random
+
+    rng, measure = random.Random(12), html_extract._measure
+
+    def constant(nodes, body):
+        measure(nodes, body)
+        for n in nodes:
+            n.density = 1.0 if n.chars else 0.0
+        for n in nodes:
+            n.total = sum(c.density for c in n.children if isinstance(c, html_extract.Node))
+
+    pages = [bare_page(rng) for _ in range(60)]
+    monkeypatch.setattr(html_extract, "_measure", constant)
+    assert sum(html_extract.extract(p) == w for p, w in pages) < 30
