@@ -2,17 +2,46 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.store import written
 
 
-def pair_counts(left: DataFrame, right: DataFrame, key: str, a: list[str], b: list[str], name: str = "n_cases", mode: str = "rows") -> DataFrame:
+def pair_rows(left: DataFrame, right: DataFrame, key: str, most: int = 1 << 20) -> DataFrame:
+    """left and right, each made distinct, joined by report; a report with over `most` pairs is dealt out in tiles.
+
+    The rows of such a report are cut by hash into chunks of about the square root of `most` on either side, and each chunk of one side meets each of the
+    other in a task of its own choice, so that no task makes a report's pairs alone. How many rows a report has is counted before they are made
+    distinct, which can only cut more. Without such reports the plan is the plain join.
+    """
+    sizes = left.groupBy(key).agg(F.count("*").alias("__n")).join(right.groupBy(key).agg(F.count("*").alias("__m")), key)
+    left, right = left.distinct(), right.distinct()
+    side = max(1, math.isqrt(most))
+    chunks = lambda n: F.ceil(F.col(n) / side).cast("int")
+    heavy = sizes.where(F.col("__n").cast("double") * F.col("__m") > most).select(key, chunks("__n").alias("__ci"), chunks("__m").alias("__cj"))
+    if heavy.isEmpty():
+        return left.join(right, key)
+    heavy = written(heavy, "heavy")
+    light = left.join(heavy, key, "left_anti").join(right, key)
+
+    def tiles(df: DataFrame, own: str, other: str, own_chunks: str, other_chunks: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(*(F.col(c) for c in df.columns)), F.col(own_chunks).cast("bigint")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(other_chunks) - 1))
+        return df.join(heavy, key).select(*df.columns, place.alias(own), every.alias(other))
+
+    tiled = tiles(left, "__i", "__j", "__ci", "__cj").hint("merge").join(tiles(right, "__j", "__i", "__cj", "__ci"), [key, "__i", "__j"])
+    return light.unionByName(tiled.drop("__i", "__j"))
+
+
+def pair_counts(
+    left: DataFrame, right: DataFrame, key: str, a: list[str], b: list[str], name: str = "n_cases", mode: str = "rows", most: int = 1 << 20,
+) -> DataFrame:
     """Counts of (a, b) over reports. Both sides are made distinct first; `rows` keeps other columns of right apart (a report may count twice for a pair), `distinct_reports` doesn't."""
-    left = left.select(key, *a).distinct()
-    right = right.distinct() if mode == "rows" else right.select(key, *b).distinct()
-    return left.join(right, key).groupBy(*a, *b).agg(F.count("*").alias(name))
+    rows = pair_rows(left.select(key, *a), right if mode == "rows" else right.select(key, *b), key, most)
+    return rows.groupBy(*a, *b).agg(F.count("*").alias(name))
 
 
 def prune(edges: DataFrame, weight: str, least: int) -> DataFrame:

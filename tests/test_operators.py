@@ -99,6 +99,29 @@ def test_weights_by_mode(spark):
     assert graph.pair_counts(left, right, "report", ["compound"], ["outcome"], mode="distinct_reports").collect() == [("c", "p", 1)]
 
 
+def test_a_large_report_is_dealt_out(spark):
+    """One report of 5,000 x 5,000 pairs among small ones: same counts as by the plain join, and no task makes more than three times the median."""
+    small = spark.range(4000)
+    left = small.select(F.col("id").alias("report"), F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("compound")).unionByName(spark.range(5000).select(F.lit(-1).cast("bigint").alias("report"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("compound")))
+    right = small.select(F.col("id").alias("report"), F.concat(F.lit("o"), (F.col("id") % 5).cast("string")).alias("outcome")).unionByName(spark.range(5000).select(F.lit(-1).cast("bigint").alias("report"), F.concat(F.lit("o"), F.col("id").cast("string")).alias("outcome")))
+    right = right.unionByName(right).unionByName(spark.createDataFrame([(None, "none")], "report bigint, outcome string"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = graph.pair_rows(left, right, "report", most=1 << 16)
+        made = [r["count"] for r in rows.where("report = -1").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(made) == 25_000_000 and len(made) == 16 and max(made) <= 3 * sorted(made)[8]
+        plain = graph.pair_rows(left.where("report >= 0"), right.where("report >= 0"), "report", most=1 << 16)
+        assert "__i" not in plain._jdf.queryExecution().toString()
+        got = graph.pair_counts(left.where("report >= 0 OR compound < 'c1'"), right.where("report >= 0 OR outcome < 'o2'"), "report", ["compound"], ["outcome"], most=100)
+        few = left.where("report >= 0 OR compound < 'c1'").distinct().join(right.where("report >= 0 OR outcome < 'o2'").distinct(), "report").groupBy("compound", "outcome").agg(F.count("*").alias("n_cases"))
+        assert got.count() == few.count() and got.exceptAll(few).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_bridge_and_choice(spark):
     rel = spark.createDataFrame([("a", "m"), ("m", "z"), ("a", "y"), ("y", "q"), ("b", "n"), ("", "z")], "a string, b string")
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
