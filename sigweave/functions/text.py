@@ -33,6 +33,11 @@ NOT_DRUGS = [
 NOT_DRUG_MARKS = [".", "-", "?", "??", "N/A"]
 
 
+#: Characters that become one other or, at the end, none, and those that become several.
+_SINGLE = dict(sorted(((k, v) for k, v in (NFKC_LATIN | PLAIN).items() if len(v) < 2), key=lambda kv: -len(kv[1])))
+_LONGER = {k: v for k, v in NFKC_LATIN.items() if len(v) > 1}
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"^{WS}+|{WS}+$", "")
 
@@ -59,18 +64,22 @@ def nfkc(df: DataFrame, column: str) -> DataFrame:
 def normalize_text(c: Column, upper: bool = True) -> Column:
     """Null becomes empty; compatibility forms (Latin-1), typographic marks, outer and inner white space, upper case."""
     t = F.coalesce(c, F.lit(""))
-    t = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), (NFKC_LATIN | PLAIN).items(), t)
-    t = collapse(strip(t))
+    plain = F.translate(t, "".join(_SINGLE), "".join(_SINGLE.values()))
+    plain = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), _LONGER.items(), plain)
+    # Most strings are printable ASCII with single spaces inside, which all this would leave as they are.
+    t = F.when(t.rlike("[^ -~]|^ | $|  "), collapse(strip(plain))).otherwise(t)
     return F.upper(t) if upper else t
 
 
 def _padded(t: Column, marks: str) -> Column:
-    return strip(collapse(F.regexp_replace(t, rf"{WS}*([{marks}]){WS}*", " $1 ")))
+    """Outer quotes off, marks between single spaces; t has neither outer nor double white space."""
+    bare = F.regexp_replace(t, "^[\"']+|[\"']+$", "")
+    return F.when(t.rlike(rf"[\"'{marks}]"), strip(collapse(F.regexp_replace(bare, rf"{WS}*([{marks}]){WS}*", " $1 ")))).otherwise(t)
 
 
 def normalize_drug_v2(c: Column) -> Column:
     """The ingest form of a drug term: outer quotes off, punctuation between single spaces."""
-    return _padded(F.regexp_replace(normalize_text(c), "^[\"']+|[\"']+$", ""), r",;/+()\[\]-")
+    return _padded(normalize_text(c), r",;/+()\[\]-")
 
 
 def normalize_drug_v3(c: Column) -> Column:

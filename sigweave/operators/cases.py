@@ -62,12 +62,18 @@ def _selected(rows: DataFrame, cases: DataFrame) -> DataFrame:
 
 
 def all_drug_facts(rows: DataFrame, cases: DataFrame) -> DataFrame:
-    """Every drug row of selected reports in the columns of facts, with line_no and caseid_overridden; rows that repeat a key included."""
+    """Every drug row of selected reports in the columns of facts, with line_no and caseid_overridden; rows that repeat a key included.
+
+    Columns with the same normal form share one expression over an array: one for each column would make a method too large to be compiled.
+    """
     raw = lambda c: F.coalesce(F.col(c), F.lit(""))
+    several = lambda form, *columns: F.transform(F.array(*map(F.col, columns)), form)
     got = _selected(rows, cases).withColumns({
-        "zip_name": F.col("zip"), "drug_seq": normalize_text(F.col("drug_seq"), upper=False), "role_cod": normalize_text(F.col("role_cod")), "val_vbm": normalize_text(F.col("val_vbm"), upper=False),
-        "drugname_raw": raw("drugname"), "drugname_std": normalize_drug_v2(F.col("drugname")), "prod_ai_raw": raw("prod_ai"), "prod_ai_std": normalize_drug_v2(F.col("prod_ai")),
-        "route_raw": raw("route"), "route_std": normalize_text(F.col("route")), "dose_vbm_raw": raw("dose_vbm"), "dose_vbm_std": normalize_text(F.col("dose_vbm")),
+        "__same": several(lambda c: normalize_text(c, upper=False), "drug_seq", "val_vbm"), "__upper": several(lambda c: normalize_text(c), "role_cod", "route", "dose_vbm"), "__drug": several(normalize_drug_v2, "drugname", "prod_ai"),
+    })
+    got = got.withColumns({
+        "zip_name": F.col("zip"), "drug_seq": F.col("__same")[0], "val_vbm": F.col("__same")[1], "role_cod": F.col("__upper")[0], "route_std": F.col("__upper")[1], "dose_vbm_std": F.col("__upper")[2],
+        "drugname_raw": raw("drugname"), "drugname_std": F.col("__drug")[0], "prod_ai_raw": raw("prod_ai"), "prod_ai_std": F.col("__drug")[1], "route_raw": raw("route"), "dose_vbm_raw": raw("dose_vbm"),
     })
     got = got.withColumn("drug_key_std", preferred_key(F.col("prod_ai_std"), F.col("drugname_std")))
     return got.select(*DRUG_COLUMNS, "line_no", "caseid_overridden")
