@@ -70,16 +70,25 @@ def preferred_id(links: DataFrame, key: str, value: str, good: DataFrame) -> Dat
     return best.select(key, F.col("b.v").alias(value))
 
 
-def bridge(relations: DataFrame, wanted: DataFrame, linked: DataFrame) -> DataFrame:
-    """(id, target): linked neighbours of wanted ids over undirected relations (a, b), direct or by one neighbour that isn't linked itself."""
-    both = relations.select("a", "b").unionByName(relations.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b AND a <> '' AND b <> ''").distinct()
-    both = written(both, "relations")
-    linked = written(linked.select(F.col("id").alias("__l")).distinct(), "linked")
-    hop = both.join(wanted.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
-    direct = hop.join(linked, hop["b"] == linked["__l"], "left_semi").select(F.col("a").alias("id"), F.col("b").alias("target"))
-    middle = hop.join(linked, hop["b"] == linked["__l"], "left_anti").select(F.col("a").alias("id"), F.col("b").alias("mid"))
-    second = both.join(linked, both["b"] == linked["__l"], "left_semi").select(F.col("a").alias("mid"), F.col("b").alias("target"))
-    return direct.unionByName(middle.join(second, "mid").where("id <> target").select("id", "target")).distinct()
+def bridge(relations: DataFrame, wanted: DataFrame, linked: DataFrame, chunk: int = 1 << 12) -> DataFrame:
+    """(id, target): linked neighbours of wanted ids over undirected relations (a, b), direct or by one neighbour that isn't linked itself.
+
+    A relation is kept from its ends that are wanted or linked, and says whether the other end is linked. Linked neighbours of an unlinked id stand in lists
+    of about `chunk` ids at most, so a hub is several rows; wanted neighbours meet these lists by the id between them.
+    """
+    own = wanted.select("id", F.lit(True).alias("w"), F.lit(False).alias("l")).unionByName(linked.select("id", F.lit(False).alias("w"), F.lit(True).alias("l")))
+    own = own.groupBy("id").agg(F.max("w").alias("w"), F.max("l").alias("l"))
+    both = relations.select("a", "b").unionByName(relations.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b AND a <> '' AND b <> ''")
+    marked = both.join(own.withColumnRenamed("id", "a"), "a").groupBy("a", "b").agg(F.first("w").alias("w"), F.first("l").alias("l"))
+    marked = marked.join(linked.select(F.col("id").alias("b"), F.lit(True).alias("on")).distinct(), "b", "left")
+    marked = written(marked, "relations")
+    direct = marked.where("w AND on").select(F.col("a").alias("id"), F.col("b").alias("target"))
+    between = marked.where("on IS NULL")
+    degree = between.where("l").groupBy("b").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
+    far = between.where("l").join(degree, "b").groupBy("b", F.pmod(F.xxhash64("a"), F.col("chunks")).alias("part")).agg(F.collect_list("a").alias("targets"))
+    near = between.where("w").select(F.col("a").alias("id"), "b")
+    second = near.join(far, "b").select("id", F.explode("targets").alias("target")).where("id <> target")
+    return direct.unionByName(second).distinct()
 
 
 def match_terms(terms: DataFrame, term: str, variant_rows: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -126,6 +126,11 @@ def test_bridge_and_choice(spark):
     rel = spark.createDataFrame([("a", "m"), ("m", "z"), ("a", "y"), ("y", "q"), ("b", "n"), ("", "z")], "a string, b string")
     ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
     assert sorted(match.bridge(rel, ids("a", "b"), ids("z", "y", "q")).collect()) == [("a", "y"), ("a", "z")]
+    # A hub between wanted and linked ids, in many chunks; relations repeated and turned round.
+    hub = spark.range(3000).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("a"), F.lit("hub").alias("b"))
+    some = hub.where("a LIKE '%7'").select(F.col("a").alias("id"))
+    got = match.bridge(hub.unionByName(hub.select(F.col("b").alias("a"), F.col("a").alias("b"))), ids("n1", "n2", "n7"), some, chunk=10)
+    assert got.count() == 300 + 300 + 299 and got.where("id = 'n7' AND target = 'n7'").count() == 0
     links = spark.createDataFrame([("k", "1"), ("k", "2"), ("j", "3")], "k string, v string")
     assert sorted(match.preferred_id(links, "k", "v", spark.createDataFrame([("2",)], "v string")).collect()) == [("j", "3"), ("k", "2")]
 
