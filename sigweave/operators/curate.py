@@ -90,9 +90,11 @@ def resolve(rows: DataFrame, keys: list[str], term: str, vocabulary: Vocabulary)
     return rows.select(*keys, term).join(found.withColumns(blank), keys).select(*keys, term, *FOUND)
 
 
-def unmapped(base: DataFrame, top: int | None = None) -> DataFrame:
-    """Terms without a structure that nobody has excluded; with `top`, those with most rows (ties by term)."""
-    left = base.where(is_blank(F.col("structure")) & (F.coalesce("mapping_stage", F.lit("")) != "MANUAL_EXCLUDE"))
+def unmapped(base: DataFrame, top: int | None = None, excluded: bool = False) -> DataFrame:
+    """Terms without a structure, those that somebody has excluded only if asked for; with `top`, those with most rows (ties by term)."""
+    left = base.where(is_blank(F.col("structure")))
+    if not excluded:
+        left = left.where(F.coalesce("mapping_stage", F.lit("")) != "MANUAL_EXCLUDE")
     return left if top is None else left.orderBy(F.desc("n_rows"), "term_std").limit(top)
 
 

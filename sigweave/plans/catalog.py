@@ -28,7 +28,7 @@ def query(sql: str | None = None, name: str | None = None):
 
 
 def queries() -> dict:
-    from . import catalog_archives, catalog_cases  # noqa: F401  register their queries here
+    from . import catalog_archives, catalog_cases, catalog_curation  # noqa: F401  register their queries here
 
     return dict(_QUERIES)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import cases
-from ..sources import archive_source, ragged
+from ..sources import archive_source, ragged, release_sink
 from ..streaming import late
 from .catalog import _read, query
 from .store import shared_folder
@@ -197,3 +197,20 @@ def late_pair_weights(spark, d):
 
     late.cases_available(spark, root, _folder(spark, "cases"), _folder(spark, "ledger"), also=also)
     return late.current(spark, pairs)
+
+
+@query("""WITH e AS (SELECT DISTINCT l_orderkey AS report, p_brand AS compound, l_suppkey % 30 AS outcome FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT 'v1' AS release, 'pairs' AS table_name, (SELECT count(*) FROM (SELECT DISTINCT compound, outcome FROM e)) AS rows, true AS same_again, true AS verified
+UNION ALL SELECT 'v1', 'reports', (SELECT count(DISTINCT report) FROM e), true, true""")
+def release_index(spark, d):
+    """Two tables released twice: the index, whether both releases have the same digests, and whether what is stored has them."""
+    root, e = _folder(spark, "release"), _read(spark, d, "lineitem").join(_read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    pairs = e.select(F.col("p_brand").alias("compound"), (F.col("l_suppkey") % 30).alias("outcome")).distinct()
+    reports = e.groupBy(F.col("l_orderkey").alias("report")).agg(F.countDistinct("p_brand").alias("compounds"))
+    for release in ("v1", "v2"):
+        for name, table in (("pairs", pairs), ("reports", reports)):
+            release_sink.write_table(table.repartition(4, F.col(table.columns[0])).sortWithinPartitions(*table.columns), root, release, name)
+    found = release_sink.releases(spark, root).withColumnRenamed("table", "table_name")
+    again = found.where("release = 'v2'").select("table_name", F.col("digest").alias("other"))
+    checked = release_sink.verified(spark, root, "v1").groupBy(F.col("table").alias("table_name")).agg(F.every("ok").alias("verified"))
+    return found.where("release = 'v1'").join(again, "table_name").join(checked, "table_name").select("release", "table_name", "rows", (F.col("digest") == F.col("other")).alias("same_again"), "verified")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import cases, dedup, graph, match
+from ..operators import cases, curate, dedup, graph, match
 from .catalog import _EDGE_SQL, _edges, _read, query
 from .store import written
 
@@ -171,6 +171,19 @@ def term_map_stage_counts(spark, d):
     return match.stage_counts(_term_map(spark, d))
 
 
+@query(f"""WITH {_TERM_MAP} SELECT term_std, mapping_stage, n_rows FROM w WHERE trim(inchi) = '' ORDER BY n_rows DESC, term_std LIMIT 200""")
+def unmapped_export(spark, d):
+    """Terms without a structure, excluded ones too, with most rows."""
+    found = _term_map(spark, d).withColumnRenamed("inchi", "structure")
+    return curate.unmapped(found, 200, excluded=True).select("term_std", "mapping_stage", "n_rows")
+
+
+@query(f"""WITH {_TERM_MAP} SELECT term_std, mapping_stage, n_rows FROM w WHERE trim(inchi) = '' AND mapping_stage <> 'MANUAL_EXCLUDE'""")
+def unmapped_candidates(spark, d):
+    found = _term_map(spark, d).withColumnRenamed("inchi", "structure")
+    return curate.unmapped(found).select("term_std", "mapping_stage", "n_rows")
+
+
 @query("""WITH t AS (SELECT p_partkey, upper(p_name || ' and ' || p_type) AS t FROM part)
 SELECT p_partkey, 1 AS priority, 'EXACT' AS stage, t AS variant FROM t UNION ALL SELECT p_partkey, 3, 'AND_TO_SLASH', replace(t, ' AND ', ' / ') FROM t""")
 def term_variants_curation(spark, d):
