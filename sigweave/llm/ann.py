@@ -19,7 +19,7 @@ of the number of nodes. The best candidates are scored on the original vectors i
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -448,6 +448,7 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, settings: Settings =
 
 def _nearest(rows: DataFrame, width: int, k: int, most: int, every: int, s: Settings) -> DataFrame:
     """The answers for vectors of one length; most: so many rows of a node can show in a list."""
+    s = replace(s, rescored=max(s.rescored, 2 * most), beam=max(s.beam, 3 * most))  # long lists need more to choose from
     nodes = rows.groupBy("vector").agg(F.min("vec_id").alias("least"))
     if most > k + 1:  # an id with several vectors may be the least of several nodes
         order = F.row_number().over(Window.partitionBy("least").orderBy("vector"))

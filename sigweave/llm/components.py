@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, remove
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        now = materialize(small.where("u <> v").distinct(), "edges")
+        before, now = now, materialize(small.where("u <> v").distinct(), "edges")
+        remove(before)
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if new == mark:
             break

@@ -86,3 +86,15 @@ def test_parts_agree(spark):
 def test_lists_grow_with_nodes():
     s = ann.Settings()
     assert s.grown(s.beam, 1000) == s.beam < s.grown(s.beam, 200_000) < s.grown(s.beam, 10**8)
+
+
+def test_long_lists(spark):
+    """Lists longer than what is scored again by default."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.standard_normal(8)], 0, 0.0, "") for i in range(600)]
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, SCHEMA), k=100).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = brute(rows, 100)
+    assert set(got) == set(want) and {len(v) for v in got.values()} == {100}
+    assert sum(len({i for _, i in best} & set(got[q])) for q, best in want.items()) > 0.95 * 100 * len(want)
