@@ -80,9 +80,20 @@ def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.withColumn("uneven_shards", uneven).drop("all").join(of_group, F.lit(True))
 
 
+def packing_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: documents, sequences that are too long, sequences with gaps or overlaps, pieces cut short after the first, and sequences beyond 1% over the fewest possible."""
+    rows = op12_best_fit(spark, sf_dir)
+    flag = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0).cast("bigint"))
+    seqs = rows.groupBy("sequence_id").agg(F.sum("length").alias("filled"), F.max(F.col("offset") + F.col("length")).alias("end"), F.count("*").alias("n"), F.countDistinct("offset").alias("starts"), F.sum((F.col("piece") == 0).cast("bigint")).alias("docs"), flag((F.col("piece") > 0) & (F.col("length") < 2048)).alias("cut"))
+    broken = (F.col("filled") != F.col("end")) | (F.col("n") != F.col("starts"))
+    sums = seqs.agg(F.sum("docs").alias("n_docs"), flag(F.col("filled") > 2048).alias("overfull"), flag(broken).alias("broken"), F.sum("cut").alias("cut_short"), F.count("*").alias("sequences"), F.sum("filled").alias("tokens"))
+    spare = F.greatest(F.lit(0).cast("bigint"), F.col("sequences") - F.floor(F.ceil(F.col("tokens") / 2048) * 1.01) - 1)
+    return sums.select("n_docs", "overfull", "broken", "cut_short", spare.cast("bigint").alias("beyond"))
+
+
 def queries() -> dict:
     ops = {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
-    return ops | {"media_payloads": media_payloads, "shard_laws": shard_laws}
+    return ops | {"media_payloads": media_payloads, "shard_laws": shard_laws, "packing_laws": packing_laws}
 
 
 OP6_SQL = r"""
@@ -205,5 +216,8 @@ SELECT doc_id, n AS n_bytes, greatest(192, (n + 191) // 192 * 192)::BIGINT AS pa
 SHARD_SQL = "SELECT count(*) AS n_rows, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS bytes, 16::BIGINT AS shards, 0::BIGINT AS slot_gaps, 0::BIGINT AS uneven_shards, 0::BIGINT AS split_groups FROM documents"
 
 
+PACKING_SQL = "SELECT count(*) AS n_docs, 0::BIGINT AS overfull, 0::BIGINT AS broken, 0::BIGINT AS cut_short, 0::BIGINT AS beyond FROM documents"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
+    return {"packing_laws": PACKING_SQL, "media_payloads": MEDIA_SQL, "shard_laws": SHARD_SQL, "op6_source_mix": OP6_SQL, "op10_warc": OP10_SQL, "op11_spelling_variants": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
