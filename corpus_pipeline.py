@@ -17,7 +17,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Jaccard similarity of at least 0.8 on five-word shingles; the digest contract of op7_simhash binds only that query.
+    """Jaccard similarity of at least 0.8 on five-word shingles; the digest contract of op7_simhash binds only that query. Pairs come from op7's
+    pigeonring filtering of SimHash fingerprints first, those that differ in more bits from MinHash, and each is held against the exact similarity.
 
     Of a group the smallest id stays (null last), of equal ids the smallest hash of the row, of equal rows one. Texts without words are alike."""
     return minhash.keep_one(docs)

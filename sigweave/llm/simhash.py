@@ -26,6 +26,14 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 CHUNK = 1 << 15
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Unsigned fingerprint of 64-bit values: a bit is set if it is set in over half of them; no value gives 0."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        counts += np.unpackbits(hashes[at : at + CHUNK].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes(), "little")
+
+
 def simhash(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     """Unsigned fingerprint of a text's word shingles: a bit is set if it is set in over half of their XXH64 values; no word gives 0."""
     import xxhash
@@ -101,6 +109,19 @@ def fingerprint_links(prints: DataFrame, distance: int = 2, bucket: int = 32) ->
     return near.unionByName(starred)
 
 
+def close_pairs(nodes: DataFrame, bucket: int = 32) -> DataFrame:
+    """(d, fp): each node with the first node of its own fingerprint, and of every fingerprint linked to it, if that stands before it.
+
+    nodes are (fp, sim, place): a key, a fingerprint and an order in which no two are equal. Pairs grow with nodes and links, however many share a fingerprint.
+    """
+    heads = nodes.groupBy("sim").agg(F.min("place").alias("head"), F.min_by("fp", "place").alias("fp"))
+    heads = materialize(heads, "heads")
+    links = fingerprint_links(heads.select(F.col("sim").alias("fp")), bucket=bucket)
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(heads.select(F.col("sim").alias("a"), F.col("sim").alias("b")))
+    near = both.join(heads, both["b"] == heads["sim"]).select("a", "head", "fp")
+    return nodes.select(F.col("fp").alias("d"), F.col("sim").alias("a"), "place").join(near, "a").where("head < place").select("d", "fp").distinct()
+
+
 def print_components(prints: DataFrame, bucket: int = 32) -> DataFrame:
     """(fp, root) for the distinct fingerprints in column fp; root is any fixed one of its component."""
     prints = prints.select("fp").distinct()

@@ -48,3 +48,17 @@ def test_rows_without_words_ids_or_partners(spark):
     got = minhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.doc_id or 99, r.text or "") for r in got) == [(1, ""), (4, "one two"), (6, "three"), (7, "five"), (99, "four")]
     assert minhash.keep_one(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_pigeonring_finds_the_closest_copies(spark):
+    """Copies of one word's difference go by their SimHash fingerprints alone: a key of 500 minima is shared by none but equal sets."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(0, 24, 2):
+        text = [f"w{rng.randrange(5000)}" for _ in range(1500)]
+        rows += [(i, " ".join(text)), (i + 1, " ".join([*text[:700], "other", *text[701:]]))]
+    prints = [minhash.majority(minhash.shingles(t.encode())) for _, t in rows]
+    close = {i + 1 for i in range(0, 24, 2) if (prints[i] ^ prints[i + 1]).bit_count() <= 2}
+    got = minhash.keep_one(spark.createDataFrame(rows, SCHEMA), settings=minhash.Settings(bands=1, rows=500))
+    gone = {i for i, _ in rows} - {r.doc_id for r in got.collect()}
+    assert len(close) > 6 and close <= gone and gone <= {i + 1 for i in range(0, 24, 2)}
