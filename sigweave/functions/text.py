@@ -103,9 +103,9 @@ def clean_term(c: Column, form_words: list[str] = FORM_WORDS, normalized: bool =
     return F.trim(collapse(F.regexp_replace(t, r"\s*[,;/+()\[\]-]\s*", " ")))
 
 
-def strip_salt(c: Column) -> Column:
+def strip_salt(c: Column, normalized: bool = False) -> Column:
     """Trailing salt and hydrate words off, as long as something stays."""
-    return F.regexp_replace(normalize_drug_v3(c), rf"(?<=\S)(?:\s+(?:{'|'.join(SALTS)}))+$", "")
+    return F.regexp_replace(c if normalized else normalize_drug_v3(c), rf"(?<=\S)(?:\s+(?:{'|'.join(SALTS)}))+$", "")
 
 
 def non_drug(c: Column) -> Column:
@@ -133,8 +133,15 @@ def variants(df: DataFrame, term: str, keys: list[str], curation: bool = False)
 
 
 def probe_terms(c: Column) -> Column:
-    """Ordered, distinct forms under which a term is looked up."""
-    t = normalize_drug_v3(c)
-    cleaned = clean_term(c, FORM_WORDS_CURATION)
-    forms = [t, cleaned, normalize_drug_v3(F.replace(t, F.lit(" AND "), F.lit(" / "))), normalize_drug_v3(F.replace(t, F.lit(" OR "), F.lit(" / "))), strip_salt(c), strip_salt(cleaned)]
-    return F.filter(F.array_distinct(F.array(*forms)), lambda x: x != "")
+    """Ordered, distinct forms under which a term is looked up.
+
+    A normal form stands in an array that a lambda reads: written out in each form that needs it, it would be computed again every time.
+    """
+    once = lambda value, then: F.transform(F.array(value), then)[0]
+    slashed = lambda t, again, word: F.when(t.contains(word), normalize_drug_v3(F.replace(t, F.lit(word), F.lit(" / ")))).otherwise(again)
+
+    def forms(t: Column, cleaned: Column, again: Column) -> Column:
+        return F.array(t, cleaned, slashed(t, again, " AND "), slashed(t, again, " OR "), strip_salt(t, normalized=True), strip_salt(cleaned))
+
+    rest = lambda t: once(clean_term(t, FORM_WORDS_CURATION, normalized=True), lambda cleaned: once(normalize_drug_v3(t), lambda again: F.array_distinct(forms(t, cleaned, again))))
+    return F.filter(once(normalize_drug_v3(c), rest), lambda x: x != "")

@@ -193,7 +193,8 @@ def term_variants_curation(spark, d):
 
 @query("SELECT p_partkey, upper(p_name) || ' SODIUM|' || upper(p_name) AS probes FROM part")
 def probe_terms(spark, d):
-    return _read(spark, d, "part").select("p_partkey", F.array_join(text.probe_terms(F.concat("p_name", F.lit("  sodium"))), "|").alias("probes"))
+    parts = _read(spark, d, "part").select("p_partkey", "p_name").repartition(spark.sparkContext.defaultParallelism)  # a small file with much work
+    return parts.select("p_partkey", F.array_join(text.probe_terms(F.concat("p_name", F.lit("  sodium"))), "|").alias("probes"))
 
 
 @query(f"WITH {_EDGE_SQL} SELECT compound, count(*) FILTER (role = 'PS') AS ps_edges, count(*) FILTER (role = 'SS') AS ss_edges, max(n_reports) AS top FROM e WHERE n_reports >= 20 GROUP BY compound")

@@ -49,3 +49,18 @@ def test_variants(spark):
 
 def test_nfkc_of_vocabularies(spark):
     assert text.nfkc(spark.createDataFrame([("ﬁ½",), (None,)], "s string"), "s").collect() == [("fi1⁄2",), (None,)]
+
+
+def test_probe_terms_compute_a_normal_form_once(spark):
+    """The forms are those written out one by one, and a plan of them doesn't repeat the normal form in each."""
+    given = ["aspirin and codeine", "A or b sodium 5 mg tablet", "a '", "'x' & \"y\"", "", None, "HCL", "x \\ y-z phosphate"]
+
+    def written_out(c):
+        t, cleaned = text.normalize_drug_v3(c), text.clean_term(c, text.FORM_WORDS_CURATION)
+        slash = lambda word: text.normalize_drug_v3(F.replace(t, F.lit(word), F.lit(" / ")))
+        return F.filter(F.array_distinct(F.array(t, cleaned, slash(" AND "), slash(" OR "), text.strip_salt(c), text.strip_salt(cleaned))), lambda x: x != "")
+
+    assert v(spark, text.probe_terms, *given) == v(spark, written_out, *given)
+    df = spark.createDataFrame([("a",)], "s string")
+    plan = lambda f: df.select(f(F.col("s")).alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(text.probe_terms).count("translate(") * 3 < plan(written_out).count("translate(")
