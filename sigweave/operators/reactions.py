@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, normalize_reaction
+from ..plans.store import written
 from .dedup import last_wins
 from .match import cascade
 
@@ -30,16 +31,41 @@ def standardize(terms: DataFrame, preferred: DataFrame, lower: DataFrame, hints:
     return out.withColumn("map_source", source)
 
 
+def _coded(facts: DataFrame, term_map: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct (primaryid, caseid, __kind) of facts whose term has a code, and the few kinds (__kind, pt_code, pt_name, map_source).
+
+    Facts are many and are made distinct by numbers instead of names, which keeps a task's memory small; the map's rows are written once for that. A report's
+    facts come to one task, so none are held before that. A term may be in the map more than once.
+    """
+    names = ["pt_code", "pt_name", "map_source"]
+    m = term_map.where(~is_blank(F.col("code"))).select("pt_norm", F.col("code").alias("pt_code"), F.col("name").alias("pt_name"), "map_source")
+    m = written(m, "codes")
+    kinds = written(m.select(*names).distinct().withColumn("__kind", F.monotonically_increasing_id()), "kinds")
+    same = [m[c].eqNullSafe(kinds[c]) for c in names]
+    terms = m.join(kinds, same).select("pt_norm", "__kind").distinct()
+    return facts.join(terms, "pt_norm").select("primaryid", "caseid", "__kind").repartition("primaryid").distinct(), kinds
+
+
 def facts_by_code(facts: DataFrame, term_map: DataFrame) -> DataFrame:
     """Distinct (primaryid, caseid, pt_code, pt_name, map_source) of facts whose term has a code."""
-    m = term_map.where(~is_blank(F.col("code"))).select("pt_norm", F.col("code").alias("pt_code"), F.col("name").alias("pt_name"), "map_source")
-    return facts.join(m, "pt_norm").select(*FACT).distinct()
+    rows, kinds = _coded(facts, term_map)
+    return rows.join(kinds, "__kind").select(*FACT)
 
 
 def code_counts(base: DataFrame) -> DataFrame:
     return base.groupBy("pt_code", "pt_name").agg(F.count("*").alias("n_case_reaction_rows"), F.countDistinct("primaryid").alias("n_primaryid"))
 
 
+def counts_by_code(facts: DataFrame, term_map: DataFrame) -> DataFrame:
+    """code_counts of facts_by_code: counted by report and code number first, where a report's facts are."""
+    rows, kinds = _coded(facts, term_map)
+    codes = kinds.groupBy("pt_code", "pt_name").agg(F.min("__kind").alias("__code"))
+    same = kinds.join(codes, [kinds[c].eqNullSafe(codes[c]) for c in ("pt_code", "pt_name")]).select("__kind", "__code")
+    by_report = rows.join(F.broadcast(same), "__kind").groupBy("primaryid", "__code").agg(F.count("*").alias("n"))
+    counts = by_report.groupBy("__code").agg(F.sum("n").alias("n_case_reaction_rows"), F.count("primaryid").alias("n_primaryid"))
+    return counts.join(codes, "__code").select("pt_code", "pt_name", "n_case_reaction_rows", "n_primaryid")
+
+
 def unresolved_counts(facts: DataFrame, term_map: DataFrame) -> DataFrame:
     """(pt_norm, cnt) of facts whose term is in the map without a code; order by cnt descending, then pt_norm."""
     return facts.join(term_map.where(is_blank(F.col("code"))).select("pt_norm"), "pt_norm").groupBy("pt_norm").agg(F.count("*").alias("cnt"))
@@ -78,6 +104,13 @@ def refreshed_facts(base: DataFrame, facts: DataFrame, term_map: DataFrame, over
     return base.select(*FACT).unionByName(facts_by_code(touched, term_map)).distinct()
 
 
+def facts_after(facts: DataFrame, before: DataFrame, term_map: DataFrame, overrides: DataFrame) -> DataFrame:
+    """refreshed_facts of facts_by_code(facts, before), where those were not kept: a term's facts by the map before and, if overrides name it, by the one after."""
+    named = term_map.join(overrides.select("pt_norm").distinct(), "pt_norm", "left_semi")
+    columns = ["pt_norm", "code", "name", "map_source"]
+    return facts_by_code(facts, before.select(*columns).unionByName(named.select(*columns)))
+
+
 def map_metrics(facts: DataFrame, term_map: DataFrame) -> DataFrame:
     """One row: unmapped_terms, and the facts whose term is mapped; taken before and after overrides."""
     terms = term_map.agg(F.count_if(is_blank(F.col("code"))).alias("unmapped_terms"))

@@ -437,7 +437,7 @@ _REACTION_FACTS = "f AS (SELECT l_orderkey AS primaryid, l_orderkey AS caseid, u
 @query(f"""{_REACTION_MAP}, {_REACTION_FACTS}, b AS (SELECT DISTINCT primaryid, caseid, code, name, map_source FROM f JOIN m USING (pt_norm) WHERE code <> '')
 SELECT code AS pt_code, name AS pt_name, count(*) AS n_case_reaction_rows, count(DISTINCT primaryid) AS n_primaryid FROM b GROUP BY code, name""")
 def reaction_code_counts(spark, d):
-    return reactions.code_counts(reactions.facts_by_code(_reaction_facts(spark, d), _reaction_map(spark, d)))
+    return reactions.counts_by_code(_reaction_facts(spark, d), _reaction_map(spark, d))
 
 
 @query(f"{_REACTION_MAP}, {_REACTION_FACTS} SELECT pt_norm, count(*) AS cnt FROM f JOIN m USING (pt_norm) WHERE code = '' GROUP BY pt_norm")
@@ -468,8 +468,7 @@ SELECT map_source, count(*) AS n FROM (SELECT * FROM a UNION SELECT * FROM b) GR
 def reaction_refresh(spark, d):
     facts, before, overrides = _reaction_facts(spark, d), _reaction_map(spark, d), _overrides(spark, d)
     after = reactions.overridden(before, overrides, spark.createDataFrame([], "code string, name string"))["term_map"]
-    base = reactions.refreshed_facts(reactions.facts_by_code(facts, before), facts, after, overrides)
-    return base.groupBy("map_source").agg(F.count("*").alias("n"))
+    return reactions.facts_after(facts, before, after, overrides).groupBy("map_source").agg(F.count("*").alias("n"))
 
 
 @query(f"""{_REACTION_MAP}, {_REACTION_FACTS} SELECT count(*) FILTER (code = '') AS unmapped_terms, (SELECT count(*) FROM f JOIN m USING (pt_norm) WHERE code <> '') AS mapped_rows FROM m""")
