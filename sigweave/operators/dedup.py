@@ -52,14 +52,15 @@ STAGE_TWO = ("caseversion_n", "fda_dt_n", "if_rank", "event_dt_n", "quarter_idx"
 def latest_cases(demo: DataFrame, deleted: DataFrame, mode: str = "glob2", ordinal: str = "ingest_ordinal") -> DataFrame:
     """One row for each case: deleted ids go, the latest row of each report stays, then the latest report of each case."""
     scored = demo.where((F.trim("primaryid") != "") & (F.trim("caseid") != ""))
-    scored = drop_tombstones(scored, deleted, ["caseid", "primaryid"])
+    scored = drop_tombstones(scored, deleted, ["primaryid"])
     scored = scored.withColumns({
         "quarter_idx": F.col("year") * 10 + F.col("quarter"), "caseversion_n": digit_score(F.col("caseversion"), mode), "primaryid_n": digit_score(F.col("primaryid"), mode),
         "fda_dt_n": date_score(F.col("fda_dt")), "event_dt_n": date_score(F.col("event_dt")), "if_rank": followup_rank(F.col("i_f_code")),
     })
-    for key, order in (("primaryid", STAGE_ONE), ("caseid", STAGE_TWO)):
-        scored = top_one(scored, [key], [*(F.desc(c) for c in order), F.desc(ordinal)])
-    return scored
+    latest = lambda df, keys, order: top_one(df, keys, [*(F.desc(c) for c in order), F.desc(ordinal)])
+    # Rows of a report and case are deleted together, so but one of them travels to its case's deletion.
+    scored = drop_tombstones(latest(scored, ["primaryid", "caseid"], STAGE_ONE), deleted, ["caseid"])
+    return latest(latest(scored, ["primaryid"], STAGE_ONE), ["caseid"], STAGE_TWO)
 
 
 def select_facts(facts: DataFrame, cases: DataFrame) -> DataFrame:
