@@ -84,13 +84,29 @@ def pair_tables(
 
     compound may be a structure key or a raw structure. Blank compounds and outcomes take no part.
     """
+    weights = pair_weights(compounds, outcomes, key, compound, outcome, roles, include_any, mode)
+    return tables_of_weights(weights, least, compound, outcome, include_any)
+
+
+def pair_weights(
+    compounds: DataFrame, outcomes: DataFrame, key: str = "report", compound: str = "compound", outcome: str = "outcome", roles: tuple[str, ...] = ("PS", "SS"), every_role: bool = True, mode: str = "rows",
+) -> DataFrame:
+    """(compound, outcome, n_cases, n_any): the counts over the roles given and over all, written once. Reports and outcomes meet once for both; without
+    every_role other roles' rows take no part, and n_any is n_cases."""
+    asked = F.coalesce(F.col("role").isin(*roles), F.lit(False))
     some = compounds.where(F.trim(compound) != "")
+    some = (some if every_role else some.where(asked)).groupBy(key, compound).agg(F.max(asked.cast("int")).alias("__asked"))
     what = outcomes.where(F.trim(outcome) != "")
-    count = lambda c: pair_counts(c.select(key, compound), what, key, [compound], [outcome], mode=mode)
-    pairs = written(count(some.where(F.col("role").isin(*roles))), "pairs")
+    rows = pair_rows(some, what if mode == "rows" else what.select(key, outcome), key)
+    return written(rows.groupBy(compound, outcome).agg(F.sum("__asked").cast("bigint").alias("n_cases"), F.count("*").alias("n_any")), "weights")
+
+
+def tables_of_weights(weights: DataFrame, least: int, compound: str = "compound", outcome: str = "outcome", include_any: bool = False) -> dict[str, DataFrame]:
+    """The tables of pair_tables from what pair_weights gives."""
+    pairs = weights.where("n_cases > 0").select(compound, outcome, "n_cases")
     kept = prune(pairs, "n_cases", least)
     rows, columns = surrogate(kept, compound, "compound_id"), surrogate(kept, outcome, "outcome_id")
-    everything = count(some) if include_any else pairs.limit(0)
+    everything = weights.select(compound, outcome, F.col("n_any").alias("n_cases")) if include_any else pairs.limit(0)
     return {"pairs": pairs, "pruned": kept, "rows": rows, "columns": columns, "matrix": coo(kept, rows, compound, columns, outcome, "n_cases"), "any": everything}
 
 

@@ -39,11 +39,13 @@ d AS (
 
 def _demo(spark, d):
     """Versions of reports as they come from archives: scores that count and that don't, partial dates, several rows a report."""
-    rows = _read(spark, d, "lineitem").join(_read(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # Joined by the report's id as it is used from here on, so rows are where their report's deletion and latest row are looked for.
+    orders = _read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("primaryid"), "o_custkey", "o_orderdate")
+    rows = _read(spark, d, "lineitem").withColumn("primaryid", F.col("l_orderkey").cast("string")).join(orders, "primaryid")
     n, s = F.col("l_linenumber") % 4, F.col("l_suppkey") % 5
     day = lambda c, f="yyyyMMdd": F.date_format(F.col(c).cast("date"), f)
     return rows.select(
-        F.col("l_orderkey").cast("string").alias("primaryid"), F.col("o_custkey").cast("string").alias("caseid"), (F.lit(2000) + F.col("l_linenumber") % 3).alias("year"), (F.col("l_partkey").cast("int") % 4 + 1).alias("quarter"),
+        "primaryid", F.col("o_custkey").cast("string").alias("caseid"), (F.lit(2000) + F.col("l_linenumber") % 3).alias("year"), (F.col("l_partkey").cast("int") % 4 + 1).alias("quarter"),
         F.when(n == 0, "12A").when(n == 1, F.concat(F.lit(" "), F.col("l_quantity").cast("int").cast("string"))).when(n == 2, "x9").otherwise("").alias("caseversion"),
         F.when(F.col("l_returnflag") == "R", " f").when(F.col("l_returnflag") == "A", "I").otherwise("").alias("i_f_code"),
         F.when(s == 0, day("l_shipdate", "yyyyMM")).when(s == 1, "99999999").otherwise(day("l_shipdate")).alias("fda_dt"), F.when(F.col("l_linestatus") == "F", day("o_orderdate")).otherwise("").alias("event_dt"),
@@ -112,7 +114,7 @@ SELECT year, quarter, zip_name, raw_rows, skipped_no_primaryid, trailing_trimmed
 FROM p LEFT JOIN c USING (year, quarter, zip_name) LEFT JOIN i USING (year, quarter, zip_name)""")
 def fact_counters(spark, d):
     rows, chosen = _drug_rows(spark, d)
-    return cases.parse_counters(rows, cases.all_drug_facts(rows, chosen), cases.drug_facts(rows, chosen))
+    return cases.drug_counters(rows, chosen)
 
 
 _TERM_MAP = """
@@ -213,24 +215,25 @@ k AS (SELECT * FROM p WHERE n >= 30), ci AS (SELECT compound, row_number() OVER
 """
 
 
-def _pair_tables(spark, d, include_any):
+def _pair_sides(spark, d):
     role = F.when(F.col("l_returnflag") == "R", "PS").when(F.col("l_returnflag") == "A", "SS").otherwise("C")
     lines = _read(spark, d, "lineitem")
     part = _read(spark, d, "part").select("p_partkey", F.when(F.col("p_size") % 9 == 0, " ").otherwise(F.col("p_brand")).alias("compound"))
     c = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("report"), role.alias("role"), "compound")
     o = lines.select(F.col("l_orderkey").alias("report"), F.concat(F.lit("o"), (F.col("l_suppkey") % 30).cast("string")).alias("outcome"))
-    return graph.pair_tables(c, o, 30, include_any=include_any)
+    return c, o
 
 
 @query(f"WITH {_PAIR_SQL} SELECT i AS compound_id, j AS outcome_id, n AS n_cases FROM k JOIN ci USING (compound) JOIN oi USING (outcome)")
 def pair_tables_matrix(spark, d):
-    return _pair_tables(spark, d, False)["matrix"]
+    return graph.pair_tables(*_pair_sides(spark, d), 30)["matrix"]
 
 
 @query(f"""WITH {_PAIR_SQL} SELECT 'pairs' AS item, count(*) AS rows, coalesce(sum(n), 0)::BIGINT AS n FROM p UNION ALL SELECT 'pruned', count(*), coalesce(sum(n), 0)::BIGINT FROM k
 UNION ALL SELECT 'any', count(*), coalesce(sum(n), 0)::BIGINT FROM a UNION ALL SELECT 'not asked', 0, 0""")
 def pair_tables_counts(spark, d):
-    with_any, without = _pair_tables(spark, d, True), _pair_tables(spark, d, False)
+    weights = graph.pair_weights(*_pair_sides(spark, d))
+    with_any, without = (graph.tables_of_weights(weights, 30, include_any=x) for x in (True, False))
     tables = {"pairs": with_any["pairs"], "pruned": with_any["pruned"], "any": with_any["any"], "not asked": without["any"]}
     out = None
     for item, t in tables.items():
