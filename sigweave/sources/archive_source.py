@@ -17,7 +17,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import groupby, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -213,21 +213,27 @@ def write_archives(rows: DataFrame, root: str, prefix: str = "faers_ascii_") ->
             return pa.RecordBatch.from_arrays([pa.array([f"{top}/{name}"]), pa.array([n], pa.int64())], names=["path", "lines"])
 
         for batch in batches:
-            for year, quarter, kind, line in zip(*(batch.column(c).to_pylist() for c in ("year", "quarter", "kind", "line")), strict=True):
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("year", "quarter", "kind")), strict=True))
+            column, start = batch.column("line"), 0
+            for (year, quarter, kind), run in groupby(keys):
+                some = column.slice(start, len(list(run))).to_pylist()
+                start += len(some)
                 if now is not None and now[:2] != (year, quarter):
                     yield closed()
                 if now is None or now[:2] != (year, quarter):
                     name, n, at, now = f"{prefix}{year}q{quarter}.zip", 0, f"{top}/_{uuid.uuid4().hex}", (year, quarter, None)
                     stream = system.open_output_stream(at)
-                    z = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED)
+                    z = zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED, compresslevel=1)
                 if now[2] != kind:
                     if now[2] is not None:
                         member.close()
                     member, now = z.open(f"ascii/{kind.upper()}{year % 100:02}Q{quarter}.txt", "w", force_zip64=True), (year, quarter, kind)
-                member.write(line.encode("latin-1", "replace") + b"\n")
-                n += 1
+                member.write(("\n".join(some) + "\n").encode("latin-1", "replace"))
+                n += len(some)
         if now is not None:
             yield closed()
 
-    dealt = rows.repartition("year", "quarter").sortWithinPartitions("year", "quarter", "kind", "line_no")
+    # Archives are few and long: many partitions, not merged again, so that hardly two are one task's.
+    n = max(64, 8 * rows.sparkSession.sparkContext.defaultParallelism)
+    dealt = rows.repartition(n, "year", "quarter").sortWithinPartitions("year", "quarter", "kind", "line_no")
     return dealt.select("year", "quarter", "kind", "line").mapInArrow(write, "path string, lines bigint")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import io
 import re
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +24,9 @@ COLUMNS = {
     "reac": [["primaryid", "isr"], ["caseid", "case"], ["pt"], ["drug_rec_act"]],
 }
 
+#: Characters of a member that are cut into lines at once.
+BLOCK = 1 << 20
+
 
 def archives(spark: SparkSession, root: str) -> DataFrame:
     """(path, zip, year, quarter, file_rank) of the archives below root, ranked by year, quarter and name in lower case. Files are listed, not read."""
@@ -41,30 +46,33 @@ def _rows_of(stream, table: str, token: str | None):
     """Lines of a member as it is read; demo tables are cut into records, as quotes may hold line breaks there."""
     import csv
 
-    def physical():
-        for line in stream:
-            if not token:
-                yield line
-                continue
-            first, *more = re.split(f"(?<!^)(?={re.escape(token)})", line)
-            yield from (x + "\n" for x in (first, *more[:-1])) if more else ()
-            yield more[-1] if more else first
+    broken = re.compile(f"(?<=[^\n])(?={re.escape(token)})") if token else None
+
+    def blocks():
+        """The member in blocks of whole lines."""
+        while block := stream.read(BLOCK):
+            block += stream.readline()
+            yield broken.sub("\n", block) if broken else block
 
     if table != "demo":
-        for line in physical():
-            yield from line.splitlines()
+        for block in blocks():
+            yield from block.splitlines()
         return
     csv.field_size_limit(1 << 30)
-    held: list[str] = []
-
-    def feed():
-        for line in physical():
-            held.append(line)
-            yield line
-
-    for _ in csv.reader(feed(), delimiter="$"):
+    lines = (line for block in blocks() for line in io.StringIO(block, newline="\n"))
+    for line in lines:
+        if '"' not in line and "\r" not in line:
+            yield line.rstrip("\n")
+            continue
+        held: list[str] = []
+
+        def feed(first=line, held=held):
+            for x in chain([first], lines):
+                held.append(x)
+                yield x
+
+        next(csv.reader(feed(), delimiter="$"), None)
         yield "".join(held).rstrip("\r\n")
-        held.clear()
 
 
 def archive_lines(spark: SparkSession, root: str, table: str, lost_breaks: dict[tuple[int, int], str] | None = None) -> DataFrame:
@@ -117,16 +125,18 @@ def without_blank_tail(cells: Column) -> Column:
 
 
 def quoted_cells(df: DataFrame, line: str = "line", out: str = "cells") -> DataFrame:
-    """Cells of lines in which quotes may hold the delimiter (demo tables)."""
+    """Cells of lines in which quotes may hold the delimiter (demo tables). Only lines with quotes or line breaks go to Python; others are cut by Spark."""
     @F.pandas_udf("array<string>")
     def cells(lines: pd.Series) -> pd.Series:
         import csv
         import io
 
         csv.field_size_limit(1 << 30)
-        return pd.Series([next(csv.reader(io.StringIO(x or "", newline=""), delimiter="$"), [""]) for x in lines])
+        return pd.Series([None if x is None else next(csv.reader(io.StringIO(x, newline=""), delimiter="$"), [""]) for x in lines], dtype=object)
 
-    return df.withColumn(out, cells(F.col(line)))
+    whole = F.coalesce(line, F.lit(""))
+    marked = whole.rlike('["\\r\\n]')
+    return df.withColumn(out, F.coalesce(cells(F.when(marked, whole)), F.split(whole, r"\$", -1)))
 
 
 def with_heads(lines: DataFrame, table: str) -> DataFrame:
