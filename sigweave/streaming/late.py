@@ -27,72 +27,84 @@ _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+_EVENT = Row("key", "sign", *_NAMES)  # by place, as input rows are read: names would be looked up for each value
+_ID = _NAMES.index("id")
+
+
 class _Keyed(StatefulProcessor):
-    """Rows of a key and whether it has been deleted.
+    """Rows of a key, the latest of them, and whether the key has been deleted.
 
-    A batch's events of a key are added up before they count, so their order is of no matter. A deleted key keeps nothing and passes nothing on.
+    A batch's events of a key are added up before they count, so their order is of no matter. A deleted key keeps nothing and passes nothing on. Rows are
+    kept as a list to which a batch's are added at once; it is read again only where some are taken back. So a key costs a few calls
+    of the state a batch, however many rows it has.
     """
 
     def __init__(self, next_key: str, order: str | None = None, forward: bool = False):
         self.next_key, self.order, self.forward = next_key, order, forward
+        self.key_at, self.order_at = _NAMES.index(next_key), None if order is None else _NAMES.index(order)
 
     def init(self, handle) -> None:
-        self.rows = handle.getMapState("rows", "id string", _ROW)
-        self.dead = handle.getValueState("dead", "dead boolean")
-        self.best = handle.getValueState("best", _ROW)
+        self.rows = handle.getListState("rows", _ROW)
+        self.now = handle.getValueState("now", f"dead boolean, {_ROW}")
 
     def handleInputRows(self, key, rows, timerValues):
         net, held, deleted = {}, {}, False
         for r in rows:
-            if r.sign == DELETE:
+            sign, row = r[1], tuple(r)[2:]
+            if sign == DELETE:
                 deleted = True
                 if self.forward:
-                    yield Row(**r.asDict())
+                    yield _EVENT(*r)
             else:
-                net[r.id] = net.get(r.id, 0) + r.sign
-                held[r.id] = tuple(r[c] for c in _NAMES)
-        if self.dead.exists():
+                net[row[_ID]] = net.get(row[_ID], 0) + sign
+                held[row[_ID]] = row
+        now = self.now.get()
+        if now is not None and now[0]:
             return
-        if self.order is None:
-            if deleted:
-                for _, row in list(self.rows.iterator()):
-                    yield self._event(-1, row)
-            else:
-                for i, n in net.items():
-                    if n:
-                        yield self._event(n, held[i])
-        self._apply(net, held, deleted)
-        if self.order is not None:
-            yield from self._selected(deleted)
-
-    def _apply(self, net: dict, held: dict, deleted: bool) -> None:
+        best = None if now is None else tuple(now)[1:]
         if deleted:
-            self.dead.update((True,))
+            if self.order is not None:
+                yield from self._moved(best, None)
+            else:
+                for row in list(self.rows.get()):
+                    yield self._event(-1, tuple(row))
             self.rows.clear()
+            self.now.update((True, *[None] * len(_NAMES)))
+            return
+        new = [held[i] for i, n in net.items() if n > 0]
+        gone = {i for i, n in net.items() if n < 0}
+        if gone:
+            kept = [row for row in map(tuple, self.rows.get()) if row[_ID] not in gone] + new
+            if kept:
+                self.rows.put(kept)
+            else:
+                self.rows.clear()
+        elif new:
+            kept = new if best is None else [best, *new]
+            self.rows.appendList(new)
+        else:
             return
-        for i, n in net.items():
-            if n > 0:
-                self.rows.updateValue((i,), held[i])
-            elif n < 0 and self.rows.containsKey((i,)):
-                self.rows.removeKey((i,))
-
-    def _selected(self, deleted: bool):
-        at = _NAMES.index(self.order)
-        new = None if deleted else max((tuple(row) for _, row in self.rows.iterator()), key=lambda row: row[at], default=None)
-        old = tuple(self.best.get()) if self.best.exists() else None
-        if old == new:
+        if self.order is None:
+            for i, n in net.items():
+                if n:
+                    yield self._event(n, held[i])
             return
+        last = max(kept, key=lambda row: row[self.order_at], default=None)
+        if last != best:
+            if last is None:
+                self.now.clear()
+            else:
+                self.now.update((False, *last))
+            yield from self._moved(best, last)
+
+    def _moved(self, old: tuple | None, new: tuple | None):
         if old is not None:
             yield self._event(-1, old)
-        if new is None:
-            self.best.clear()
-        else:
-            self.best.update(new)
+        if new is not None:
             yield self._event(1, new)
 
-    def _event(self, sign: int, row) -> Row:
-        values = dict(zip(_NAMES, row, strict=True))
-        return Row(key=values[self.next_key], sign=sign, **values)
+    def _event(self, sign: int, row: tuple) -> Row:
+        return _EVENT(row[self.key_at], sign, *row)
 
     def close(self) -> None:
         pass

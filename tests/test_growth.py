@@ -76,3 +76,57 @@ def test_lines_of_members_are_cut_as_by_csv(spark, monkeypatch):
     assert [r.cells for r in cells.select("cells").collect()] == [["a", "b$c", ""], ["a", "", ""], [""], [""]]
     plan = cells._jdf.queryExecution().optimizedPlan().toString()
     assert "CASE WHEN" in plan and catalog.queries()["archive_rows"]
+
+
+class _State:
+    """A value and a list of state that count the calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.list = 0, None, []
+
+    def getListState(self, name, schema):
+        return self
+
+    def getValueState(self, name, schema):
+        return _Value(self)
+
+    def get(self):
+        self.calls += 1
+        return iter(self.list)
+
+    def appendList(self, rows):
+        self.calls, self.list = self.calls + 1, self.list + rows
+
+    def put(self, rows):
+        self.calls, self.list = self.calls + 1, list(rows)
+
+    def clear(self):
+        self.calls, self.list = self.calls + 1, []
+
+
+class _Value:
+    def __init__(self, state):
+        self.state = state
+
+    def get(self):
+        self.state.calls += 1
+        return self.state.value
+
+    def update(self, value):
+        self.state.calls, self.state.value = self.state.calls + 1, value
+
+    def clear(self):
+        self.update(None)
+
+
+def test_a_key_costs_a_few_calls_of_the_state():
+    from sigweave.streaming import late
+
+    state, keyed = _State(), late._Keyed("caseid", "first")
+    keyed.init(state)
+    row = lambda i, sign=1: late._EVENT("k", sign, *({"id": str(i), "first": f"{i:05}", "caseid": "c"}.get(c) for c in late._NAMES))
+    run = lambda *rows: [(r.sign, r.id) for r in keyed.handleInputRows(("k",), iter(rows), None)]
+    assert run(*map(row, range(1000))) == [(1, "999")] and state.calls <= 4
+    assert run(row(2000)) == [(-1, "999"), (1, "2000")]
+    assert run(row(2000, -1), row(999, -1)) == [(-1, "2000"), (1, "998")] and run(row(3, -1)) == []
+    assert run(late._EVENT("k", late.DELETE, *[None] * len(late._NAMES))) == [(-1, "998")] and run(row(7)) == []
