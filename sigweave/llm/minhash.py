@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_bytes, map_columns, materialize, remove, text_of
+from .common import as_bytes, map_columns, materialize, text_of
 from .simhash import LOWER, close_pairs, majority, row_key, whole_rows
 
 
@@ -79,7 +79,7 @@ def _sets(texts, s: Settings):
 
 
 def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
-    """d of the pairs (d, a, b) whose sets a and b reach the similarity."""
+    """d of the pairs (d, a, b) whose sets a and b reach the similarity, perhaps repeated."""
 
     def run(batches):
         for batch in batches:
@@ -92,7 +92,7 @@ def _alike(pairs: DataFrame, similarity: float) -> DataFrame:
                         out.append(d)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["d"])
 
-    return pairs.mapInArrow(run, "d bigint").distinct()
+    return pairs.mapInArrow(run, "d bigint")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -147,23 +147,23 @@ def _block_pairs(s: Settings):
     return run
 
 
-def _in_blocks(left: DataFrame, shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
-    """d of the nodes in left (key, d) that are alike to any node before them under a key."""
-    place = Window.partitionBy("key").orderBy("at")
-    members = shared.join(left.select("key").distinct().hint("merge"), "key")
-    # The window sees places and lengths alone; what a node holds comes to its blocks afterwards.
+def _in_blocks(near: DataFrame, shared: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """d (perhaps repeated) of the nodes beyond the first few of a key, near aside, that are alike to any node before them under a key."""
+    asks = F.col("gone").isNull() & (F.col("at") - 1 > s.first)
+    # The windows see places and lengths alone; what a node holds comes to its blocks afterwards.
     sizes = sets.select("fp", (F.length("shingles") / 8 + 1).alias("size"))
-    members = members.join(sizes.hint("merge"), "fp").withColumn("block", F.floor((F.sum("size").over(place) - 1) / s.block).cast("int"))
-    members = members.join(left.select("key", F.col("d").alias("fp"), F.lit(True).alias("asks")).hint("merge"), ["key", "fp"], "left")
-    last = F.max("block").over(Window.partitionBy("key"))
-    members = materialize(members.withColumn("last", last).withColumn("asks", F.coalesce("asks", F.lit(False))), "members")
+    members = shared.select("key", "band", "fp", "at").join(near.select(F.col("d").alias("fp"), F.lit(True).alias("gone")).distinct().hint("merge"), "fp", "left")
+    members = members.join(sizes.hint("merge"), "fp").select("key", "band", "fp", "at", "size", asks.alias("asks"))
+    whole, place = Window.partitionBy("key"), Window.partitionBy("key").orderBy("at")
+    members = members.withColumn("__asked", F.max("asks").over(whole)).where("__asked").drop("__asked")
+    members = members.withColumn("block", F.floor((F.sum("size").over(place) - 1) / s.block).cast("int"))
+    # A key's blocks that ask: one for each `block` shingles under it.
+    members = materialize(members.withColumn("live", F.collect_set(F.when(F.col("asks"), F.col("block"))).over(whole)), "members")
     columns = ["key", "band", "fp", "at"]
-    held = members.select(*columns, F.lit(False).alias("asks"), F.lit(True).alias("held"), F.col("block").alias("j"), F.explode(F.sequence("block", "last")).alias("i"))
+    held = members.select(*columns, F.lit(False).alias("asks"), F.lit(True).alias("held"), F.col("block").alias("j"), F.explode(F.filter("live", lambda i: i >= F.col("block"))).alias("i"))
     asking = members.where("asks").select(*columns, "asks", F.lit(False).alias("held"), F.explode(F.sequence(F.lit(0), "block")).alias("j"), F.col("block").alias("i"))
-    live = members.where("asks").select("key", F.col("block").alias("i")).distinct()
-    held = held.join(live.hint("merge"), ["key", "i"], "left_semi")
     dealt = held.unionByName(asking).join(sets.select("fp", "shingles", "keys").hint("merge"), "fp")
-    return dealt.groupBy("key", "i", "j").applyInArrow(_block_pairs(s), "d bigint").distinct()
+    return dealt.groupBy("key", "i", "j").applyInArrow(_block_pairs(s), "d bigint")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -177,17 +177,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
     prints = materialize(map_columns(docs, [row.alias("k")], [text_of(docs, text_col)], {"fp": "bigint", "keys": "array<bigint>", "sim": "bigint"}, _prints, s=s), "prints")
     firsts = materialize(prints.groupBy("fp").agg(F.min("k").alias("k"), F.any_value("keys").alias("keys"), F.any_value("sim").alias("sim")), "firsts")
     ringed = materialize(close_pairs(firsts.select("fp", "sim", F.struct("k.none", "k.id", "fp").alias("place"))), "ringed")
-    keyed = materialize(firsts.select("fp", F.col("k.none").alias("none"), F.col("k.id").alias("id"), F.posexplode("keys").alias("band", "key")), "keys")
-    counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    keyed = firsts.select("fp", F.col("k.none").alias("none"), F.col("k.id").alias("id"), F.posexplode("keys").alias("band", "key"))
+    # A key's nodes in order, each with the nearest few before it; a node that has its key alone goes.
     place = Window.partitionBy("key").orderBy("none", "id", "fp")
-    shared = materialize(keyed.join(counts.hint("merge"), "key").select("key", "band", "fp", F.row_number().over(place).alias("at")), "shared")
-    remove(keyed)
+    before = F.array(*(F.lag("fp", i).over(place) for i in range(1, s.first + 1)))
+    shared = keyed.select("key", "band", "fp", F.row_number().over(place).alias("at"), before.alias("before"), F.lead("fp").over(place).alias("next"))
+    shared = materialize(shared.where("at > 1 or next is not null").drop("next"), "shared")
     held = shared.select("fp").unionByName(ringed.select("fp")).unionByName(ringed.select(F.col("d").alias("fp"))).distinct()
-    asked = firsts.join(held.hint("merge"), "fp", "left_semi").select("k", "fp")
-    texts = docs.select(row.alias("k"), text_of(docs, text_col).alias("text")).join(asked, "k")
-    texts = texts.groupBy("fp").agg(F.any_value("text").alias("text"))
-    made = map_columns(texts, ["fp"], [F.col("text")], {"shingles": "binary"}, _sets, s=s)
-    sets = materialize(made.join(firsts.select("fp", "keys").hint("merge"), "fp"), "sets")
+    asked = firsts.join(held.hint("merge"), "fp", "left_semi").select("k", "fp", "keys")
+    texts = docs.select(row.alias("k"), text_of(docs, text_col).alias("text")).join(asked.hint("merge"), "k")
+    texts = texts.groupBy("k").agg(*(F.any_value(c).alias(c) for c in ("fp", "keys", "text")))  # equal rows
+    sets = materialize(map_columns(texts, ["fp", "keys"], [F.col("text")], {"shingles": "binary"}, _sets, s=s), "sets")
 
     def alike(pairs: DataFrame) -> DataFrame:
         pairs = pairs.join(sets.select("fp", F.col("shingles").alias("a")).hint("merge"), "fp").join(sets.select(F.col("fp").alias("d"), F.col("shingles").alias("b")).hint("merge"), "d")
@@ -195,11 +195,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", se
 
     ring = materialize(alike(ringed), "ring")
     # The nearest few before it: a pair is compared once, whatever the number of keys that it shares.
-    reach = shared.where("at > 1").select("key", F.col("fp").alias("d"), F.explode(F.sequence(F.greatest(F.lit(1), F.col("at") - s.first), F.col("at") - 1)).alias("at"))
-    reach = reach.join(ring.hint("merge"), "d", "left_anti")
-    near = materialize(ring.unionByName(alike(reach.join(shared.hint("merge"), ["key", "at"]).select("d", "fp").distinct())), "near")
-    left = shared.where(F.col("at") - 1 > s.first).select("key", F.col("fp").alias("d")).join(near.hint("merge"), "d", "left_anti")
-    far = materialize(_in_blocks(materialize(left, "left"), shared, sets, s), "far")
+    reach = shared.where("at > 1").select(F.col("fp").alias("d"), "before").join(ring.hint("merge"), "d", "left_anti")
+    reach = reach.select("d", F.explode("before").alias("fp")).where("fp is not null").distinct()
+    near = materialize(ring.unionByName(alike(reach)), "near")
+    far = materialize(_in_blocks(near, shared, sets, s), "far")
     gone = near.unionByName(far)
     kept = firsts.join(gone.hint("merge"), firsts["fp"] == gone["d"], "left_anti").select("k")
     return whole_rows(docs, row, prints, kept)

@@ -117,7 +117,8 @@ def close_pairs(nodes: DataFrame, bucket: int = 32) -> DataFrame:
     heads = nodes.groupBy("sim").agg(F.min("place").alias("head"), F.min_by("fp", "place").alias("fp"))
     heads = materialize(heads, "heads")
     links = fingerprint_links(heads.select(F.col("sim").alias("fp")), bucket=bucket)
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(heads.select(F.col("sim").alias("a"), F.col("sim").alias("b")))
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = links.select(F.inline(ways)).unionByName(heads.select(F.col("sim").alias("a"), F.col("sim").alias("b")))
     near = both.join(heads, both["b"] == heads["sim"]).select("a", "head", "fp")
     return nodes.select(F.col("fp").alias("d"), F.col("sim").alias("a"), "place").join(near, "a").where("head < place").select("d", "fp").distinct()
 

@@ -2,7 +2,7 @@ import random
 
 from corpus_pipeline import drop_near_duplicates
 
-from sigweave.llm import minhash
+from sigweave.llm import minhash, simhash
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -62,3 +62,23 @@ def test_pigeonring_finds_the_closest_copies(spark):
     got = minhash.keep_one(spark.createDataFrame(rows, SCHEMA), settings=minhash.Settings(bands=1, rows=500))
     gone = {i for i, _ in rows} - {r.doc_id for r in got.collect()}
     assert len(close) > 6 and close <= gone and gone <= {i + 1 for i in range(0, 24, 2)}
+
+
+def test_tables_are_brought_together_few_times(spark, monkeypatch):
+    """Each exchange is a stage whose tasks, metrics and plan the driver holds for a while, however many rows there are."""
+    counts = []
+
+    def counted(df, name, write=minhash.materialize):
+        counts.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    monkeypatch.setattr(simhash, "materialize", counted)
+    monkeypatch.setattr(minhash, "whole_rows", lambda docs, row, prints, kept: kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = minhash.keep_one(spark.createDataFrame([(1, "a b"), (2, "a  b"), (3, "c")], SCHEMA))
+        counted(kept, "kept", lambda df, name: None)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(counts) <= 44
