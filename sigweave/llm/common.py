@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,10 +54,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def map_columns(df: DataFrame, keep: list[str | Column], args: list[Column], made: dict[str, str], func: Callable[..., Iterator[list] | list[list]], **options) -> DataFrame:
+def map_columns(df: DataFrame, keep: list[str | Column], args: list[Column], made: dict[str, str], func: Callable[..., Iterator[list] | list[list]], most_bytes: int | None = None, **options) -> DataFrame:
     """Columns `keep` of df, and those that func(args as Arrow arrays, **options) makes of each Arrow batch (a list for each).
 
-    made gives the new columns' names and SQL types. Arguments travel under private names, so df may have any columns.
+    made gives the new columns' names and SQL types. Arguments travel under private names, so df may have any columns. With most_bytes, func gets
+    slices of a batch whose arguments (text or binary) hold about so many bytes, or one row, so that what it makes of a batch needn't be held at once.
     """
     names = [f"__sigweave_arg{i}" for i in range(len(args))]
     kept = df.select(*keep, *(a.alias(n) for a, n in zip(args, names, strict=True)))
@@ -71,13 +74,26 @@ def map_columns(df: DataFrame, keep: list[str | Column], args: list[Column], mad
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out = func(*(batch.column(n_kept + i) for i in range(len(names))), **options)
-            cols = [o if isinstance(o, pa.Array) else pa.array(o, type=t) for o, t in zip(out, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(n_kept)] + cols, names=[f.name for f in schema.fields])
+            for some in slices(batch, n_kept, most_bytes):
+                out = func(*(some.column(n_kept + i) for i in range(len(names))), **options)
+                cols = [o if isinstance(o, pa.Array) else pa.array(o, type=t) for o, t in zip(out, types, strict=True)]
+                yield pa.RecordBatch.from_arrays([some.column(i) for i in range(n_kept)] + cols, names=[f.name for f in schema.fields])
 
     return kept.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, first: int, most_bytes: int | None) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of rows that begin in the same stretch of most_bytes of the columns from `first` on; whole if that is None."""
+    if most_bytes is None:
+        yield batch
+        return
+    sizes = sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[first:])
+    stretch = (np.cumsum(sizes) - sizes) // most_bytes
+    cuts = [0, *(np.flatnonzero(np.diff(stretch)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 of a string column; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -30,6 +30,8 @@ TOP = frozenset([CLUSTER, CUES, INFO, TRACKS, 0x114D9B74, 0x1254C367, 0x1043A770
 PACKET, SAMPLES_A_SECOND = 192, 8000
 PACKET_MS = PACKET * 1000 // SAMPLES_A_SECOND
 BLOCK_PACKETS, CLUSTER_PACKETS = 16, 512
+#: Bytes of text that a worker has before it as Python objects, with their files and payloads.
+MOST_BYTES = 1 << 20
 LACINGS = ("none", "xiph", "fixed", "ebml")
 
 
@@ -251,7 +253,7 @@ def _store(texts):
 
 def store(docs: DataFrame, keep: list, text_col: str = "text") -> DataFrame:
     """Columns keep and media: the text's bytes as a Matroska file. Null text counts as empty, whose payload is one packet of spaces."""
-    return map_columns(docs, keep, [text_of(docs, text_col)], {"media": "binary"}, _store)
+    return map_columns(docs, keep, [text_of(docs, text_col)], {"media": "binary"}, _store, most_bytes=MOST_BYTES)
 
 
 def packets(media: DataFrame, keep: list, media_col: str = "media") -> DataFrame:
@@ -275,9 +277,9 @@ def packets(media: DataFrame, keep: list, media_col: str = "media") -> DataFrame
     return source.mapInArrow(run, schema)
 
 
-def _digests(texts, media):
+def _digests(texts):
     out: list[list] = [[] for _ in range(7)]
-    for t, m in zip(as_bytes(texts), as_bytes(media), strict=True):
+    for t, m in zip(as_bytes(texts), _store(texts)[0], strict=True):
         payload, got = read_back(m)
         row = (len(t), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(m), hashlib.sha256(m).hexdigest(), feature(payload, got))
         for o, v in zip(out, row, strict=True):
@@ -286,7 +288,9 @@ def _digests(texts, media):
 
 
 def digests(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """doc_id, sizes and digests of the payload read back and of the stored file, and the feature, for every row of docs."""
+    """doc_id, sizes and digests of the payload read back and of the stored file, and the feature, for every row of docs.
+
+    A file is written and read back by the same task, a slice of rows at a time; a table of files is what store gives.
+    """
     made = {"n_bytes": "bigint", "payload_bytes": "bigint", "payload_sha256": "string", "tail_crc32": "bigint", "media_bytes": "bigint", "media_sha256": "string", "feature": "string"}
-    stored = store(docs, ["doc_id", text_of(docs, text_col).alias("text")], text_col)
-    return map_columns(stored, ["doc_id"], [F.col("text"), F.col("media")], made, _digests)
+    return map_columns(docs, ["doc_id"], [text_of(docs, text_col)], made, _digests, most_bytes=MOST_BYTES)

@@ -1,9 +1,10 @@
 import hashlib
 import zlib
 
+import pyarrow as pa
 import pytest
 
-from sigweave.llm import html_extract, matroska
+from sigweave.llm import common, html_extract, matroska
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body><header><h1>Site</h1></header><nav><ul><li><a href=/>Home</a></ul></nav>
 <div class="cookie-notice">We use cookies to make this site better for all of you.</div><div id=content>%s<h2>Heading</h2><p>First &amp; foremost   a paragraph
@@ -210,3 +211,18 @@ def test_densities_decide_on_bare_pages(monkeypatch):
     pages = [bare_page(rng) for _ in range(60)]
     monkeypatch.setattr(html_extract, "_measure", constant)
     assert sum(html_extract.extract(p) == w for p, w in pages) < 30
+
+
+def test_a_worker_has_few_texts_before_it_at_a_time(spark, monkeypatch):
+    """A batch is cut into slices of bounded bytes; files are written and read back in one pass of Python."""
+    texts = [None, "", *("x" * n for n in (900, 200, 3000, 5, 5)), None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8)), pa.array(texts)], names=["id", "text"])
+    got = [s.column(0).to_pylist() for s in common.slices(batch, 1, 1000)]
+    assert sum(got, []) == list(range(8)) and got == [[0, 1, 2, 3], [4], [5, 6, 7]] and [s.num_rows for s in common.slices(batch, 1, None)] == [8]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    whole = sorted(map(tuple, matroska.digests(df).collect()))
+    assert matroska.digests(df)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    monkeypatch.setattr(matroska, "MOST_BYTES", 100)
+    assert sorted(map(tuple, matroska.digests(df).collect())) == whole and len(whole) == 8
+    stored = {r.doc_id: bytes(r.media) for r in matroska.store(df, ["doc_id"]).collect()}
+    assert {i: hashlib.sha256(m).hexdigest() for i, m in stored.items()} == {r[0]: r[6] for r in whole}
