@@ -70,25 +70,35 @@ def preferred_id(links: DataFrame, key: str, value: str, good: DataFrame) -> Dat
     return best.select(key, F.col("b.v").alias(value))
 
 
-def bridge(relations: DataFrame, wanted: DataFrame, linked: DataFrame, chunk: int = 1 << 12) -> DataFrame:
+def bridge(relations: DataFrame, wanted: DataFrame, linked: DataFrame, chunk: int = 1 << 12, most: int = 1 << 16) -> DataFrame:
     """(id, target): linked neighbours of wanted ids over undirected relations (a, b), direct or by one neighbour that isn't linked itself.
 
     A relation is kept from its ends that are wanted or linked, and says whether the other end is linked. Linked neighbours of an unlinked id stand in lists
-    of about `chunk` ids at most, so a hub is several rows; wanted neighbours meet these lists by the id between them.
+    of about `chunk` ids at most, so a hub is several rows; wanted neighbours meet these lists by the id between them. Lists travel whole to a wanted
+    id, which makes their ids distinct; one that would have over `most` ids in its lists is dealt out pair by pair instead.
     """
-    own = wanted.select("id", F.lit(True).alias("w"), F.lit(False).alias("l")).unionByName(linked.select("id", F.lit(False).alias("w"), F.lit(True).alias("l")))
-    own = own.groupBy("id").agg(F.max("w").alias("w"), F.max("l").alias("l"))
+    known = written(linked.select("id").distinct(), "linked")  # so that Spark knows whether it is small
     both = relations.select("a", "b").unionByName(relations.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b AND a <> '' AND b <> ''")
-    marked = both.join(own.withColumnRenamed("id", "a"), "a").groupBy("a", "b").agg(F.first("w").alias("w"), F.first("l").alias("l"))
-    marked = marked.join(linked.select(F.col("id").alias("b"), F.lit(True).alias("on")).distinct(), "b", "left")
+    for name, ids, of in (("l", known, "a"), ("on", known, "b"), ("w", wanted.select("id").distinct(), "a")):
+        both = both.join(ids.select(F.col("id").alias(of), F.lit(True).alias(name)), of, "left")
+    marked = both.where("w OR l").groupBy("a", "b").agg(*(F.first(c).alias(c) for c in ("w", "l", "on")))
     marked = written(marked, "relations")
     direct = marked.where("w AND on").select(F.col("a").alias("id"), F.col("b").alias("target"))
     between = marked.where("on IS NULL")
-    degree = between.where("l").groupBy("b").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    far = between.where("l").join(degree, "b").groupBy("b", F.pmod(F.xxhash64("a"), F.col("chunks")).alias("part")).agg(F.collect_list("a").alias("targets"))
+    degree = between.where("l").groupBy("b").agg(F.count("*").alias("n"))
+    chunks = degree.select("b", F.ceil(F.col("n") / chunk).alias("chunks"))
+    far = between.where("l").join(chunks, "b").groupBy("b", F.pmod(F.xxhash64("a"), F.col("chunks")).alias("part")).agg(F.collect_list("a").alias("targets"))
     near = between.where("w").select(F.col("a").alias("id"), "b")
-    second = near.join(far, "b").select("id", F.explode("targets").alias("target")).where("id <> target")
-    return direct.unionByName(second).distinct()
+    weights = near.join(degree, "b").select("id", "n").unionByName(direct.select("id", F.lit(1).cast("bigint").alias("n"))).groupBy("id").agg(F.sum("n").alias("n"))
+    heavy = written(weights.where(F.col("n") > most).select("id"), "heavy")
+
+    def lists(how: str) -> DataFrame:
+        second = near.join(heavy, "id", how).join(far, "b").select("id", F.filter("targets", lambda t: t != F.col("id")).alias("targets"))
+        return direct.join(heavy, "id", how).select("id", F.array("target").alias("targets")).unionByName(second)
+
+    light = lists("left_anti").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("targets"))).alias("targets"))
+    dealt = lists("left_semi").select("id", F.explode("targets").alias("target")).distinct()
+    return light.select("id", F.explode("targets").alias("target")).unionByName(dealt)
 
 
 def match_terms(terms: DataFrame, term: str, variant_rows: DataFrame, vocabulary: DataFrame) -> DataFrame:

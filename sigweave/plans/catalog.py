@@ -323,7 +323,7 @@ SELECT DISTINCT u.a, v.b FROM u JOIN w ON u.a = w.id JOIN u v ON u.b = v.a JOIN
 def two_hop_bridge(spark, d):
     lines, part, supplier = (_read(spark, d, t) for t in ("lineitem", "part", "supplier"))
     name = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    rel = lines.select(name("p", "l_partkey").alias("a"), name("s", "l_suppkey").alias("b")).distinct()
+    rel = lines.select(name("p", "l_partkey").alias("a"), name("s", "l_suppkey").alias("b"))
     linked = supplier.where("s_acctbal > 9000").select(name("s", "s_suppkey").alias("id")).unionByName(part.where("p_brand = 'Brand#11' AND p_size > 40").select(name("p", "p_partkey").alias("id")))
     return match.bridge(rel, part.select(name("p", "p_partkey").alias("id")), linked)
 

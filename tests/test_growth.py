@@ -4,7 +4,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from sigweave.operators import cases, dedup, graph, reactions
+from sigweave.operators import cases, dedup, graph, match, reactions
 from sigweave.plans import catalog, catalog_cases
 from sigweave.sources import ragged
 
@@ -130,3 +130,14 @@ def test_a_key_costs_a_few_calls_of_the_state():
     assert run(row(2000)) == [(-1, "999"), (1, "2000")]
     assert run(row(2000, -1), row(999, -1)) == [(-1, "2000"), (1, "998")] and run(row(3, -1)) == []
     assert run(late._EVENT("k", late.DELETE, *[None] * len(late._NAMES))) == [(-1, "998")] and run(row(7)) == []
+
+
+def test_bridged_ids_travel_in_lists(spark):
+    """Lists of targets go whole to an id that has few of them; pairs are dealt out for others alone, and both ways give the same."""
+    rel = spark.createDataFrame([(f"w{i}", f"m{j}") for i in range(6) for j in range(i + 1)] + [(f"k{i}", f"m{i % 4}") for i in range(9)] + [("w1", "k1"), ("w1", "k1"), ("w2", "w2")], "a string, b string")
+    ids = lambda p, n: spark.createDataFrame([(f"{p}{i}",) for i in range(n)], "id string")
+    made = [match.bridge(rel, ids("w", 6), ids("k", 9).unionByName(ids("w", 1)), chunk=2, most=m) for m in (0, 5, 1 << 16)]
+    got = [sorted(map(tuple, df.collect())) for df in made]
+    wanted = {(f"w{i}", f"k{k}") for i in range(1, 6) for k in range(9) if k % 4 <= i} | {("w0", f"k{k}") for k in (0, 4, 8)} | {(f"w{i}", "w0") for i in range(1, 6)} | {("w1", "k1")}
+    assert got[0] == got[1] == got[2] == sorted(wanted)
+    assert "array_distinct(flatten(collect_list(targets" in made[0]._jdf.queryExecution().optimizedPlan().toString()
