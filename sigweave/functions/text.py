@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: White space as Python sees it in Latin-1 text; Java's class lacks some of these.
 WS = r"[\s\x1C-\x1F\x85\xA0]"
+WS_CHARACTERS = " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
 
 # The characters of U+0000 to U+00FF that NFKC changes.
 NFKC_LATIN = {

@@ -7,7 +7,9 @@ of a report (three orders a report), customer = case. Headers are old ones befor
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -100,34 +102,34 @@ def _order_lines(spark, d):
     return rows.withColumn("line_no", _place("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
 
 
-def _drug_lines(spark, d):
+def _drug_line():
     n = F.col("l_partkey") % 6
     name = F.when(n == 3, F.concat(F.lit('"'), "p_name")).otherwise(F.col("p_name"))
     tail = F.when(n == 0, "$AI$$").when(n == 1, "").when(n == 2, "$AI$EXTRA").otherwise("$AI")
     line = F.concat(_cells("p", "c", F.col("l_linenumber").cast("string"), F.lower("l_returnflag"), name), tail)
-    lost = F.when((F.col("year") == 2003) & (F.col("quarter") == 2), F.concat(line, F.lit("ZZ9$7$1$PS$lost$x"))).otherwise(line)
-    return _order_lines(spark, d).select("year", "quarter", F.lit("drug").alias("kind"), "line_no", lost.alias("line"))
+    return F.when((F.col("year") == 2003) & (F.col("quarter") == 2), F.concat(line, F.lit("ZZ9$7$1$PS$lost$x"))).otherwise(line)
 
 
-def _reaction_lines(spark, d):
+def _reaction_line():
     cells = _cells("p", "c", F.split("p_name", " ")[1])
-    line = F.when(F.col("year") < 2004, cells).otherwise(_cells(cells, F.lower("l_returnflag")))
-    return _order_lines(spark, d).select("year", "quarter", F.lit("reac").alias("kind"), "line_no", line.alias("line"))
+    return F.when(F.col("year") < 2004, cells).otherwise(_cells(cells, F.lower("l_returnflag")))
 
 
 def _written(spark, d, *kinds):
     """The root of archives with members of these kinds, each with its header but for lists of deleted ids."""
-    made = {"demo": _demo_lines, "delete": _delete_lines, "drug": _drug_lines, "reac": _reaction_lines}
-    rows = None
-    for kind in kinds:
-        some = made[kind](spark, d)
-        if kind in _HEADS:
-            old, new = _HEADS[kind]
-            quarters = some.select("year", "quarter", "kind").distinct()
-            some = some.unionByName(quarters.select("*", _place(), F.when(F.col("year") < 2004, old).otherwise(new).alias("line")))
-        rows = some if rows is None else rows.unionByName(some)
+    made, parts = {"drug": _drug_line(), "reac": _reaction_line()}, []
+    if "demo" in kinds:
+        parts.append(_demo_lines(spark, d))
+    if "delete" in kinds:
+        parts.append(_delete_lines(spark, d))
+    if some := [k for k in kinds if k in made]:  # of one row two lines, so that orders and parts are looked up once
+        both = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), made[k].alias("line")) for k in some))).alias("of")
+        parts.append(_order_lines(spark, d).select("year", "quarter", "line_no", both).select("year", "quarter", "of.kind", "line_no", "of.line"))
+    heads = [F.struct(F.lit(k).alias("kind"), F.when(F.col("year") < 2004, _HEADS[k][0]).otherwise(_HEADS[k][1]).alias("line")) for k in kinds if k in _HEADS]
+    quarters = _orders(spark, d).select("year", "quarter").distinct()
+    parts.append(quarters.select("year", "quarter", F.explode(F.array(*heads)).alias("of")).select("year", "quarter", "of.kind", _place(), "of.line"))
     root = f"{shared_folder(spark)}/sigweave-archives-{uuid.uuid4().hex}"
-    archive_source.write_archives(rows, root).agg(F.count("*")).collect()
+    archive_source.write_archives(reduce(DataFrame.unionByName, parts), root).agg(F.count("*")).collect()
     return root
 
 

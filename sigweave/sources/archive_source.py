@@ -17,14 +17,14 @@ import re
 import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby, islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from .ragged import ARCHIVE, COLUMNS, MEMBERS, _rows_of
+from .ragged import ARCHIVE, COLUMNS, MEMBERS, _lists_of
 
 NAME = "report_archives"
 SCHEMA = "year int, quarter int, zip string, member string, file_rank int, line_no bigint, line string, width int, places array<int>"
@@ -114,18 +114,24 @@ class _Archives:
         a, types = partition.archive, [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.int32())]
         names = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
         with self.open(a) as z, io.TextIOWrapper(z.open(partition.name), encoding="latin-1", newline="\n") as stream:
-            lines = ((i, x) for i, x in enumerate(_rows_of(stream, self.table, self.lost_breaks.get(f"{a.year}q{a.quarter}"))) if x.strip("\r"))
-            width, places = None, None
-            if self.table != "delete":
-                head = next(lines, None)
-                if head is None:
-                    return
-                cells = next(csv.reader([head[1]], delimiter="$"), []) if self.table == "demo" else head[1].split("$")
-                width, places = resolved(cells, self.table)
-            while some := list(islice(lines, ROWS)):
-                n = len(some)
-                columns = [[a.year] * n, [a.quarter] * n, [a.zip] * n, [partition.name] * n, [partition.file_rank] * n, [x[0] for x in some], [x[1] for x in some], [width] * n, [places] * n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+            at, head, width, places = 0, self.table != "delete", None, None
+            for some in _lists_of(stream, self.table, self.lost_breaks.get(f"{a.year}q{a.quarter}")):
+                numbers, lines = pa.array(range(at, at + len(some)), pa.int64()), pa.array(some, pa.string())
+                at += len(some)
+                whole = pc.not_equal(pc.utf8_trim(lines, "\r"), "")
+                if not pc.all(whole).as_py():
+                    numbers, lines = numbers.filter(whole), lines.filter(whole)
+                if head and len(lines):
+                    first, head = lines[0].as_py(), False
+                    cells = next(csv.reader([first], delimiter="$"), []) if self.table == "demo" else first.split("$")
+                    width, places = resolved(cells, self.table)
+                    numbers, lines = numbers[1:], lines[1:]
+                for k in range(0, len(lines), ROWS):
+                    n = min(ROWS, len(lines) - k)
+                    values = [a.year, a.quarter, a.zip, partition.name, partition.file_rank, None, None, width, places]
+                    columns = [pa.repeat(pa.scalar(v, t), n) for v, t in zip(values, types, strict=True)]
+                    columns[5:7] = numbers[k : k + n], lines[k : k + n]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 class ArchiveReader(_Archives, DataSourceReader):
@@ -191,6 +197,24 @@ def archive_ordinal(zip_col: str = "zip"):
     return F.struct("year", "quarter", F.lower(zip_col).alias("low"), zip_col, "line_no")
 
 
+def _runs(batch: pa.RecordBatch):
+    """(start, end, year, quarter, kind) of runs of rows that are alike in these."""
+    columns, n = [batch.column(c) for c in ("year", "quarter", "kind")], batch.num_rows
+    new = None
+    for c in columns:
+        other = pc.not_equal(c[1:], c[:-1])
+        new = other if new is None else pc.or_(new, other)
+    starts = [0, *(i + 1 for i in pc.indices_nonzero(new).to_pylist())] if n else []
+    for start, end in zip(starts, [*starts[1:], n]):
+        yield (start, end, *(c[start].as_py() for c in columns))
+
+
+def _joined(lines: pa.Array) -> bytes:
+    """Lines joined by line feeds, in UTF-8."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(lines)], pa.int64()), lines.cast(pa.large_string()))
+    return pc.binary_join(whole, pa.scalar("\n", pa.large_string()))[0].as_buffer().to_pybytes()
+
+
 def write_archives(rows: DataFrame, root: str, prefix: str = "faers_ascii_") -> DataFrame:
     """Writes (year, quarter, kind, line_no, line) as one archive a quarter below root; gives (path, lines) when it is run.
 
@@ -213,11 +237,8 @@ def write_archives(rows: DataFrame, root: str, prefix: str = "faers_ascii_") ->
             return pa.RecordBatch.from_arrays([pa.array([f"{top}/{name}"]), pa.array([n], pa.int64())], names=["path", "lines"])
 
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("year", "quarter", "kind")), strict=True))
-            column, start = batch.column("line"), 0
-            for (year, quarter, kind), run in groupby(keys):
-                some = column.slice(start, len(list(run))).to_pylist()
-                start += len(some)
+            column = batch.column("line")
+            for start, end, year, quarter, kind in _runs(batch):
                 if now is not None and now[:2] != (year, quarter):
                     yield closed()
                 if now is None or now[:2] != (year, quarter):
@@ -228,12 +249,13 @@ def write_archives(rows: DataFrame, root: str, prefix: str = "faers_ascii_") ->
                     if now[2] is not None:
                         member.close()
                     member, now = z.open(f"ascii/{kind.upper()}{year % 100:02}Q{quarter}.txt", "w", force_zip64=True), (year, quarter, kind)
-                member.write(("\n".join(some) + "\n").encode("latin-1", "replace"))
-                n += len(some)
+                body = _joined(column.slice(start, end - start))
+                member.write((body if body.isascii() else body.decode().encode("latin-1", "replace")) + b"\n")
+                n += end - start
         if now is not None:
             yield closed()
 
-    # Archives are few and long: many partitions, not merged again, so that hardly two are one task's.
+    # Archives are few and long: many partitions, not merged again, and quarters that follow one another never are one task's.
     n = max(64, 8 * rows.sparkSession.sparkContext.defaultParallelism)
-    dealt = rows.repartition(n, "year", "quarter").sortWithinPartitions("year", "quarter", "kind", "line_no")
+    dealt = rows.repartitionById(n, F.pmod(F.col("year") * 4 + F.col("quarter"), F.lit(n)).cast("int")).sortWithinPartitions("year", "quarter", "kind", "line_no")
     return dealt.select("year", "quarter", "kind", "line").mapInArrow(write, "path string, lines bigint")

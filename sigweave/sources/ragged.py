@@ -6,11 +6,11 @@ import io
 import re
 from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import WS_CHARACTERS
 
 # Names of archives, members of an archive, and the columns of its tables with their older names. Names are matched whole.
 ARCHIVE = r"(?i)(?:^|/)f?aers_ascii_(20\d\d)q([1-4])\.zip$"
@@ -44,6 +44,11 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
 
 def _rows_of(stream, table: str, token: str | None):
     """Lines of a member as it is read; demo tables are cut into records, as quotes may hold line breaks there."""
+    return chain.from_iterable(_lists_of(stream, table, token))
+
+
+def _lists_of(stream, table: str, token: str | None):
+    """The same in lists, each of about a block's lines."""
     import csv
 
     broken = re.compile(f"(?<=[^\n])(?={re.escape(token)})") if token else None
@@ -56,23 +61,39 @@ def _rows_of(stream, table: str, token: str | None):
 
     if table != "demo":
         for block in blocks():
-            yield from block.splitlines()
+            yield block.splitlines()
         return
     csv.field_size_limit(1 << 30)
-    lines = (line for block in blocks() for line in io.StringIO(block, newline="\n"))
+    ends: list[int] = []  # lines that have been cut off, by block
+
+    def cut():
+        for block in blocks():
+            some = block.split("\n")
+            last = some.pop()
+            yield from (x + "\n" for x in some)
+            if last:
+                yield last
+            ends.append(1)
+
+    lines, out = cut(), []
     for line in lines:
         if '"' not in line and "\r" not in line:
-            yield line.rstrip("\n")
-            continue
-        held: list[str] = []
+            out.append(line.rstrip("\n"))
+        else:
+            held: list[str] = []
 
-        def feed(first=line, held=held):
-            for x in chain([first], lines):
-                held.append(x)
-                yield x
+            def feed(first=line, held=held):
+                for x in chain([first], lines):
+                    held.append(x)
+                    yield x
 
-        next(csv.reader(feed(), delimiter="$"), None)
-        yield "".join(held).rstrip("\r\n")
+            next(csv.reader(feed(), delimiter="$"), None)
+            out.append("".join(held).rstrip("\r\n"))
+        if ends:
+            yield out
+            out = []
+            ends.clear()
+    yield out
 
 
 def archive_lines(spark: SparkSession, root: str, table: str, lost_breaks: dict[tuple[int, int], str] | None = None) -> DataFrame:
@@ -124,19 +145,37 @@ def without_blank_tail(cells: Column) -> Column:
     return F.slice(cells, F.lit(1), last)
 
 
-def quoted_cells(df: DataFrame, line: str = "line", out: str = "cells") -> DataFrame:
-    """Cells of lines in which quotes may hold the delimiter (demo tables). Only lines with quotes or line breaks go to Python; others are cut by Spark."""
-    @F.pandas_udf("array<string>")
-    def cells(lines: pd.Series) -> pd.Series:
+def _marked(line: Column) -> Column:
+    """Whether a line has a quote or a line break."""
+    return F.contains(line, F.lit('"')) | F.contains(line, F.lit("\r")) | F.contains(line, F.lit("\n"))
+
+
+def _cut(line: Column) -> Column:
+    """Cells of a line in which quotes may hold the delimiter, and the number of them up to the last that is not empty; null for lines without quotes and line breaks."""
+    made = pa.struct([("cells", pa.list_(pa.string())), ("filled", pa.int32())])
+
+    @F.arrow_udf("struct<cells: array<string>, filled: int>")
+    def cut(lines: pa.Array) -> pa.Array:
         import csv
         import io
 
         csv.field_size_limit(1 << 30)
-        return pd.Series([None if x is None else next(csv.reader(io.StringIO(x, newline=""), delimiter="$"), [""]) for x in lines], dtype=object)
 
+        def one(x):
+            if x is None:
+                return None
+            cells = next(csv.reader(io.StringIO(x, newline=""), delimiter="$"), [""])
+            return {"cells": cells, "filled": max((i for i, c in enumerate(cells, 1) if c), default=0)}
+
+        return pa.nulls(len(lines), made) if lines.null_count == len(lines) else pa.array([one(x) for x in lines.to_pylist()], made)
+
+    return cut(F.when(_marked(line), line))
+
+
+def quoted_cells(df: DataFrame, line: str = "line", out: str = "cells") -> DataFrame:
+    """Cells of lines in which quotes may hold the delimiter (demo tables). Only lines with quotes or line breaks go to Python; others are cut by Spark."""
     whole = F.coalesce(line, F.lit(""))
-    marked = whole.rlike('["\\r\\n]')
-    return df.withColumn(out, F.coalesce(cells(F.when(marked, whole)), F.split(whole, r"\$", -1)))
+    return df.withColumn(out, F.coalesce(_cut(whole)["cells"], F.split(whole, r"\$", -1)))
 
 
 def with_heads(lines: DataFrame, table: str) -> DataFrame:
@@ -157,21 +196,29 @@ def parse(lines: DataFrame, table: str, quoted: bool = False) -> DataFrame:
     Lines of sources.archive_source know the places of their columns; in other lines the first of each file is its header. The first of a
     column's names that it has is taken. Blank ids of demo rows fill each other; rows without either go.
     """
+    # The cells of a row whose line is cut at every delimiter end in as many empty ones as the line ends in delimiters.
+    bare = F.rtrim("line", F.lit("$"))
+    filled = F.when(bare == "", 0).otherwise(F.size("cells") - (F.length("line") - F.length(bare)))
     if quoted:
-        lines = quoted_cells(lines)
+        whole = F.coalesce("line", F.lit(""))
+        lines = lines.withColumn("cut", _cut(whole)).withColumn("cells", F.coalesce(F.col("cut.cells"), F.split(whole, r"\$", -1)))
+        filled = F.coalesce(F.col("cut.filled"), filled)
     else:
         lines = lines.withColumn("cells", F.split("line", r"\$", -1))
     rows = lines if "places" in lines.columns else with_heads(lines, table)
     n = F.col("width")
-    filled = F.aggregate(F.transform("cells", lambda x, i: F.when(x != "", i + 1).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x))
-    left = F.least(F.size("cells"), F.greatest(n, filled))
-    rows = rows.withColumn("padded", (F.size("cells") < n).cast("int")).withColumn("trimmed", F.size("cells") - left).withColumn("cells", F.slice("cells", F.lit(1), left))
-    rows = rows.withColumn("folded", (F.size("cells") > n).cast("int")).withColumn("cells", fit(F.col("cells"), n))
-    cols = {names[0]: strip(F.coalesce(F.get("cells", F.get("places", F.lit(k))), F.lit(""))) for k, names in enumerate(COLUMNS[table])}
-    rows = rows.withColumns(cols)
+    rows = rows.withColumn("left", F.least(F.size("cells"), F.greatest(n, filled)))
+    rows = rows.withColumn("padded", (F.size("cells") < n).cast("int")).withColumn("trimmed", F.size("cells") - F.col("left"))
+    rows = rows.withColumn("cells", F.when(F.col("trimmed") > 0, F.slice("cells", F.lit(1), F.col("left"))).otherwise(F.col("cells")))
+    rows = rows.withColumn("folded", (F.size("cells") > n).cast("int")).withColumn("cells", F.when(F.size("cells") == n, F.col("cells")).otherwise(fit(F.col("cells"), n)))
+    cols = {names[0]: F.btrim(F.coalesce(F.get("cells", F.get("places", F.lit(k))), F.lit("")), F.lit(WS_CHARACTERS)) for k, names in enumerate(COLUMNS[table])}
     if table == "demo":
+        # Conditions on columns would be moved below them, each with the whole expression of the cells, beyond what can be compiled; they aren't below a generator.
+        rows = rows.select(*rows.columns, F.inline(F.array(F.struct(*(c.alias(k) for k, c in cols.items())))))
         p, c = F.col("primaryid"), F.col("caseid")
         rows = rows.withColumns({"primaryid": F.when(p == "", c).otherwise(p), "caseid": F.when(c == "", p).otherwise(c)}).where("primaryid <> ''")
+    else:
+        rows = rows.withColumns(cols)
     rank = ["file_rank"] if "file_rank" in rows.columns else []
     return rows.select("year", "quarter", "zip", *rank, "line_no", "trimmed", "padded", "folded", *cols)
 

@@ -1,22 +1,27 @@
 """Cases and edge weights that late quarters and deletes change, as keyed state with retractions.
 
-One streaming query has three keyed operators in a row. By case: rows of deleted cases are taken back. By report: deleted reports go, and of a report's rows the
-latest stands for it. By case again: of a case's reports the latest is selected. Each operator keeps the rows of its key and passes on what
-changes, an addition as 1 and a retraction as -1, so rows, quarters and deletes may come in any order and in any batches: after each batch the sum of all
-changes is what the batch job selects from all archives so far. Selected cases and edge weights are kept as tables to which each batch's
-changes are added; their size is that of what is selected, whatever the number of batches.
+State is kept in tables by report and case: the latest row of each that is not deleted, and the deleted ids. A batch adds its rows and ids to both, and what is selected
+from them is held against what was selected before: an addition is 1 and a retraction -1, so rows, quarters and deletes may come in any order and in
+any batches, and after each batch the sum of all changes is what the batch job selects from all archives so far. Rows of a report and case are deleted
+together, so but the latest of them can ever stand for the report, and a deleted id stays deleted: nothing else has to be kept. All tables are versions, two of
+which stay, and a repeated batch replaces its own. Edge weights are a table to which each batch's changes are added.
+
+case_changes does the same by three keyed operators in a row (transformWithState), for streams of small batches: by case, rows of deleted cases are taken back; by
+report, deleted reports go, and of a report's rows the latest stands for it; by case again, of a case's reports the latest is selected. Each key costs several calls
+between Python and the state, some milliseconds, while a batch of the tables costs a pass over what is kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.cases import CASE_COLUMNS
-from ..operators.dedup import STAGE_ONE, STAGE_TWO, date_score, digit_score, followup_rank
+from ..operators.dedup import STAGE_ONE, STAGE_TWO, date_score, digit_score, drop_tombstones, followup_rank, last_wins
 from ..sources import archive_source, ragged
 
 _ROW = "id string, first string, second string, " + ", ".join(f"{c} {'int' if c in ('year', 'quarter') else 'string'}" for c in CASE_COLUMNS)
@@ -116,13 +121,17 @@ def _key(*parts: Column) -> Column:
     return F.concat_ws("\x01", *numbers, F.col("year").cast("string"), F.col("quarter").cast("string"), F.lower("zip"), "zip", F.lpad(F.col("line_no").cast("string"), 19, "0"))
 
 
-def row_events(demo: DataFrame, mode: str = "glob2") -> DataFrame:
-    """Events of parsed demo rows (a batch or a stream), keyed by case."""
-    rows = demo.where((F.trim("primaryid") != "") & (F.trim("caseid") != "")).withColumns({
+def _scored(demo: DataFrame, mode: str) -> DataFrame:
+    """Parsed demo rows (a batch or a stream) with both ids, and what they are ordered by."""
+    return demo.where((F.trim("primaryid") != "") & (F.trim("caseid") != "")).withColumns({
         "quarter_idx": F.col("year") * 10 + F.col("quarter"), "caseversion_n": digit_score(F.col("caseversion"), mode), "primaryid_n": digit_score(F.col("primaryid"), mode),
         "fda_dt_n": date_score(F.col("fda_dt")), "event_dt_n": date_score(F.col("event_dt")), "if_rank": followup_rank(F.col("i_f_code")),
     })
-    rows = rows.withColumns({
+
+
+def row_events(demo: DataFrame, mode: str = "glob2") -> DataFrame:
+    """Events of parsed demo rows (a batch or a stream), keyed by case."""
+    rows = _scored(demo, mode).withColumns({
         "key": F.col("caseid"), "sign": F.lit(1), "zip_name": F.col("zip"), "id": F.concat_ws("/", "year", "quarter", "zip", "line_no"),
         "first": _key(*map(F.col, STAGE_ONE)), "second": _key(*map(F.col, STAGE_TWO)),
     })
@@ -158,20 +167,49 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(f"{path}/version={found[-1]}") if found else None
 
 
-def add_changes(spark: SparkSession, path: str, batch_id: int, changes: DataFrame, keys: list[str], weight: str) -> None:
-    """Adds a batch's weights to the table at path as a new version; keys whose weight becomes 0 go, and all but two versions.
+def _put(spark: SparkSession, path: str, batch_id: int, made: Callable[[DataFrame | None], DataFrame]) -> tuple[DataFrame | None, DataFrame]:
+    """Writes what is made of the newest version before the batch as the batch's version; both versions. All but two versions go.
 
-    The version before is left as it was, so a batch that is repeated replaces its own version. A batch starts from the newest version before it.
+    The version before is left as it was, so a batch that is repeated replaces its own version.
     """
     before = [v for v in _versions(spark, path) if v < batch_id]
-    rows = changes.select(*keys, F.col(weight).cast("bigint").alias(weight))
-    if before:
-        rows = spark.read.parquet(f"{path}/version={before[-1]}").unionByName(rows)
-    merged = rows.groupBy(*keys).agg(F.sum(weight).alias(weight)).where(F.col(weight) != 0)
-    merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    old = spark.read.parquet(f"{path}/version={before[-1]}") if before else None
+    made(old).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
     for v in before[:-1]:
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}")
-        old.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(old, True)
+        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={v}")
+        gone.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(gone, True)
+    return old, spark.read.parquet(f"{path}/version={batch_id}")
+
+
+def add_changes(spark: SparkSession, path: str, batch_id: int, changes: DataFrame, keys: list[str], weight: str) -> None:
+    """Adds a batch's weights to the table at path as a new version; keys whose weight becomes 0 go, and all but two versions."""
+    rows = changes.select(*keys, F.col(weight).cast("bigint").alias(weight))
+    _put(spark, path, batch_id, lambda old: (rows if old is None else old.unionByName(rows)).groupBy(*keys).agg(F.sum(weight).alias(weight)).where(F.col(weight) != 0))
+
+
+_KEPT = [*CASE_COLUMNS, *STAGE_ONE, "ordinal"]
+
+
+def _kept_rows(demo: DataFrame, mode: str) -> DataFrame:
+    return _scored(demo, mode).withColumns({"zip_name": F.col("zip"), "ordinal": archive_source.archive_ordinal()}).select(*_KEPT)
+
+
+def _table_changes(spark: SparkSession, target: str, state: str, batch_id: int, rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Adds a batch's rows and deleted ids to what is kept, writes what is selected now, and gives the changes of it (CASE_COLUMNS, sign)."""
+    union = lambda old, new: new if old is None else old.unionByName(new)
+    latest = lambda df, keys, order: last_wins(df, keys, [*order, "ordinal"])
+    _, dead = _put(spark, f"{state}/dead", batch_id, lambda old: union(old, ids).distinct())
+
+    def alive(old):
+        held = latest(drop_tombstones(union(old, rows), dead, ["primaryid"]), ["primaryid", "caseid"], STAGE_ONE)
+        return drop_tombstones(held, dead, ["caseid"])
+
+    _, kept = _put(spark, f"{state}/kept", batch_id, alive)
+    chosen = latest(latest(kept, ["primaryid"], STAGE_ONE), ["caseid"], STAGE_TWO).select(*CASE_COLUMNS, F.lit(1).cast("bigint").alias("sign"))
+    before, now = _put(spark, target, batch_id, lambda old: chosen)
+    if before is None:
+        return now
+    return now.unionByName(before.withColumn("sign", -F.col("sign"))).groupBy(*CASE_COLUMNS).agg(F.sum("sign").alias("sign")).where("sign <> 0")
 
 
 def pair_deltas(changes: DataFrame, compounds: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -183,23 +221,23 @@ def pair_deltas(changes: DataFrame, compounds: DataFrame, outcomes: DataFrame) -
     report = ["year", "quarter", "primaryid"]
     moved = changes.groupBy(*report).agg(F.sum("sign").alias("sign")).where("sign <> 0")
     c = compounds.select(*report, "compound").join(moved, report).distinct()
-    o = outcomes.select(*report, "outcome").distinct()
+    o = outcomes.select(*report, "outcome").join(moved, report, "left_semi").distinct()
     return c.join(o, report).groupBy("compound", "outcome").agg(F.sum("sign").alias("n_reports")).where("n_reports <> 0")
 
 
 def cases_available(
     spark: SparkSession, root: str, target: str, checkpoint: str, lost_breaks: dict | None = None, mode: str = "glob2", also: Callable[[DataFrame, int], None] | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
     """Selected cases after all archives below root that have come since the last run; the first run takes all.
 
-    The checkpoint holds the ledger of archives and the keyed state. also gets each batch's changes, for what follows from them; it may be
-    called again with the same batch.
+    The checkpoint holds the ledger of archives and the state: tables, or with keyed that of case_changes; a checkpoint stays with the kind it began with. also gets each
+    batch's changes, for what follows from them; it may be called again with the same batch.
     """
     demo = ragged.parse(archive_source.line_stream(spark, root, "demo", lost_breaks), "demo", quoted=True)
     deleted = archive_source.line_stream(spark, root, "delete").select(F.trim(F.split("line", r"\$")[0]).alias("id")).where(F.col("id").rlike("^[0-9]+$"))
-    events = row_events(demo, mode).unionByName(delete_events(deleted))
 
-    def put(batch: DataFrame, batch_id: int) -> None:
+    def put_changes(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if also:
@@ -208,10 +246,29 @@ def cases_available(
         finally:
             batch.unpersist()
 
+    def put_rows(batch: DataFrame, batch_id: int) -> None:
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            rows, ids = batch.where(F.col("sign") != DELETE).select(*_KEPT), batch.where(F.col("sign") == DELETE).select("id")
+            changes = _table_changes(spark, target, f"{checkpoint}/tables", batch_id, rows, ids)
+        finally:
+            batch.unpersist()
+        if also:
+            also(changes, batch_id)
+
+    kinds = {spark._jvm.org.apache.hadoop.fs.Path(checkpoint, x) for x in ("state", "tables")}
+    fs = next(iter(kinds)).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if any(fs.exists(p) and (p.getName() == "state") != keyed for p in kinds):
+        raise ValueError(f"{checkpoint} holds state of the other kind")
     before = spark.conf.get(_STATE_STORE)
     spark.conf.set(_STATE_STORE, _ROCKS)
     try:
-        stream = case_changes(events).writeStream.foreachBatch(put).outputMode("append").option("checkpointLocation", checkpoint)
+        if keyed:
+            changes, put = case_changes(row_events(demo, mode).unionByName(delete_events(deleted))), put_changes
+        else:
+            rows = _kept_rows(demo, mode).withColumns({"sign": F.lit(1), "id": F.lit(None).cast("string")})
+            changes, put = rows.unionByName(deleted.withColumn("sign", F.lit(DELETE)), allowMissingColumns=True), put_rows
+        stream = changes.writeStream.foreachBatch(put).outputMode("append").option("checkpointLocation", checkpoint)
         stream.trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(_STATE_STORE, before)
